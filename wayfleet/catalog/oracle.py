@@ -460,6 +460,10 @@ tagged AS (
                 FROM steps""",
         ),
         "abnormal_jumps": _sql(_OFFLINE, f"SELECT {step_columns} {jumps}"),
+        "abnormal_jumps_all": _sql(
+            [*_OFFLINE[:3], _STEPS.replace(f"WHERE {_TO_CENTRE} <= 15", "")],
+            f"SELECT {step_columns} {jumps}",
+        ),
         "max_distances": _sql(
             _OFFLINE,
             f"""SELECT (SELECT round(max(distance_from_forbidden_city), 6) FROM radius)

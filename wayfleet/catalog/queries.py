@@ -368,6 +368,14 @@ def max_distances(spark, folder):
     )
 
 
+def abnormal_jumps_all(spark, folder):
+    """Jumps between distinct fixes, those outside the radius included."""
+    offline = _offline(spark, folder)
+    steps = motion.with_steps(offline.distinct_rows(), offline.track)
+    rows = motion.abnormal_jumps(steps).select(*_FIX, "distance_between_points")
+    return _rounded(rows, 6, "distance_between_points")
+
+
 def very_high_speed_count(spark, folder):
     fast = motion.faster_than(_offline(spark, folder).high_speed(), LIMITS.very_high_kmh)
     return fast.agg(F.count(F.lit(1)).alias("fixes"))
@@ -381,22 +389,30 @@ def distance_over_time(spark, folder):
 # -- the stream ---------------------------------------------------------------
 
 
+def write_messages(spark: SparkSession, folder: str) -> str:
+    """Fixes and markers of ``folder`` as message files in a new folder."""
+    base = _new_folder(spark, "stream")
+    messages.encode(_trips(spark, folder)).write.json(f"{base}/messages")
+    return base
+
+
+def run_stream(spark: SparkSession, base: str) -> LiveTables:
+    """Run the live job over the message files until none is left."""
+    tables = LiveTables(f"{base}/tables")
+    job = start_live_job(
+        messages.file_stream(spark, f"{base}/messages", 1_000_000),
+        tables,
+        f"{base}/checkpoint",
+        available_now=True,
+    )
+    job.awaitTermination()
+    return tables
+
+
 def _stream_tables(spark: SparkSession, folder: str) -> LiveTables:
-    """Tables of one run of the live job: the fixes go out as messages, and the
-    job reads those until none is left."""
     known = (spark.sparkContext.applicationId, folder)
     if known not in _streams:
-        base = _new_folder(spark, "stream")
-        messages.encode(_trips(spark, folder)).write.json(f"{base}/messages")
-        tables = LiveTables(f"{base}/tables")
-        job = start_live_job(
-            messages.file_stream(spark, f"{base}/messages", 1_000_000),
-            tables,
-            f"{base}/checkpoint",
-            available_now=True,
-        )
-        job.awaitTermination()
-        _streams[known] = tables
+        _streams[known] = run_stream(spark, write_messages(spark, folder))
     return _streams[known]
 
 
@@ -475,6 +491,7 @@ def queries() -> dict[str, Query]:
         "segment_speed_batch": segment_speed_batch,
         "abnormal_jumps": _step_rows(OfflineAnalysis.abnormal_jumps),
         "max_distances": max_distances,
+        "abnormal_jumps_all": abnormal_jumps_all,
         "high_speed": _step_rows(OfflineAnalysis.high_speed),
         "very_high_speed_count": very_high_speed_count,
         "distance_over_time": distance_over_time,
