@@ -50,7 +50,8 @@ def with_segments(
 
 
 def segments_only(segments: DataFrame) -> DataFrame:
-    return segments.filter(F.col("segment_km").isNotNull())
+    # Tested on the time, so that no distance is computed twice.
+    return segments.filter(F.col("seconds").isNotNull())
 
 
 def with_running_totals(segments: DataFrame, track: Track) -> DataFrame:
@@ -88,11 +89,9 @@ def fleet_total(segments: DataFrame) -> DataFrame:
 
 
 def fleet_running_distance(segments: DataFrame, fleet: Track) -> DataFrame:
-    """Distance of the whole fleet after each segment.  ``fleet`` is a track
-    without keys, ordered by time."""
-    return fleet.running_sums(
-        segments_only(segments), {"total_distance": F.col("segment_km")}
-    )
+    """Distance of the whole fleet after each segment (rows without a segment
+    left out before).  ``fleet`` is a track without keys, ordered by time."""
+    return fleet.running_sums(segments, {"total_distance": F.col("segment_km")})
 
 
 def speed_history(segments: DataFrame, track: Track, page: int = 1000) -> DataFrame:

@@ -78,7 +78,7 @@ class LiveAnalysis:
         return self.track.unmark(totals)
 
     def metrics(self) -> DataFrame:
-        rows = self.track.unmark(self.segments())
+        rows = self.speeds()
         return self.fleet.unmark(motion.fleet_running_distance(rows, self.fleet))
 
     def outputs(self) -> dict[str, DataFrame]:

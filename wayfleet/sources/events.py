@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfleet.functions.rows import trip_end
+
 _FIRST_SECOND = 1201959000  # 2008-02-02 13:30:00
 
 
@@ -32,8 +34,7 @@ def event_fixes(events: DataFrame) -> DataFrame:
         longitude.alias("longitude"),
         latitude.alias("latitude"),
         event.alias("seq"),
-        F.lit(False).alias("is_trip_end"),
-    )
+    ).withColumn("is_trip_end", trip_end())
 
 
 def read_event_fixes(spark: SparkSession, folder: str) -> DataFrame:

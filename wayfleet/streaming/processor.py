@@ -36,19 +36,20 @@ OUTPUT_SCHEMA = T.StructType(
     ]
 )
 
-_BUFFER = T.StructType(
+# Fixes that wait for the watermark, as one packed value: rows of a list state
+# cross to Spark one at a time, which costs far more than the work on them.
+_WAITING = np.dtype(
     [
-        T.StructField("us", T.LongType()),
-        T.StructField("longitude", T.DoubleType()),
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("is_trip_end", T.BooleanType()),
+        ("us", "<i8"),
+        ("longitude", "<f8"),
+        ("latitude", "<f8"),
+        ("seq", "<i8"),
+        ("is_trip_end", "?"),
     ]
 )
-_BUFFER_COLUMNS = _BUFFER.fieldNames()
 
-# Last accepted fix, last fix inside the zone, and running values.
-_PROGRESS = T.StructType(
+# Last accepted fix, last fix inside the zone, running values, waiting fixes.
+_STATE = T.StructType(
     [
         T.StructField("ok_lat", T.DoubleType()),
         T.StructField("ok_lon", T.DoubleType()),
@@ -61,9 +62,10 @@ _PROGRESS = T.StructType(
         T.StructField("speed_sum", T.DoubleType()),
         T.StructField("speed_n", T.LongType()),
         T.StructField("ended", T.LongType()),
+        T.StructField("waiting", T.BinaryType()),
     ]
 )
-_START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
+START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
 
 
 class VehicleProcessor(StatefulProcessor):
@@ -80,92 +82,85 @@ class VehicleProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._buffer = handle.getListState("buffer", _BUFFER)
-        self._progress = handle.getValueState("progress", _PROGRESS)
+        self._state = handle.getValueState("vehicle", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for batch in rows:
-            if batch.empty:
-                continue
-            micros = _micros(batch["ts"])
-            self._buffer.appendList(
-                list(
-                    zip(
-                        micros.tolist(),
-                        batch["longitude"].tolist(),
-                        batch["latitude"].tolist(),
-                        batch["seq"].tolist(),
-                        batch["is_trip_end"].tolist(),
-                    )
-                )
-            )
-            low = int(micros.min())
-            first = low if first is None else min(first, low)
-        if first is not None:
-            self._wake_after(first)
+        arrived = [pack(batch) for batch in rows if len(batch)]
+        if arrived:
+            progress, waiting = self._load()
+            fixes = np.concatenate([waiting, *arrived])
+            self._store(progress, fixes)
+            self._wake_after(fixes)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # Rows strictly before the watermark are complete: older ones that
         # arrive from now on are dropped as late.
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        due, waiting = [], []
-        for row in self._buffer.get():
-            (due if row[0] < watermark else waiting).append(tuple(row))
-        if not due:
+        progress, fixes = self._load()
+        passed = fixes["us"] < watermark
+        due, waiting = fixes[passed], fixes[~passed]
+        if not len(due):
             return
-        if waiting:
-            self._buffer.put(waiting)
-            self._wake_after(min(row[0] for row in waiting))
-        else:
-            self._buffer.clear()
-        fixes = pd.DataFrame(due, columns=_BUFFER_COLUMNS).sort_values(
-            ["us", "is_trip_end", "seq"], ignore_index=True
-        )
-        state = self._progress.get()
-        out, state = advance(
-            fixes,
-            tuple(state) if state is not None else _START,
-            self._zone,
-            self._limits,
-            self._trip_end,
+        due = due[np.lexsort((due["seq"], due["is_trip_end"], due["us"]))]
+        columns, progress = advance(
+            due, progress, self._zone, self._limits, self._trip_end
         )
-        self._progress.update(state)
-        out.insert(0, "taxi_id", np.int32(key[0]))
-        yield out[OUTPUT_SCHEMA.fieldNames()]
+        self._store(progress, waiting)
+        if len(waiting):
+            self._wake_after(waiting)
+        columns["taxi_id"] = np.full(len(due), key[0], dtype=np.int32)
+        yield pd.DataFrame(columns, columns=OUTPUT_SCHEMA.fieldNames(), copy=False)
+
+    def _load(self) -> tuple[tuple, np.ndarray]:
+        stored = self._state.get()
+        if stored is None:
+            return START, np.empty(0, dtype=_WAITING)
+        *progress, waiting = stored
+        return tuple(progress), np.frombuffer(bytes(waiting), dtype=_WAITING)
+
+    def _store(self, progress: tuple, waiting: np.ndarray) -> None:
+        self._state.update((*progress, waiting.tobytes()))
+
+    def _wake_after(self, fixes: np.ndarray) -> None:
+        self._handle.registerTimer(int(fixes["us"].min()) // 1000 + 1)
 
     def close(self) -> None:
         pass
 
-    def _wake_after(self, micros: int) -> None:
-        self._handle.registerTimer(micros // 1000 + 1)
 
-
-def _micros(ts: pd.Series) -> np.ndarray:
+def pack(batch: pd.DataFrame) -> np.ndarray:
+    fixes = np.empty(len(batch), dtype=_WAITING)
+    ts = batch["ts"]
     if ts.dt.tz is not None:
         ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
-    return ts.to_numpy().astype("datetime64[us]").astype(np.int64)
+    fixes["us"] = ts.to_numpy().astype("datetime64[us]").astype(np.int64)
+    for name in ("longitude", "latitude", "seq", "is_trip_end"):
+        fixes[name] = batch[name].to_numpy()
+    return fixes
 
 
 def advance(
-    fixes: pd.DataFrame, state: tuple, zone: Zone, limits: Limits, trip_end: str
-) -> tuple[pd.DataFrame, tuple]:
-    """Handle ordered fixes of one vehicle: output rows and the state after."""
+    fixes: np.ndarray, state: tuple, zone: Zone, limits: Limits, trip_end: str
+) -> tuple[dict, tuple]:
+    """Handle ordered fixes of one vehicle: output columns and the state after.
+
+    Only the comparison with the last accepted fix goes row by row; the rest
+    works on whole columns.  NaN stands for NULL in the output.
+    """
     (*accepted, in_lat, in_lon, in_us, km, seconds, speed_sum, speed_n, ended) = state
     last = tuple(accepted) if accepted[2] is not None else None
-    lat, lon = fixes["latitude"].to_numpy(), fixes["longitude"].to_numpy()
-    us = fixes["us"].to_numpy()
-    marker = fixes["is_trip_end"].to_numpy(dtype=bool)
+    lat, lon, us = fixes["latitude"], fixes["longitude"], fixes["us"]
+    marker = fixes["is_trip_end"]
     size = len(fixes)
 
     codes = np.zeros(size, dtype=np.int8)
-    for i in range(size):
-        if marker[i] and trip_end == "intent":
+    rows = zip(lat.tolist(), lon.tolist(), us.tolist())
+    for i, (fix, is_marker) in enumerate(zip(rows, marker.tolist())):
+        if is_marker and trip_end == "intent":
             continue
-        fix = (float(lat[i]), float(lon[i]), int(us[i]))
         if last is not None:
-            codes[i] = verdict(last, *fix, bool(marker[i]), limits.max_speed_kmh)
+            codes[i] = verdict(last, *fix, is_marker, limits.max_speed_kmh)
         if codes[i] == ACCEPTED:
             last = fix
 
@@ -173,55 +168,57 @@ def advance(
     inside = (codes == ACCEPTED) & (to_centre <= zone.radius_km)
     at = np.flatnonzero(inside)
 
-    out = pd.DataFrame(
-        {
-            "ts": pd.to_datetime(us, unit="us"),
-            "longitude": lon,
-            "latitude": lat,
-            "seq": fixes["seq"].to_numpy(),
-            "is_trip_end": marker,
-            "reject_reason": pd.Series(codes).map(REASONS).astype(object),
-            "distance_to_forbidden_city": np.where(inside, to_centre, np.nan),
-        }
-    )
-    blank = np.full(size, np.nan)
-    columns = {
-        name: blank.copy()
-        for name in (
-            "segment_km", "speed", "taxi_distance", "elapsed_seconds", "average_speed",
-        )
+    def blank() -> np.ndarray:
+        return np.full(size, np.nan)
+
+    out = {
+        "ts": us.astype("datetime64[us]"),
+        "longitude": lon,
+        "latitude": lat,
+        "seq": fixes["seq"],
+        "is_trip_end": marker,
+        "reject_reason": np.array([None, *REASONS.values()], dtype=object)[codes],
+        "distance_to_forbidden_city": np.where(inside, to_centre, np.nan),
+        **{
+            name: blank()
+            for name in (
+                "is_violated",
+                "segment_km",
+                "speed",
+                "is_speeding",
+                "taxi_distance",
+                "elapsed_seconds",
+                "average_speed",
+                "ended_trip_count",
+            )
+        },
     }
-    violated, speeding, counts = blank.copy(), blank.copy(), blank.copy()
     if len(at):
-        violated[at] = to_centre[at] > zone.warn_km
-        from_lat, from_lon = np.r_[np.nan, lat[at[:-1]]], np.r_[np.nan, lon[at[:-1]]]
-        from_us = np.r_[0, us[at[:-1]]]
+        out["is_violated"][at] = to_centre[at] > zone.warn_km
         has_previous = np.ones(len(at), dtype=bool)
-        if in_us is None:
-            has_previous[0] = False
-        else:
-            from_lat[0], from_lon[0], from_us[0] = in_lat, in_lon, in_us
-        step = np.where(has_previous, distances_km(from_lat, from_lon, lat[at], lon[at]), 0.0)
-        passed = np.where(has_previous, (us[at] - from_us) / 1e6, 0.0)
+        has_previous[0] = in_us is not None
+        from_lat = np.r_[in_lat if has_previous[0] else np.nan, lat[at[:-1]]]
+        from_lon = np.r_[in_lon if has_previous[0] else np.nan, lon[at[:-1]]]
+        from_us = np.r_[in_us if has_previous[0] else us[at[0]], us[at[:-1]]]
+        step = distances_km(from_lat, from_lon, lat[at], lon[at])
+        passed = (us[at] - from_us) / 1e6
         speed = np.divide(step, passed, out=np.zeros(len(at)), where=passed > 0) * 3600
-        columns["segment_km"][at] = np.where(has_previous, step, np.nan)
-        columns["speed"][at] = np.where(has_previous, speed, np.nan)
-        speeding[at] = np.where(has_previous, speed > limits.speeding_kmh, np.nan)
-        run_km, run_s = km + np.cumsum(step), seconds + np.cumsum(passed)
+        out["segment_km"][at] = step
+        out["speed"][at] = np.where(has_previous, speed, np.nan)
+        out["is_speeding"][at] = np.where(has_previous, speed > limits.speeding_kmh, np.nan)
+        run_km = km + np.cumsum(np.where(has_previous, step, 0.0))
+        run_seconds = seconds + np.cumsum(passed)
         run_sum, run_n = speed_sum + np.cumsum(speed), speed_n + np.cumsum(has_previous)
-        columns["taxi_distance"][at], columns["elapsed_seconds"][at] = run_km, run_s
-        columns["average_speed"][at] = run_sum / np.maximum(run_n, 1)
+        out["taxi_distance"][at] = run_km
+        out["elapsed_seconds"][at] = run_seconds
+        out["average_speed"][at] = run_sum / np.maximum(run_n, 1)
         in_lat, in_lon, in_us = float(lat[at[-1]]), float(lon[at[-1]]), int(us[at[-1]])
-        km, seconds = float(run_km[-1]), float(run_s[-1])
+        km, seconds = float(run_km[-1]), float(run_seconds[-1])
         speed_sum, speed_n = float(run_sum[-1]), int(run_n[-1])
     # As wired, only markers inside the zone would count, and none can be.
     counted = np.flatnonzero(marker if trip_end == "intent" else marker & inside)
-    counts[counted] = ended + 1 + np.arange(len(counted))
+    out["ended_trip_count"][counted] = ended + 1 + np.arange(len(counted))
     ended += len(counted)
 
-    out = out.assign(**columns)
-    out["is_violated"] = pd.array(violated, dtype="Int32")
-    out["is_speeding"] = pd.array(speeding, dtype="Int32")
-    out["ended_trip_count"] = pd.array(counts, dtype="Int64")
     after = last if last is not None else (None, None, None)
     return out, (*after, in_lat, in_lon, in_us, km, seconds, speed_sum, speed_n, ended)
