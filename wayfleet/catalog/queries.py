@@ -127,7 +127,8 @@ def json_decode(spark, folder):
 
 def topic_union(spark, folder):
     """Five tagged topics in one stream of messages, summed up per topic."""
-    sent = messages.tag_topics(_live_trips(spark, folder).outputs())
+    live = _live_trips(spark, folder).staged(_new_folder(spark, "live"))
+    sent = messages.tag_topics(live.outputs())
     return (
         sent.select("topic", F.from_json("value", "taxi_id int, seq bigint").alias("r"))
         .groupBy("topic")

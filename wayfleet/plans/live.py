@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from copy import copy
+
 from pyspark.sql import DataFrame
 
 from wayfleet.config import (
@@ -41,6 +43,7 @@ class LiveAnalysis:
         self.zone, self.limits, self.trip_end = zone, limits, trip_end
         self.track = track or Track.of(fixes, sizing=sizing)
         self._fleet, self._sizing = fleet, sizing
+        self._staged: DataFrame | None = None
 
     @property
     def fleet(self) -> Track:
@@ -54,7 +57,18 @@ class LiveAnalysis:
     def cleaned(self) -> DataFrame:
         return clean.clean_fixes(self.fixes, self.track, self.limits, self.trip_end)
 
+    def staged(self, folder: str) -> "LiveAnalysis":
+        """The same analysis with the active fixes written to shared storage
+        once; several outputs then share one cleaning pass."""
+        path = f"{folder}/active_fixes"
+        self.active().write.mode("overwrite").parquet(path)
+        analysis = copy(self)
+        analysis._staged = self.fixes.sparkSession.read.parquet(path)
+        return analysis
+
     def active(self) -> DataFrame:
+        if self._staged is not None:
+            return self._staged
         return geofence.inside_zone(self.cleaned(), self.zone)
 
     def ended(self) -> DataFrame:
@@ -92,5 +106,10 @@ class LiveAnalysis:
             AVERAGES: self.averages().select(*at, "average_speed"),
         }
 
+    def write_outputs(self, folder: str) -> None:
+        """The five outputs as tables under ``folder``."""
+        for name, rows in self.staged(folder).outputs().items():
+            rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+
 
 __all__ = ["FLEET_ORDER", "LiveAnalysis"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayfleet.config import LIMITS, SIZING, ZONE, Limits, Sizing, Zone
 from wayfleet.functions.geo import distance_to_zone_km
 from wayfleet.operators import explore, motion, trips
+from wayfleet.operators.geofence import near_zone
 from wayfleet.operators.track import Track
 
 TAXI_ORDER = ("taxi_id", "ts", "seq")
@@ -44,7 +45,8 @@ class OfflineAnalysis:
         return explore.duplicate_groups(moving)
 
     def within_radius(self) -> DataFrame:
-        return self.distinct_rows().withColumn(
+        near = self.distinct_rows().filter(near_zone(self.zone))
+        return near.withColumn(
             CENTRE_DISTANCE, distance_to_zone_km(self.zone)
         ).filter(F.col(CENTRE_DISTANCE) <= self.zone.radius_km)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,38 +39,49 @@ class LiveTables:
         """Sink of one micro-batch (``foreachBatch``)."""
         batch = batch.persist()
         try:
-            inside = batch.filter(F.col("is_violated").isNotNull())
-            segments = inside.filter(F.col("segment_km").isNotNull())
-            ended = batch.filter(F.col("ended_trip_count").isNotNull())
-            active = inside.select(
-                *_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"
-            )
-            speeds = segments.select(*_AT, *_PLACE, "speed", "is_speeding")
-            averages = inside.select(*_AT, "average_speed")
-            counts = ended.select(*_AT, "ended_trip_count")
-            rejects = batch.filter(F.col("reject_reason").isNotNull())
-
-            self._write_fleet(segments.select(*_AT, "segment_km"), batch_id)
-            self._replace(ACTIVE, active, batch_id)
-            self._replace(SPEEDS, speeds, batch_id)
-            self._replace(AVERAGES, averages, batch_id)
-            self._replace(ENDED, counts, batch_id)
-            self._replace(
-                REJECTS, rejects.select(*_AT, *_PLACE, "reject_reason"), batch_id
-            )
-
-            # A marker deletes the vehicle's active document.
-            moves = active.withColumn("is_trip_end", F.lit(False)).unionByName(
-                ended.select(*_AT, F.lit(True).alias("is_trip_end")),
-                allowMissingColumns=True,
-            )
-            self._serve(ACTIVE, moves, batch_id, order=["ts", "is_trip_end", "seq"])
-            self._serve(SPEEDS, speeds, batch_id)
-            self._serve(AVERAGES, averages, batch_id)
-            self._serve(ENDED, counts, batch_id, keys=[])
+            # One job over all tasks of the stateful operator; the writes below
+            # read the stored rows.
+            if batch.count() > 0:
+                self._write_rows(batch, batch_id)
         finally:
             batch.unpersist()
 
+    def _write_rows(self, batch: DataFrame, batch_id: int) -> None:
+        inside = batch.filter(F.col("is_violated").isNotNull())
+        segments = inside.filter(F.col("segment_km").isNotNull())
+        ended = batch.filter(F.col("ended_trip_count").isNotNull())
+        active = inside.select(
+            *_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"
+        )
+        speeds = segments.select(*_AT, *_PLACE, "speed", "is_speeding")
+        averages = inside.select(*_AT, "average_speed")
+        counts = ended.select(*_AT, "ended_trip_count")
+        rejects = batch.filter(F.col("reject_reason").isNotNull()).select(
+            *_AT, *_PLACE, "reject_reason"
+        )
+        # A marker deletes the vehicle's active document.
+        moves = active.withColumn("is_trip_end", F.lit(False)).unionByName(
+            ended.select(*_AT, F.lit(True).alias("is_trip_end")),
+            allowMissingColumns=True,
+        )
+        by_end = ["ts", "is_trip_end", "seq"]
+        writes = [
+            lambda: self._write_fleet(segments.select(*_AT, "segment_km"), batch_id),
+            lambda: self._replace(ACTIVE, active, batch_id),
+            lambda: self._replace(SPEEDS, speeds, batch_id),
+            lambda: self._replace(AVERAGES, averages, batch_id),
+            lambda: self._replace(ENDED, counts, batch_id),
+            lambda: self._replace(REJECTS, rejects, batch_id),
+            lambda: self._serve(ACTIVE, moves, batch_id, order=by_end),
+            lambda: self._serve(SPEEDS, speeds, batch_id),
+            lambda: self._serve(AVERAGES, averages, batch_id),
+            lambda: self._serve(ENDED, counts, batch_id, keys=[]),
+        ]
+        # The tables are independent and small, so their jobs overlap.
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for done in [pool.submit(write) for write in writes]:
+                done.result()
+
     def _replace(self, table: str, rows: DataFrame, batch_id: int) -> None:
         path = f"{self.folder}/{table}/{_BATCH}={batch_id}"
         rows.write.mode("overwrite").parquet(path)
@@ -80,10 +93,12 @@ class LiveTables:
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
         running = fleet.unmark(fleet_running_distance(segments, fleet))
         before = 0.0
-        earlier = [n for n in self._numbers(f"{self.folder}/{_TOTAL}") if n < batch_id]
+        spark = segments.sparkSession
+        written = self._numbers(spark, f"{self.folder}/{_TOTAL}")
+        earlier = [n for n in written if n < batch_id]
         if earlier:
             path = f"{self.folder}/{_TOTAL}/{_BATCH}={earlier[-1]}"
-            before = segments.sparkSession.read.parquet(path).first()[0]
+            before = spark.read.parquet(path).first()[0]
         self._replace(
             METRICS,
             running.select(
@@ -105,15 +120,17 @@ class LiveTables:
         order: list[str] | None = None,
     ) -> None:
         keys = ["taxi_id"] if keys is None else keys
-        before = self._newest_version(table, batch_id)
+        spark = rows.sparkSession
+        versions = self._versions(spark, table)
+        earlier = [v for v in versions if v < batch_id]
         merged = rows
-        if before is not None:
+        if earlier:
+            before = spark.read.parquet(self._version(table, earlier[-1]))
             merged = rows.unionByName(before, allowMissingColumns=True)
         latest = latest_by_key(merged, keys, order or ["ts", "seq"])
         latest.write.mode("overwrite").parquet(self._version(table, batch_id))
-        for old in self._versions(table):
-            if old <= batch_id - self.kept_versions:
-                self._delete(self._version(table, old))
+        for old in earlier[: -self.kept_versions]:
+            self._delete(spark, self._version(table, old))
 
     # -- reading ----------------------------------------------------------
 
@@ -122,7 +139,7 @@ class LiveTables:
 
     def latest(self, spark: SparkSession, table: str) -> DataFrame:
         """Newest row per key, without vehicles whose trip has ended."""
-        newest = max(self._versions(table))
+        newest = max(self._versions(spark, table))
         rows = spark.read.parquet(self._version(table, newest))
         if "is_trip_end" in rows.columns:
             rows = without_ended(rows).drop("is_trip_end")
@@ -143,15 +160,14 @@ class LiveTables:
     def _version(self, table: str, batch_id: int) -> str:
         return f"{self.folder}/served/{table}/v={batch_id}"
 
-    def _fs(self):
-        spark = SparkSession.active()
+    def _fs(self, spark: SparkSession):
         jvm = spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.folder)
         return jvm, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _numbers(self, folder: str) -> list[int]:
+    def _numbers(self, spark: SparkSession, folder: str) -> list[int]:
         """Numbers of the complete ``name=number`` directories of a folder."""
-        jvm, fs = self._fs()
+        jvm, fs = self._fs(spark)
         path = jvm.org.apache.hadoop.fs.Path
         if not fs.exists(path(folder)):
             return []
@@ -162,15 +178,9 @@ class LiveTables:
             if "=" in p.getName() and fs.exists(path(p, "_SUCCESS"))
         )
 
-    def _versions(self, table: str) -> list[int]:
-        return self._numbers(f"{self.folder}/served/{table}")
-
-    def _newest_version(self, table: str, batch_id: int) -> DataFrame | None:
-        earlier = [v for v in self._versions(table) if v < batch_id]
-        if not earlier:
-            return None
-        return SparkSession.active().read.parquet(self._version(table, earlier[-1]))
+    def _versions(self, spark: SparkSession, table: str) -> list[int]:
+        return self._numbers(spark, f"{self.folder}/served/{table}")
 
-    def _delete(self, folder: str) -> None:
-        jvm, fs = self._fs()
+    def _delete(self, spark: SparkSession, folder: str) -> None:
+        jvm, fs = self._fs(spark)
         fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
