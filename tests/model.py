@@ -106,10 +106,12 @@ def live(fixes) -> dict:
 
 
 def fleet(fixes) -> dict:
+    """Fleet distance after each segment."""
+    found = live(fixes)
     steps = [
-        (f[1], f[0], f[4], live_row["step"])
+        (f[1], f[0], f[4], found[(f[0], f[4])]["step"])
         for f in fixes
-        if "step" in (live_row := _LIVE(fixes).get((f[0], f[4]), {}))
+        if "step" in found.get((f[0], f[4]), {})
     ]
     out, total = {}, 0.0
     for _, taxi, seq, step in sorted(steps):
@@ -118,16 +120,6 @@ def fleet(fixes) -> dict:
     return out
 
 
-_cache: dict = {}
-
-
-def _LIVE(fixes):
-    if id(fixes) not in _cache:
-        _cache.clear()
-        _cache[id(fixes)] = live(fixes)
-    return _cache[id(fixes)]
-
-
 def random_fixes(seed: int, taxis: int, most: int, hot: int = 0, markers: bool = False):
     """Random walks with repeated times, far jumps and two vehicles that share
     an id; ``hot`` more rows go to vehicle 0."""
