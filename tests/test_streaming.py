@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests import model
-from wayfleet.config import LIMITS, ZONE
+from wayfleet.config import LIMITS, OUTPUT_TOPICS, ZONE
 from wayfleet.plans.live import LiveAnalysis
 from wayfleet.sinks.tables import LiveTables
 from wayfleet.sources import messages
@@ -138,6 +138,14 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
         assert history.count() == 18
         assert history.agg({"total_distance": "max"}).first()[0] == 36.0
         assert tables.latest(spark, "avg_speed").count() == 3
+    sent = []
+    tables.publish = lambda messages: sent.extend(messages.collect())
+    tables.write(later, 1)
+    counts = {t: sum(m.topic == t for m in sent) for t in OUTPUT_TOPICS}
+    assert counts == {
+        "active_taxi": 12, "over_speeding": 9, "avg_speed": 12, "metrics": 9, "ended_taxi": 0,
+    }
+    tables.publish = None
     tables.write(batch.limit(0), 2)
     assert tables.history(spark, "active_taxi").count() == 24
 

@@ -42,3 +42,44 @@ def verdict(last, latitude, longitude, micros, is_marker, max_speed_kmh) -> int:
         if km / ((micros - last[2]) / 1e6) * 3600 > max_speed_kmh:
             return IMPOSSIBLE_SPEED
     return ACCEPTED
+
+
+def fold(latitude, longitude, micros, is_marker, last, max_speed_kmh):
+    """Verdicts of ordered fixes of one vehicle, and the last accepted fix.
+
+    While nothing is rejected, a fix is compared with the row before it, which
+    works on whole columns.  Only where that fails does the comparison go row by
+    row, up to the next accepted fix.
+    """
+    size = len(micros)
+    codes = np.zeros(size, dtype=np.int8)
+    if not size:
+        return codes, last
+
+    def point(i: int):
+        return float(latitude[i]), float(longitude[i]), int(micros[i])
+
+    passed = np.diff(micros)
+    km = distances_km(latitude[:-1], longitude[:-1], latitude[1:], longitude[1:])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        too_fast = (passed > 0) & (km / (passed / 1e6) * 3600 > max_speed_kmh)
+    suspects = np.flatnonzero(too_fast | ((passed == 0) & ~is_marker[1:])) + 1
+    at = 0
+    if last is None:
+        last, at = point(0), 1
+    while True:
+        # Compare with ``last`` up to an accepted row.
+        while at < size:
+            code = verdict(last, *point(at), bool(is_marker[at]), max_speed_kmh)
+            if code == ACCEPTED:
+                break
+            codes[at] = code
+            at += 1
+        if at == size:
+            return codes, last
+        # From there on rows pass until the next suspect.
+        place = np.searchsorted(suspects, at + 1)
+        if place == len(suspects):
+            return codes, point(size - 1)
+        at = int(suspects[place])
+        last = point(at - 1)

@@ -15,7 +15,8 @@ def drop_duplicate_rows(
 ) -> DataFrame:
     """One row per distinct data row, with the sequence number of its first
     copy.  Copies collapse before the shuffle, however many there are."""
-    rest = [F.first(c).alias(c) for c in fixes.columns if c not in (*columns, "seq")]
+    others = [c for c in fixes.columns if c not in (*columns, "seq")]
+    rest = [F.min_by(c, "seq").alias(c) for c in others]
     return fixes.groupBy(*columns).agg(F.min("seq").alias("seq"), *rest)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from wayfleet.operators.motion import fleet_running_distance
 from wayfleet.operators.serve import document_for, latest_by_key, without_ended
 from wayfleet.operators.track import Track
 from wayfleet.plans.live import FLEET_ORDER
+from wayfleet.sources.messages import tag_topics
 
 REJECTS = "rejects"
 _AT = ["taxi_id", "ts", "seq"]
@@ -27,11 +29,21 @@ class LiveTables:
     repeated batch leaves no trace.  The served tables are written as a new
     version per batch, made from the version before and the batch; readers take
     the newest complete one.
+
+    ``publish`` also gets the new rows of every batch as messages of the five
+    topics (``topic, key, value``); a repeated batch is published again.
     """
 
-    def __init__(self, folder: str, sizing: Sizing = SIZING, kept_versions: int = 3):
+    def __init__(
+        self,
+        folder: str,
+        sizing: Sizing = SIZING,
+        kept_versions: int = 3,
+        publish: Callable[[DataFrame], None] | None = None,
+    ):
         self.folder = folder.rstrip("/")
         self.sizing, self.kept_versions = sizing, kept_versions
+        self.publish = publish
 
     # -- writing ----------------------------------------------------------
 
@@ -81,6 +93,17 @@ class LiveTables:
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for done in [pool.submit(write) for write in writes]:
                 done.result()
+        if self.publish is not None:
+            fleet = f"{self.folder}/{METRICS}/{_BATCH}={batch_id}"
+            metrics = batch.sparkSession.read.parquet(fleet)
+            outputs = {
+                ACTIVE: active,
+                ENDED: counts,
+                METRICS: metrics,
+                SPEEDS: speeds,
+                AVERAGES: averages,
+            }
+            self.publish(tag_topics(outputs))
 
     def _replace(self, table: str, rows: DataFrame, batch_id: int) -> None:
         path = f"{self.folder}/{table}/{_BATCH}={batch_id}"

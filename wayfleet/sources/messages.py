@@ -108,6 +108,14 @@ def kafka_stream(
     )
 
 
+def send_fixes(fixes: DataFrame, servers: str) -> None:
+    """Send fixes to the input topic.  Tasks send in time order; the reader
+    puts what several tasks interleave back in order."""
+    spread = fixes.repartitionByRange("ts", "is_trip_end", "seq")
+    sent = encode(spread.sortWithinPartitions("ts", "is_trip_end", "seq"))
+    write_kafka(sent.withColumn("topic", F.lit(INPUT_TOPIC)), servers)
+
+
 def write_kafka(messages: DataFrame, servers: str) -> None:
     """Send ``topic, key, value`` rows of a batch."""
     (

@@ -13,7 +13,7 @@ from pyspark.sql.streaming.stateful_processor import (
 from pyspark.sql import types as T
 
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
-from wayfleet.functions.points import ACCEPTED, REASONS, distances_km, verdict
+from wayfleet.functions.points import ACCEPTED, REASONS, distances_km, fold
 
 OUTPUT_SCHEMA = T.StructType(
     [
@@ -145,8 +145,7 @@ def advance(
 ) -> tuple[dict, tuple]:
     """Handle ordered fixes of one vehicle: output columns and the state after.
 
-    Only the comparison with the last accepted fix goes row by row; the rest
-    works on whole columns.  NaN stands for NULL in the output.
+    Works on whole columns; NaN stands for NULL in the output.
     """
     (*accepted, in_lat, in_lon, in_us, km, seconds, speed_sum, speed_n, ended) = state
     last = tuple(accepted) if accepted[2] is not None else None
@@ -154,15 +153,17 @@ def advance(
     marker = fixes["is_trip_end"]
     size = len(fixes)
 
+    # Markers pass untouched, or are compared like any other fix.
+    compared = np.flatnonzero(~marker) if trip_end == "intent" else np.arange(size)
     codes = np.zeros(size, dtype=np.int8)
-    rows = zip(lat.tolist(), lon.tolist(), us.tolist())
-    for i, (fix, is_marker) in enumerate(zip(rows, marker.tolist())):
-        if is_marker and trip_end == "intent":
-            continue
-        if last is not None:
-            codes[i] = verdict(last, *fix, is_marker, limits.max_speed_kmh)
-        if codes[i] == ACCEPTED:
-            last = fix
+    codes[compared], last = fold(
+        lat[compared],
+        lon[compared],
+        us[compared],
+        marker[compared],
+        last,
+        limits.max_speed_kmh,
+    )
 
     to_centre = distances_km(lat, lon, zone.latitude, zone.longitude)
     inside = (codes == ACCEPTED) & (to_centre <= zone.radius_km)
