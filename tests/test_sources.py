@@ -136,9 +136,11 @@ def test_bad_messages_are_set_apart(spark):
         "no json",
     ]
     sent = spark.createDataFrame([(str(i), v, i) for i, v in enumerate(values)], "key string, value string, seq bigint")
-    decoded = messages.decode(sent)
-    assert [r.seq for r in decoded.filter(messages.is_complete()).collect()] == [0]
-    assert decoded.filter(~messages.is_complete()).count() == 3
+    assert [r.seq for r in messages.complete_fixes(sent).collect()] == [0]
+    rejected = messages.rejected_messages(sent)
+    assert {(r.value, r.seq) for r in rejected.collect()} == {
+        (v, i) for i, v in enumerate(values) if i
+    }
 
 
 def test_topics(spark):

@@ -206,12 +206,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "parse_valid": _sql(
             [_FIXES],
-            f"""SELECT {_FIX}, is_trip_end FROM fixes
+            f"""SELECT taxi_id, ts, longitude, latitude, is_trip_end FROM fixes
                 WHERE seq % 211 <> 0 AND seq % 223 <> 0""",
         ),
         "parse_rejects": _sql(
             [_FIXES, _LINES],
-            "SELECT value, seq FROM lines WHERE seq % 211 = 0 OR seq % 223 = 0",
+            "SELECT value FROM lines WHERE seq % 211 = 0 OR seq % 223 = 0",
         ),
         "trip_end_rows": _sql(trips, "SELECT * FROM ends"),
         "fixes_with_trip_end": _sql(trips, "SELECT * FROM trips"),
@@ -515,6 +515,13 @@ tagged AS (
             _STREAM,
             "SELECT taxi_id, ts, seq, reject_reason FROM screened WHERE reject_reason IS NOT NULL",
         ),
+        "stream_quarantine": _sql(
+            _STREAM[:2],
+            f"""SELECT CAST(taxi_id AS VARCHAR) AS key,
+                       replace({_MESSAGE}, strftime(ts, '%Y-%m-%d %H:%M:%S'), 'bad') AS value,
+                       seq
+                FROM trips WHERE seq % 223 = 0""",
+        ),
         "stream_latest_active": _sql(
             [
                 *_STREAM,

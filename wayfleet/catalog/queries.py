@@ -27,9 +27,9 @@ from wayfleet.session import shared_folder
 from wayfleet.sinks.tables import REJECTS, LiveTables
 from wayfleet.sources import messages
 from wayfleet.sources.events import as_log_lines, read_event_fixes, with_copies
-from wayfleet.sources.logs import rejected_lines, valid_fixes
+from wayfleet.sources.logs import read_log_lines, rejected_lines, valid_fixes
 from wayfleet.sources.tables import read_fixes, write_csv, write_fixes
-from wayfleet.streaming.job import start_live_job
+from wayfleet.streaming.job import start_live_job, start_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,11 +114,18 @@ def csv_export(spark, folder):
 
 
 def _lines(spark, folder):
-    return as_log_lines(_fixes(spark, folder)).select("value", "seq")
+    """Log files of the fixes, some lines damaged, written and read as text."""
+    path = _new_folder(spark, "logs")
+    as_log_lines(_fixes(spark, folder)).select("value").write.text(path)
+    return read_log_lines(spark, path)
 
 
 def parse_valid(spark, folder):
-    return valid_fixes(_lines(spark, folder)).select(*_FIX, "is_trip_end")
+    return valid_fixes(_lines(spark, folder)).select(*_FIX[:4], "is_trip_end")
+
+
+def parse_rejects(spark, folder):
+    return rejected_lines(_lines(spark, folder)).select("value")
 
 
 def json_decode(spark, folder):
@@ -393,20 +400,27 @@ def distance_over_time(spark, folder):
 def write_messages(spark: SparkSession, folder: str) -> str:
     """Fixes and markers of ``folder`` as message files in a new folder."""
     base = _new_folder(spark, "stream")
-    messages.encode(_trips(spark, folder)).write.json(f"{base}/messages")
+    sent = messages.encode(_trips(spark, folder))
+    # One in 223 comes a second time with a damaged timestamp.
+    damaged = sent.filter(F.col("seq") % 223 == 0).withColumn(
+        "value", F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"bad"')
+    )
+    sent.unionByName(damaged).write.json(f"{base}/messages")
     return base
 
 
 def run_stream(spark: SparkSession, base: str) -> LiveTables:
     """Run the live job over the message files until none is left."""
     tables = LiveTables(f"{base}/tables")
-    job = start_live_job(
-        messages.file_stream(spark, f"{base}/messages", 1_000_000),
-        tables,
-        f"{base}/checkpoint",
-        available_now=True,
-    )
-    job.awaitTermination()
+    source = messages.file_stream(spark, f"{base}/messages", 1_000_000)
+    jobs = [
+        start_live_job(source, tables, f"{base}/checkpoint", available_now=True),
+        start_quarantine(
+            source, f"{base}/quarantine", f"{base}/checkpoint_q", available_now=True
+        ),
+    ]
+    for job in jobs:
+        job.awaitTermination()
     return tables
 
 
@@ -425,6 +439,11 @@ def _stream(table, *columns, rounded=None, places=6):
     return query
 
 
+def stream_quarantine(spark, folder):
+    base = _stream_tables(spark, folder).folder.removesuffix("/tables")
+    return spark.read.parquet(f"{base}/quarantine").select("key", "value", "seq")
+
+
 def stream_latest_active(spark, folder):
     return _stream_tables(spark, folder).latest(spark, ACTIVE).select(*_FIX)
 
@@ -435,7 +454,7 @@ def queries() -> dict[str, Query]:
         "processed_table": processed_table,
         "csv_export": csv_export,
         "parse_valid": parse_valid,
-        "parse_rejects": lambda s, d: rejected_lines(_lines(s, d)),
+        "parse_rejects": parse_rejects,
         "trip_end_rows": lambda s, d: trips.split_markers(_trips(s, d))[1],
         "fixes_with_trip_end": _trips,
         "json_encode": lambda s, d: messages.encode(_fixes(s, d)),
@@ -511,5 +530,6 @@ def queries() -> dict[str, Query]:
         ),
         "stream_ended": _stream(ENDED, *_AT, "ended_trip_count"),
         "stream_rejects": _stream(REJECTS, *_AT, "reject_reason"),
+        "stream_quarantine": stream_quarantine,
         "stream_latest_active": stream_latest_active,
     }

@@ -38,11 +38,15 @@ def local_session(app: str, cores: str = "8", partitions: int = 8) -> SparkSessi
     return builder.getOrCreate()
 
 
+_fallback: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names, or a fresh
     temporary one when none is named (single machine, tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="wayfleet-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not _fallback:
+        _fallback.append(tempfile.mkdtemp(prefix="wayfleet-"))
+    return _fallback[0]

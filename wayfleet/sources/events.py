@@ -61,4 +61,4 @@ def as_log_lines(fixes: DataFrame) -> DataFrame:
     value = F.when(F.col("seq") % 211 == 0, lead).otherwise(
         F.concat_ws(",", lead, F.col("latitude").cast("string"))
     )
-    return fixes.select(value.alias("value"), "seq", "taxi_id", "ts")
+    return fixes.select(value.alias("value"), "seq")

@@ -46,25 +46,40 @@ def encode_rows(topic: str, rows: DataFrame) -> DataFrame:
     )
 
 
+def _record():
+    return F.from_json("value", MESSAGE_SCHEMA)
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Fixes from messages; fields that do not convert are NULL."""
-    record = F.from_json("value", MESSAGE_SCHEMA)
-    return messages.withColumn("_r", record).select(
-        F.col("_r.taxi_id").alias("taxi_id"),
-        parse_timestamp(F.col("_r.timestamp")).alias("ts"),
-        F.col("_r.longitude").alias("longitude"),
-        F.col("_r.latitude").alias("latitude"),
-        "seq",
-    ).withColumn("is_trip_end", F.coalesce(trip_end(), F.lit(False)))
+    return (
+        messages.withColumn("_r", _record())
+        .select(
+            F.col("_r.taxi_id").alias("taxi_id"),
+            parse_timestamp(F.col("_r.timestamp")).alias("ts"),
+            F.col("_r.longitude").alias("longitude"),
+            F.col("_r.latitude").alias("latitude"),
+            "seq",
+        )
+        .withColumn("is_trip_end", F.coalesce(trip_end(), F.lit(False)))
+    )
+
+
+def complete_fixes(messages: DataFrame) -> DataFrame:
+    """Decoded messages that are usable fixes."""
+    fixes = decode(messages)
+    return fixes.dropna(subset=["taxi_id", "ts", "longitude", "latitude"])
 
 
-def is_complete():
-    """Whether a decoded message is a usable fix; the rest is quarantined."""
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """The quarantine: messages that are no usable fix, as they came."""
+    usable = parse_timestamp(F.col("_r.timestamp")).isNotNull()
+    for name in ("taxi_id", "longitude", "latitude"):
+        usable = usable & F.col(f"_r.{name}").isNotNull()
     return (
-        F.col("taxi_id").isNotNull()
-        & F.col("ts").isNotNull()
-        & F.col("longitude").isNotNull()
-        & F.col("latitude").isNotNull()
+        messages.withColumn("_r", _record())
+        .filter(~F.coalesce(usable, F.lit(False)))
+        .drop("_r")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
 from wayfleet.session import ROCKSDB_PROVIDER
 from wayfleet.sinks.tables import LiveTables
-from wayfleet.sources.messages import decode, is_complete
+from wayfleet.sources.messages import complete_fixes, rejected_messages
 from wayfleet.streaming.processor import OUTPUT_SCHEMA, VehicleProcessor
 
 
@@ -48,14 +48,33 @@ def start_live_job(
     messages.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER
     )
-    rows = live_rows(decode(messages).filter(is_complete()), **options)
+    rows = live_rows(complete_fixes(messages), **options)
     writer = (
         rows.writeStream.foreachBatch(tables.write)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
+    return _start(writer, available_now, every)
+
+
+def start_quarantine(
+    messages: DataFrame,
+    folder: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = "1 minute",
+) -> StreamingQuery:
+    """Keep messages that are no usable fix, which the live job leaves out."""
+    writer = (
+        rejected_messages(messages)
+        .writeStream.format("parquet")
+        .option("path", folder)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _start(writer, available_now, every)
+
+
+def _start(writer, available_now: bool, every: str) -> StreamingQuery:
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=every)
-    return writer.start()
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()
