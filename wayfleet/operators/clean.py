@@ -9,9 +9,11 @@ fix cannot condemn the good ones after it.  That makes it a fold rather than a
   at rows that fail it and at the rows after them, up to the next accepted one.
   Sorted batches stream through ``mapInArrow`` with constant memory.
 * Of the rows before a slice of a long history, only the last accepted one
-  matters.  Slices are folded at the same time, first from an assumed start;
-  where the true start turns out to differ the slice is folded again, until
-  every slice has been folded from exactly what its predecessor ends with.
+  matters.  Slices are folded at the same time, as if each began a history.
+  Two folds that accept the same row agree from there on, so the first rows of
+  a slice mostly tell what it ends with from any other start.  Where they do
+  not, the slice is folded again, until every slice has been folded from
+  exactly what its predecessor ends with.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from wayfleet.operators.track import SLICE, Track
 
 _ENTRY = ("_in_lat", "_in_lon", "_in_us")
 _CODE = "_code"
+_NTH = "_nth"  # place of a row in its group, for the first rows of each
+_HEAD = 8
 
 
 def screen_fixes(
@@ -123,7 +127,11 @@ def _fold(
 
     keep = marked.columns
     schema = T.StructType(
-        [*marked.schema.fields, T.StructField(_CODE, T.ByteType(), False)]
+        [
+            *marked.schema.fields,
+            T.StructField(_CODE, T.ByteType(), False),
+            T.StructField(_NTH, T.ByteType(), False),
+        ]
     )
     return rows.mapInArrow(_folder(keep, limits.max_speed_kmh), schema)
 
@@ -138,9 +146,15 @@ def _folder(
         # The accepted fix that rows are being compared with while the row
         # before was rejected; None when the row before was accepted.
         last = None
+        opened = 0  # where the current group began, counted from this batch
         for batch in batches:
             size = batch.num_rows
             codes = np.zeros(size, dtype=np.int8)
+            rows = np.arange(size)
+            starts = np.where(column(batch, "_opens"), rows, opened)
+            starts = np.maximum.accumulate(starts)
+            nth = np.where(rows - starts < _HEAD, rows - starts, _HEAD).astype(np.int8)
+            opened = int(starts[-1]) - size if size else opened
             suspects = np.flatnonzero(column(batch, "_suspect"))
             if size and (last is not None or len(suspects)):
                 latitude, longitude, micros, marker, opens = (
@@ -181,8 +195,8 @@ def _folder(
                         break  # batch ends while rows are still being rejected
                     last = None
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [pa.array(codes)],
-                names=[*keep, _CODE],
+                [batch.column(c) for c in keep] + [pa.array(codes), pa.array(nth)],
+                names=[*keep, _CODE, _NTH],
             )
 
     return fold
@@ -191,17 +205,12 @@ def _folder(
 def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame:
     """The accepted fix that precedes each slice of the sliced vehicles.
 
-    ``known[cell][start]`` is what a slice ends with when it starts from
-    ``start``.  Each round folds, all at once, the slices whose start is not
-    known yet; the first of them in each history has its true start, so every
-    round settles at least one slice more, and normally all of them.  The
-    driver holds a few numbers per slice, never rows.
+    A round folds, all at once, the slices for which it is not known yet what
+    they end with; the first of them in each history has its true start, so
+    every round settles at least one slice more, and normally the first round
+    settles all.  The driver holds a few numbers per slice, never its rows.
     """
     spark = marked.sparkSession
-    order = F.struct(*[F.col(c) for c in track.order])
-    end_of_slice = F.max_by(
-        F.struct("latitude", "longitude", F.unix_micros("ts").alias("us")), order
-    )
     schema = T.StructType(
         [track.cuts.schema[k] for k in track.keys]
         + [T.StructField(SLICE, T.IntegerType())]
@@ -219,42 +228,77 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
             schema,
         )
 
-    def run(starts: dict) -> dict:
-        entries = table(starts)
+    runs: dict = {}  # cell -> its folds so far
+    todo = {(key, s): None for key, n in track.slices for s in range(n)}
+    while todo:
+        entries = table(todo)
         rows = marked.join(
             F.broadcast(entries.select(*track.group)), list(track.group), "left_semi"
         )
-        ends = (
-            _fold(rows, track, limits, entries)
-            .filter(F.col(_CODE) == ACCEPTED)
-            .groupBy(*track.group)
-            .agg(end_of_slice.alias("end"))
-            .collect()  # one row per slice
-        )
-        return {
-            (tuple(r[k] for k in track.keys), r[SLICE]): tuple(r["end"]) for r in ends
-        }
-
-    known: dict = {}
-    latest: dict = {}
-    todo = {(key, s): None for key, n in track.slices for s in range(n)}
-    while todo:
-        ends = run(todo)
+        found = _summaries(_fold(rows, track, limits, entries), track)
         for cell, start in todo.items():
+            head, end = found.get(cell, ([], None))
             # A slice that accepts nothing hands on what it was given.
-            latest[cell] = known.setdefault(cell, {})[start] = ends.get(cell, start)
+            runs.setdefault(cell, []).append((start, head, end or start))
         todo, starts = {}, {}
         for key, n in track.slices:
             state = None
             for s in range(n):
                 cell = (key, s)
                 starts[cell] = state
-                if state in known[cell]:
-                    state = known[cell][state]
-                else:
+                known, end = _end_from(state, runs[cell], limits)
+                if not known:
                     todo[cell] = state
-                    state = latest[cell]
+                state = end
     return table(starts)
 
 
+def _summaries(folded: DataFrame, track: Track) -> dict:
+    """Per slice its first rows, with their verdicts, and its last accepted
+    fix: bounded aggregates, combined before the shuffle."""
+    place = F.struct("latitude", "longitude", F.unix_micros("ts").alias("us"))
+    order = F.struct(*[F.col(c) for c in track.order])
+    head = F.struct(_NTH, "latitude", "longitude", F.unix_micros("ts"), "is_trip_end", _CODE)
+    accepted = F.col(_CODE) == ACCEPTED
+    rows = (
+        folded.groupBy(*track.group)
+        .agg(
+            F.collect_list(F.when(F.col(_NTH) < _HEAD, head)).alias("head"),
+            F.max_by(place, F.when(accepted, order)).alias("end"),
+        )
+        .collect()
+    )
+    return {
+        (tuple(r[k] for k in track.keys), r[SLICE]): (
+            [tuple(h) for h in sorted(r["head"])],
+            tuple(r["end"]) if r["end"] is not None else None,
+        )
+        for r in rows
+    }
+
+
+def _end_from(start, runs: list, limits: Limits):
+    """Whether it is known what a slice ends with from ``start``, and that end
+    (a guess when it is not)."""
+    for other, _, end in runs:
+        if other == start:
+            return True, end
+    last = start
+    first_rows = runs[0][1]
+    for place, (_, latitude, longitude, micros, is_marker, _) in enumerate(first_rows):
+        code = ACCEPTED
+        if last is not None:
+            code = verdict(
+                last, latitude, longitude, micros, is_marker, limits.max_speed_kmh
+            )
+        if code == ACCEPTED:
+            for _, head, end in runs:
+                if head[place][-1] == ACCEPTED:
+                    return True, end
+            last = (latitude, longitude, micros)
+    if len(first_rows) < _HEAD:
+        return True, last  # that was the whole slice
+    return False, runs[-1][2]
+
+
 __all__ = ["clean_fixes", "rejected_fixes", "screen_fixes", "DUPLICATE_TIME", "IMPOSSIBLE_SPEED"]

@@ -72,6 +72,7 @@ class Track:
         if largest <= limit:
             return cls(keys, order)
 
+        # At most ``max_slices`` keys can have more than ``limit`` rows.
         large = counts.filter(F.col("n") > limit).drop("n")
         candidates = rows.join(F.broadcast(large), list(keys), "left_semi") if keys else rows
         stride = max(1, limit // _SAMPLES_PER_SLICE)

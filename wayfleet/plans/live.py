@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from copy import copy
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from wayfleet.config import (
 )
 from wayfleet.operators import clean, geofence, motion, trips
 from wayfleet.operators.track import Track
+from wayfleet.session import shared_folder
 
 FLEET_ORDER = ("ts", "taxi_id", "seq")
 
@@ -71,6 +73,16 @@ class LiveAnalysis:
             return self._staged
         return geofence.inside_zone(self.cleaned(), self.zone)
 
+    def _active_for(self, *tracks: Track) -> DataFrame:
+        """Active fixes for operators over ``tracks``.  Slices need the rows
+        twice, for their summaries and for themselves, and Spark cannot share
+        what a Python stage has produced; so they are staged once."""
+        if self._staged is None and any(track.sliced for track in tracks):
+            spark = self.fixes.sparkSession
+            folder = f"{shared_folder(spark)}/active-{uuid.uuid4().hex}"
+            self._staged = self.staged(folder)._staged
+        return self.active()
+
     def ended(self) -> DataFrame:
         """Markers go around the zone test, which none could pass; in
         ``as_wired`` mode they do not."""
@@ -82,7 +94,8 @@ class LiveAnalysis:
         return self.track.unmark(trips.ended_running(rows, self.track))
 
     def segments(self) -> DataFrame:
-        return motion.with_segments(self.active(), self.track, self.limits)
+        rows = self._active_for(self.track)
+        return motion.with_segments(rows, self.track, self.limits)
 
     def speeds(self) -> DataFrame:
         return self.track.unmark(motion.segments_only(self.segments()))
@@ -92,6 +105,7 @@ class LiveAnalysis:
         return self.track.unmark(totals)
 
     def metrics(self) -> DataFrame:
+        self._active_for(self.fleet)
         rows = self.speeds()
         return self.fleet.unmark(motion.fleet_running_distance(rows, self.fleet))
 
