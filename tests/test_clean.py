@@ -105,6 +105,28 @@ def test_sliced_history_equals_model(spark, seed):
     assert got == model.screen(fixes)
 
 
+def test_rounds_do_not_grow_with_slices(spark, monkeypatch):
+    """A history that starts at an outlier and keeps to such outliers: what a
+    slice follows depends on all slices before it."""
+    fixes = [
+        model.near(1, 10 * i, 0.01 * i, i, 400 if i % 5 == 0 else 0) for i in range(300)
+    ]
+    rows = model.frame(spark, fixes)
+    track = Track.of(rows, sizing=Sizing(slice_rows=12, max_slices=1000))
+    rounds = []
+    summaries = clean._summaries
+
+    def counted(*args):
+        rounds.append(1)
+        return summaries(*args)
+
+    monkeypatch.setattr(clean, "_summaries", counted)
+    monkeypatch.setattr(clean, "_HEAD", 1)
+    got = verdicts(clean.screen_fixes(rows, track))
+    assert got == model.screen(fixes)
+    assert dict(track.slices)[(1,)] >= 20 and len(rounds) <= 4
+
+
 def test_sliced_as_wired(spark):
     fixes = model.random_fixes(6, 8, 40, hot=80, markers=True)
     rows = model.frame(spark, fixes)

@@ -18,6 +18,7 @@ fix cannot condemn the good ones after it.  That makes it a fold rather than a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,12 +31,12 @@ from wayfleet.config import LIMITS, Limits
 from wayfleet.functions.geo import haversine_km
 from wayfleet.functions.points import (
     ACCEPTED,
-    DUPLICATE_TIME,
     IMPOSSIBLE_SPEED,
     REASONS,
     verdict,
 )
 from wayfleet.operators.track import SLICE, Track
+from wayfleet.session import shared_folder
 
 _ENTRY = ("_in_lat", "_in_lon", "_in_us")
 _CODE = "_code"
@@ -206,9 +207,11 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
     """The accepted fix that precedes each slice of the sliced vehicles.
 
     A round folds, all at once, the slices for which it is not known yet what
-    they end with; the first of them in each history has its true start, so
-    every round settles at least one slice more, and normally the first round
-    settles all.  The driver holds a few numbers per slice, never its rows.
+    they end with.  The first of them in each history has its true start, so
+    every round settles at least one slice more; the others have a guess.
+    Normally the first round settles all.  A history that follows two places by
+    turns, as when two vehicles share an id, needs a few rounds.  The
+    driver holds a few numbers per slice, never its rows.
     """
     spark = marked.sparkSession
     schema = T.StructType(
@@ -228,7 +231,9 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
             schema,
         )
 
-    runs: dict = {}  # cell -> its folds so far
+    runs: dict = {}  # cell -> its folds so far, as (start, first rows, end)
+    starts: dict = {}
+    refused: dict = {}
     todo = {(key, s): None for key, n in track.slices for s in range(n)}
     while todo:
         entries = table(todo)
@@ -237,10 +242,10 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
         )
         found = _summaries(_fold(rows, track, limits, entries), track)
         for cell, start in todo.items():
-            head, end = found.get(cell, ([], None))
+            head, end, refused[cell] = found.get(cell, ([], None, None))
             # A slice that accepts nothing hands on what it was given.
             runs.setdefault(cell, []).append((start, head, end or start))
-        todo, starts = {}, {}
+        first, todo, starts = len(starts) == 0, {}, {}
         for key, n in track.slices:
             state = None
             for s in range(n):
@@ -249,22 +254,41 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
                 known, end = _end_from(state, runs[cell], limits)
                 if not known:
                     todo[cell] = state
+                    # Guess for the slices after it: what the last fold from a
+                    # true or guessed start ended with, or else the fix that
+                    # the fold from no start refused last, which one that
+                    # follows the other place would have accepted.
+                    other, _, other_end = runs[cell][-1]
+                    end = (refused[cell] or state) if other is None else other_end
                 state = end
+        if first and todo:
+            marked = _staged(marked, track)
     return table(starts)
 
 
+def _staged(marked: DataFrame, track: Track) -> DataFrame:
+    """Rows of the sliced vehicles, written once for the rounds to come."""
+    spark = marked.sparkSession
+    path = f"{shared_folder(spark)}/sliced-{uuid.uuid4().hex}"
+    marked.filter(F.col(SLICE).isNotNull()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _summaries(folded: DataFrame, track: Track) -> dict:
-    """Per slice its first rows, with their verdicts, and its last accepted
-    fix: bounded aggregates, combined before the shuffle."""
+    """Per slice its first rows, with their verdicts, its last accepted fix and
+    the last one refused for its speed: bounded aggregates, combined before the
+    shuffle."""
     place = F.struct("latitude", "longitude", F.unix_micros("ts").alias("us"))
     order = F.struct(*[F.col(c) for c in track.order])
     head = F.struct(_NTH, "latitude", "longitude", F.unix_micros("ts"), "is_trip_end", _CODE)
     accepted = F.col(_CODE) == ACCEPTED
+    too_fast = F.col(_CODE) == IMPOSSIBLE_SPEED
     rows = (
         folded.groupBy(*track.group)
         .agg(
             F.collect_list(F.when(F.col(_NTH) < _HEAD, head)).alias("head"),
             F.max_by(place, F.when(accepted, order)).alias("end"),
+            F.max_by(place, F.when(too_fast, order)).alias("refused"),
         )
         .collect()
     )
@@ -272,14 +296,14 @@ def _summaries(folded: DataFrame, track: Track) -> dict:
         (tuple(r[k] for k in track.keys), r[SLICE]): (
             [tuple(h) for h in sorted(r["head"])],
             tuple(r["end"]) if r["end"] is not None else None,
+            tuple(r["refused"]) if r["refused"] is not None else None,
         )
         for r in rows
     }
 
 
 def _end_from(start, runs: list, limits: Limits):
-    """Whether it is known what a slice ends with from ``start``, and that end
-    (a guess when it is not)."""
+    """Whether it is known what a slice ends with from ``start``, and that end."""
     for other, _, end in runs:
         if other == start:
             return True, end
@@ -298,7 +322,7 @@ def _end_from(start, runs: list, limits: Limits):
             last = (latitude, longitude, micros)
     if len(first_rows) < _HEAD:
         return True, last  # that was the whole slice
-    return False, runs[-1][2]
+    return False, None
 
 
-__all__ = ["clean_fixes", "rejected_fixes", "screen_fixes", "DUPLICATE_TIME", "IMPOSSIBLE_SPEED"]
+__all__ = ["clean_fixes", "rejected_fixes", "screen_fixes"]
