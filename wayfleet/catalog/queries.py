@@ -40,19 +40,27 @@ _DISTANCE = geofence.DISTANCE
 # Cuts stay valid for any rows of the same shape, so each table is measured
 # once per session.
 _tracks: dict[tuple, Track] = {}
+_tables: dict[tuple, str] = {}
 _streams: dict[tuple, LiveTables] = {}
 
 
 def _track(spark: SparkSession, folder: str, keys=("taxi_id",), order=None) -> Track:
     known = (spark.sparkContext.applicationId, folder, keys, order)
     if known not in _tracks:
-        fixes = read_event_fixes(spark, folder)
+        fixes = _fixes(spark, folder)
         _tracks[known] = Track.of(fixes, keys, order) if order else Track.of(fixes, keys)
     return _tracks[known]
 
 
 def _fixes(spark: SparkSession, folder: str) -> DataFrame:
-    return read_event_fixes(spark, folder)
+    """The processed table of ``folder``: fixes are derived from all its events
+    once per session and stored by day and time, as parsed logs would be."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _tables:
+        path = _new_folder(spark, "fixes")
+        write_fixes(read_event_fixes(spark, folder), path)
+        _tables[known] = path
+    return read_fixes(spark, _tables[known]).drop("day")
 
 
 def _trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -450,7 +458,7 @@ def stream_latest_active(spark, folder):
 
 def queries() -> dict[str, Query]:
     return {
-        "scan_fixes": _fixes,
+        "scan_fixes": read_event_fixes,
         "processed_table": processed_table,
         "csv_export": csv_export,
         "parse_valid": parse_valid,
