@@ -422,7 +422,13 @@ def run_stream(spark: SparkSession, base: str) -> LiveTables:
     tables = LiveTables(f"{base}/tables")
     source = messages.file_stream(spark, f"{base}/messages", 1_000_000)
     jobs = [
-        start_live_job(source, tables, f"{base}/checkpoint", available_now=True),
+        start_live_job(
+            source,
+            tables,
+            f"{base}/checkpoint",
+            available_now=True,
+            partitions=spark.sparkContext.defaultParallelism,
+        ),
         start_quarantine(
             source, f"{base}/quarantine", f"{base}/checkpoint_q", available_now=True
         ),

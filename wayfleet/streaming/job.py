@@ -38,23 +38,34 @@ def start_live_job(
     checkpoint: str,
     available_now: bool = False,
     every: str = "1 second",
+    partitions: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Decode, analyse and write the five output tables and the served ones.
 
+    ``partitions`` is the number of state partitions, fixed by the first start;
+    without it the session's shuffle partitions count.  One or two per core are
+    enough, as each costs a commit per batch.
+
     ``checkpoint`` and the tables must lie in storage all executors share.  A
     batch that is run again after a failure replaces what it wrote before.
     """
-    messages.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER
-    )
     rows = live_rows(complete_fixes(messages), **options)
     writer = (
         rows.writeStream.foreachBatch(tables.write)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, every)
+    # The stream copies the session's settings when it starts.
+    conf = messages.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    shuffle = conf.get("spark.sql.shuffle.partitions")
+    try:
+        if partitions is not None:
+            conf.set("spark.sql.shuffle.partitions", partitions)
+        return _start(writer, available_now, every)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", shuffle)
 
 
 def start_quarantine(
