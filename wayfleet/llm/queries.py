@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import decontaminate, discriminant, packing, pii, simhash
+from wayfleet.llm import (
+    decontaminate,
+    discriminant,
+    licenses,
+    linerules,
+    packing,
+    pii,
+    preferences,
+    simhash,
+)
 from wayfleet.llm.work import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +39,20 @@ def op3_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op4_preference_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected) as pair k."""
+    turns = _table(spark, folder, "conversations")
+    ids = turns.select("conv_id").where("conv_id IS NOT NULL")
+    pairs = ids.groupBy(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")).agg(
+        F.min("conv_id").alias("chosen_id"), F.max("conv_id").alias("rejected_id")
+    ).where("chosen_id < rejected_id")
+    found = preferences.formatted(turns, pairs)
+    for side in ("chosen_mask", "rejected_mask"):
+        spans = F.transform(side, lambda x: F.concat_ws(":", x["start"], x["end"]))
+        found = found.withColumn(side, F.concat_ws(",", spans))
+    return found
+
+
 def _joined(spans: str):
     parts = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
     return F.concat_ws(",", parts)
@@ -51,6 +74,11 @@ def op5_lstm_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and verdict of every document; hosts are sources."""
+    return linerules.judged(_table(spark, folder, "documents"))
+
+
 def op8_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of all documents, learned without the held-out fold."""
     docs = _table(spark, folder, "documents")
@@ -64,6 +92,11 @@ def op8_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_licence_sentence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences stated in the documents."""
+    return licenses.licences(_table(spark, folder, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where each piece of each document is packed."""
     return packing.packed(_table(spark, folder, "documents"))
@@ -75,8 +108,11 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_simhash_dedup,
             op3_template_decontamination,
+            op4_preference_formatting,
             op5_lstm_crf_pii,
+            op7_line_frequency_rules,
             op8_quadratic_discriminant,
+            op9_licence_sentence_rules,
             op10_best_fit_packing,
         )
     }
