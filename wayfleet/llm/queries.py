@@ -15,6 +15,8 @@ from wayfleet.llm import (
     packing,
     pii,
     preferences,
+    repeats,
+    sharding,
     simhash,
 )
 from wayfleet.llm.work import stored
@@ -34,6 +36,11 @@ def op1_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_label_propagation_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """40 shards with counts at most one apart, copies together."""
+    return sharding.sharded(_table(spark, folder, "documents"))
+
+
 def op3_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of documents and benchmark items whose templates match."""
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -74,6 +81,12 @@ def op5_lstm_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each text without its repeated 200-byte strings."""
+    found = repeats.without_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics and verdict of every document; hosts are sources."""
     return linerules.judged(_table(spark, folder, "documents"))
@@ -107,9 +120,11 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op1_simhash_dedup,
+            op2_label_propagation_sharding,
             op3_template_decontamination,
             op4_preference_formatting,
             op5_lstm_crf_pii,
+            op6_suffix_repeats,
             op7_line_frequency_rules,
             op8_quadratic_discriminant,
             op9_licence_sentence_rules,

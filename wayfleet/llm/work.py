@@ -50,21 +50,18 @@ def with_row_number(frame: DataFrame, name: str, keys: list[str], bucket: Column
     """``name``: gapless number from 0 within ``keys``, in the order of
     (``bucket``, ``order``).  Rows are numbered within (keys, bucket), and one
     count per (keys, bucket) supplies what comes before, so that a key with a
-    third of all rows is spread over its buckets."""
+    third of all rows is spread over its buckets.  Keys must be few and not
+    null: the counts are broadcast, one for each key and bucket."""
     part, before = "__bucket", "__before"
     frame = frame.withColumn(part, bucket)
-    counts = frame.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(before))
     ahead = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = frame.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(before))
     counts = counts.withColumn(before, F.coalesce(F.sum(before).over(ahead), F.lit(0)))
     own = Window.partitionBy(*keys, part).orderBy(*order)
     numbered = frame.withColumn(name, F.row_number().over(own) - 1)
-    same = [frame[k].eqNullSafe(counts[k]) for k in (*keys, part)]
-    joined = numbered.alias("l").join(
-        counts.alias("r"),
-        [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*keys, part)],
-    ) if same else numbered
-    kept = [F.col(f"l.{c}") for c in frame.columns if c != part]
-    return joined.select(*kept, (F.col(f"l.{name}") + F.col(f"r.{before}")).cast("long").alias(name))
+    return numbered.join(F.broadcast(counts), [*keys, part]).withColumn(
+        name, (F.col(name) + F.col(before)).cast("long")
+    ).drop(part, before)
 
 
 def _signature(edges: DataFrame) -> tuple:
