@@ -5,10 +5,11 @@ linked.  Groups too large for half a shard are cut into cells of that size, so
 each cell can lie together.  Documents begin in shards by hash.  In each round a
 member wants the shard that holds most of its cell.  The wishes are counted by
 (from, to), at most shards x shards numbers, and quotas decide how many of each
-may move: exchanges between two shards first, then what the fuller shards'
-room allows.  Those that gain most neighbours move first.  At the end shards are
-evened out to counts that differ by one at most; documents without links go
-first, so that cells stay together.
+may move: exchanges between two shards first, then what room there is.  A
+shard's room is its share of all documents less the linked ones that it holds,
+since the others can make way.  Those that gain most neighbours move first.  At
+the end shards are evened out to counts that differ by one at most; documents
+without links go first, so that cells stay together.
 
 Law: ``rows``.  Null texts have no bytes and are equal to empty ones.  Rows
 repeated with one doc_id are separate documents; null ids are documents too.
@@ -25,7 +26,6 @@ from pyspark.sql.window import Window
 from wayfleet.llm.work import forget, shuffle_partitions, stored, with_row_number
 
 ROUNDS = 4
-SLACK = 0.05
 ROW_OVERHEAD = 16
 
 
@@ -92,31 +92,24 @@ def _pick(values: np.ndarray, at: Column) -> Column:
     return F.get(F.array(*[F.lit(int(v)) for v in values]), at.cast("int"))
 
 
-def assigned(nodes: DataFrame, shards: int, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
+def assigned(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """``shard`` and ``slot`` for every row of ``nodes`` (row: unique long,
     group: long, further columns kept)."""
     start = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(shards)).cast("int")
     nodes, _ = stored(nodes.withColumn("shard", start), "nodes")
 
-    def count() -> np.ndarray:
+    def count(rows: DataFrame) -> np.ndarray:
         out = np.zeros(shards, dtype=np.int64)
-        for row in nodes.groupBy("shard").count().collect():
+        for row in rows.groupBy("shard").count().collect():
             out[row["shard"]] = row["count"]
         return out
 
-    sizes = count()
+    sizes = count(nodes)
     total = int(sizes.sum())
-    most = int(np.ceil(total / shards * (1 + slack)))
-    linked, path = stored(_linked(nodes, max(1, total // shards // 2)), "linked")
-    shards_of = lambda frame: {r["shard"]: r["count"] for r in frame.groupBy("shard").count().collect()}
-    free = sizes.copy()
-    for shard, n in shards_of(linked).items():
-        free[shard] -= n
+    most = -(-total // shards)
+    linked, _ = stored(_linked(nodes, max(1, total // shards // 2)), "linked")
     for _ in range(rounds):
-        now = free.copy()
-        for shard, n in shards_of(linked).items():
-            now[shard] += n
-        after = _round(linked, now, most, shards)
+        after = _round(linked, count(linked), most, shards)
         if after is None:
             break
         linked = after
@@ -125,7 +118,7 @@ def assigned(nodes: DataFrame, shards: int, rounds: int = ROUNDS, slack: float =
     nodes, _ = stored(placed.drop("new", "is_linked"), "placed")
 
     # Even out: the last rows of too full shards fill the others' last slots.
-    sizes = count()
+    sizes = count(nodes)
     target = np.full(shards, total // shards, dtype=np.int64)
     target[np.argsort(-sizes, kind="stable")[: total % shards]] += 1
     excess, lack = np.maximum(0, sizes - target), np.maximum(0, target - sizes)
