@@ -2,9 +2,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests import model
+from wayfleet.functions import geo
+from wayfleet.functions import points as points_
 from wayfleet.functions.time import event_time_ms, format_timestamp
 from wayfleet.sources import logs, messages, tables
 from wayfleet.sources.tables import FIX_SCHEMA
@@ -160,3 +164,33 @@ def test_time_values(spark):
         event_time_ms(F.col("ts")).alias("ms"), format_timestamp(F.col("ts")).alias("text")
     ).first()
     assert (row.ms, row.text) == (1201959005000, "2008-02-02 13:30:05")
+
+
+def test_a_path_that_is_no_complete_table_is_left_alone(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "note.txt").write_text("mine")
+    with pytest.raises(FileExistsError):
+        tables.read_or_build(spark, str(tmp_path / "t"), lambda: None)
+    assert (tmp_path / "t" / "note.txt").read_text() == "mine"
+
+
+def test_places_that_are_no_numbers_are_rejected(spark):
+    values = ["NaN", "Infinity", "-Infinity", "116.4"]
+    lines = spark.createDataFrame([(f"1,2008-02-02 13:30:00,{v},39.9",) for v in values], "value string")
+    assert [r.is_valid for r in logs.parse_lines(lines).collect()] == [False, False, False, True]
+    sent = spark.createDataFrame(
+        [("1", f'{{"taxi_id":1,"timestamp":"2008-02-02 13:30:00","longitude":{v if i == 3 else f'"{v}"'},"latitude":39.9}}', i) for i, v in enumerate(values)],
+        "key string, value string, seq bigint",
+    )
+    assert [r.seq for r in messages.complete_fixes(sent).collect()] == [3]
+    assert {r.seq for r in messages.rejected_messages(sent).collect()} == {0, 1, 2}
+
+
+def test_distances_agree_on_nan(spark):
+    points = [(39.9, 116.4, 39.8, 116.5), (float("nan"), 116.4, 39.8, 116.5), (0.0, 0.0, 0.0, 180.0), (90.0, 0.0, -90.0, 0.0)]
+    rows = spark.createDataFrame(points, "a double, b double, c double, d double")
+    got = [r[0] for r in rows.select(geo.haversine_km(*map(F.col, "abcd"))).collect()]
+    one = [points_.distance_km(*p) for p in points]
+    many = points_.distances_km(*np.array(points).T)
+    assert np.allclose(got, one, equal_nan=True) and np.allclose(got, many, equal_nan=True)
+    assert np.isnan(got[1])

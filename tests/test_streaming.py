@@ -13,9 +13,16 @@ from wayfleet.plans.live import LiveAnalysis
 from wayfleet.sinks.tables import LiveTables
 from wayfleet.sources import messages
 from wayfleet.streaming.job import start_live_job
-from wayfleet.streaming.processor import _WAITING, OUTPUT_SCHEMA, START, advance
+from wayfleet.streaming.processor import _WAITING, OUTPUT_SCHEMA, START, advance, in_turn
+
+
+def end(folder, number, *taxis):
+    """A file that ends the input of vehicles."""
+    path = folder / f"{number:03}.json"
+    lines = [{"key": str(t), "value": json.dumps({"taxi_id": t, "flush": True}), "seq": 10**6} for t in taxis]
+    path.write_text("\n".join(map(json.dumps, lines)) + "\n")
+    os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
 
-FAR_FUTURE = model.near(999, 10**6, 0, 10**6)
 
 
 def message(f):
@@ -68,7 +75,7 @@ def streamed(spark, tmp_path_factory):
     run(spark, base)
     for i, part in enumerate(parts[2:]):
         send(base / "in", i + 2, part)
-    send(base / "in", 9, [FAR_FUTURE])
+    end(base / "in", 9, *{f[0] for f in fixes})
     tables, job = run(spark, base)
     return fixes, tables, LiveAnalysis(model.frame(spark, fixes)), job
 
@@ -90,7 +97,10 @@ def table(rows, *columns):
 )
 def test_stream_equals_batch(spark, streamed, name, columns):
     fixes, tables, batch, _ = streamed
-    got = table(tables.history(spark, name), *columns)
+    # The order of arrival differs between vehicles, so the fleet's distance is
+    # put in order of time first.
+    rows = tables.fleet_distance(spark) if name == "metrics" else tables.history(spark, name)
+    got = table(rows, *columns)
     want = table(batch.outputs()[name], *columns)
     assert got == want and got
 
@@ -126,7 +136,7 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     for taxi in range(3):
         for i in range(4):
             rows.append((taxi, model.at(60 * i), 116.4, 39.9, 10 * taxi + i, False, None,
-                         1.0, 0, 2.0 if i else None, 30.0, 0, 2.0 * i, 60.0 * i, 30.0, None))
+                         1.0, 0, 2.0 if i else None, 30.0, 0, 2.0 * i, 60.0 * i, 30.0, None, False))
     batch = spark.createDataFrame(rows, OUTPUT_SCHEMA)
     tables.write(batch, 0)
     later = batch.selectExpr(
@@ -150,21 +160,59 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert tables.history(spark, "active_taxi").count() == 24
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+def test_late_rows_are_handled_on_arrival_and_listed(spark, tmp_path):
     (tmp_path / "in").mkdir()
     send(tmp_path / "in", 0, [model.near(1, 0, 0, 1), model.near(1, 100, 0.1, 2)])
     send(tmp_path / "in", 1, [model.near(1, 150, 0, 5)])
-    # The batch before emitted what lies before second 90.
-    send(tmp_path / "in", 2, [model.near(1, 60, 0, 3), model.near(1, 95, 0.1, 4)])
-    send(tmp_path / "in", 3, [FAR_FUTURE])
+    # The vehicle is at second 150: both are late, and no one else's delay counts.
+    send(tmp_path / "in", 2, [model.near(1, 60, 0, 6), model.near(1, 95, 0.1, 7), model.near(2, 1, 0, 1)])
+    end(tmp_path / "in", 3, 1, 2)
     tables, job = run(spark, tmp_path)
-    got = {r.seq for r in tables.history(spark, "active_taxi").collect()}
-    assert got == {1, 2, 4, 5}
-    dropped = sum(
-        json.loads(p.json)["stateOperators"][0]["numRowsDroppedByWatermark"]
-        for p in job.recentProgress
-    )
-    assert dropped == 1
+    rows = {(r.taxi_id, r.seq) for r in tables.history(spark, "active_taxi").collect()}
+    assert rows == {(1, 1), (1, 2), (1, 5), (1, 6), (1, 7), (2, 1)}
+    late = {(r.taxi_id, r.seq) for r in tables.history(spark, "late").collect()}
+    assert late == {(1, 6), (1, 7)}
+    speeds = {r.seq: r.speed for r in tables.history(spark, "over_speeding").collect()}
+    assert speeds[6] == 0.0  # an older time follows: no time has passed
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 3, 100])
+def test_trigger_size_changes_nothing(spark, tmp_path_factory, files_per_batch):
+    """Files by vehicle, as a topic's partitions, one vehicle far larger."""
+    base = tmp_path_factory.mktemp("trigger")
+    (base / "in").mkdir()
+    fixes = model.random_fixes(63, 4, 12, hot=150, markers=True)
+    taxis = sorted({f[0] for f in fixes})
+    for i, taxi in enumerate(taxis):
+        own = [f for f in fixes if f[0] == taxi]
+        send(base / "in", i, sorted(own, key=lambda f: (f[1], f[5], f[4])))
+    end(base / "in", 50, *taxis)
+    tables, _ = run(spark, base, files_per_batch)
+    batch = LiveAnalysis(model.frame(spark, fixes)).outputs()
+    for name, column in (("active_taxi", "is_violated"), ("avg_speed", "average_speed"), ("ended_taxi", "ended_trip_count")):
+        assert table(tables.history(spark, name), column) == table(batch[name], column)
+    assert table(tables.fleet_distance(spark), "total_distance") == table(batch["metrics"], "total_distance")
+    assert tables.history(spark, "late").count() == 0
+
+
+def test_turns_do_not_depend_on_batches():
+    rng = np.random.default_rng(4)
+    fixes = np.zeros(300, dtype=_WAITING)
+    fixes["us"] = np.cumsum(rng.integers(0, 9, 300)) + rng.integers(-40, 40, 300)
+    whole = in_turn(fixes, -(10**9), 20)
+    for cut in (1, 77, 299):
+        one = in_turn(fixes[:cut], -(10**9), 20)
+        two = in_turn(fixes[cut:], one[2], 20)
+        assert (np.r_[one[0], two[0]] == whole[0]).all() and (np.r_[one[1], two[1]] == whole[1]).all()
+        assert two[2] == whole[2]
+    assert whole[1].any() and not whole[1].all()
+
+
+def test_before_the_first_batch(spark, tmp_path):
+    tables = LiveTables(str(tmp_path / "none"))
+    assert tables.served(spark, "ended_taxi").first().ended_trip_count == 0
+    for name in ("active_taxi", "over_speeding", "avg_speed", "metrics"):
+        assert tables.served(spark, name).count() == 0
 
 
 @pytest.mark.parametrize("mode", ["intent", "as_wired"])

@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.config import ACTIVE, AVERAGES, ENDED, LIMITS, METRICS, SPEEDS, ZONE
+from wayfleet.config import (
+    ACTIVE,
+    AVERAGES,
+    ENDED,
+    LIMITS,
+    METRICS,
+    SPEEDS,
+    ZONE,
+    Sizing,
+)
 from wayfleet.functions.geo import distance_to_zone_km
 from wayfleet.functions.time import event_time_ms
 from wayfleet.operators import (
@@ -80,6 +89,15 @@ def _live(spark: SparkSession, folder: str) -> LiveAnalysis:
     )
 
 
+# Slices as small as this put every vehicle of the test tables on the path of
+# long histories.
+_SMALL_SLICES = Sizing(slice_rows=25)
+
+
+def _sliced(spark: SparkSession, folder: str) -> LiveAnalysis:
+    return LiveAnalysis(_fixes(spark, folder), sizing=_SMALL_SLICES)
+
+
 def _live_trips(spark, folder, trip_end="intent") -> LiveAnalysis:
     return LiveAnalysis(
         _trips(spark, folder).drop("source_file"),
@@ -204,6 +222,21 @@ def segment_speed(spark, folder):
     return _rounded(rows, 6, "speed")
 
 
+def segment_speed_sliced(spark, folder):
+    rows = _sliced(spark, folder).speeds().select(*_FIX, "speed", "is_speeding")
+    return _rounded(rows, 6, "speed")
+
+
+def avg_speed_running_sliced(spark, folder):
+    rows = _sliced(spark, folder).averages().select(*_AT, "average_speed")
+    return _rounded(rows, 6, "average_speed")
+
+
+def fleet_running_distance_sliced(spark, folder):
+    rows = _sliced(spark, folder).metrics().select(*_AT, "total_distance")
+    return _rounded(rows, 4, "total_distance")
+
+
 def speeding_counts(spark, folder):
     return (
         _live(spark, folder)
@@ -405,22 +438,35 @@ def distance_over_time(spark, folder):
 # -- the stream ---------------------------------------------------------------
 
 
+_MESSAGE_FILES, _FILES_PER_TRIGGER = 8, 2
+
+
 def write_messages(spark: SparkSession, folder: str) -> str:
-    """Fixes and markers of ``folder`` as message files in a new folder."""
+    """Fixes and markers of ``folder`` as message files in a new folder: a file
+    has all messages of its keys, as a topic's partition would, and the last
+    one ends the input."""
     base = _new_folder(spark, "stream")
-    sent = messages.encode(_trips(spark, folder))
-    # One in 223 comes a second time with a damaged timestamp.
-    damaged = sent.filter(F.col("seq") % 223 == 0).withColumn(
+    fixes = _trips(spark, folder)
+    sent = messages.encode(fixes)
+    # One in 223 comes a second time with a damaged timestamp, and one in 227
+    # with a place that is no number.
+    seq = F.col("seq")
+    no_time = sent.filter(seq % 223 == 0).withColumn(
         "value", F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"bad"')
     )
-    sent.unionByName(damaged).write.json(f"{base}/messages")
+    no_place = sent.filter(seq % 227 == 0).withColumn(
+        "value", F.regexp_replace("value", '"longitude":[^,]*', '"longitude":"NaN"')
+    )
+    spread = sent.unionByName(no_time).unionByName(no_place).repartition(_MESSAGE_FILES, "key")
+    spread.sortWithinPartitions("seq").write.json(f"{base}/messages")
+    messages.end_of_input(fixes).coalesce(1).write.mode("append").json(f"{base}/messages")
     return base
 
 
 def run_stream(spark: SparkSession, base: str) -> LiveTables:
     """Run the live job over the message files until none is left."""
     tables = LiveTables(f"{base}/tables")
-    source = messages.file_stream(spark, f"{base}/messages", 1_000_000)
+    source = messages.file_stream(spark, f"{base}/messages", _FILES_PER_TRIGGER)
     jobs = [
         start_live_job(
             source,
@@ -458,6 +504,11 @@ def stream_quarantine(spark, folder):
     return spark.read.parquet(f"{base}/quarantine").select("key", "value", "seq")
 
 
+def stream_metrics(spark, folder):
+    rows = _stream_tables(spark, folder).fleet_distance(spark)
+    return _rounded(rows, 4, "total_distance")
+
+
 def stream_latest_active(spark, folder):
     return _stream_tables(spark, folder).latest(spark, ACTIVE).select(*_FIX)
 
@@ -487,6 +538,10 @@ def queries() -> dict[str, Query]:
         "geofence_active": geofence_active,
         "geofence_band_counts": geofence_band_counts,
         "clean_fixes": lambda s, d: _live(s, d).cleaned().select(*_FIX),
+        "clean_fixes_sliced": lambda s, d: _sliced(s, d).cleaned().select(*_FIX),
+        "segment_speed_sliced": segment_speed_sliced,
+        "avg_speed_running_sliced": avg_speed_running_sliced,
+        "fleet_running_distance_sliced": fleet_running_distance_sliced,
         "clean_rejects": clean_rejects,
         "clean_as_wired": clean_as_wired,
         "active_taxi": active_taxi,
@@ -539,9 +594,7 @@ def queries() -> dict[str, Query]:
         "stream_averages": _stream(
             AVERAGES, *_AT, "average_speed", rounded="average_speed"
         ),
-        "stream_metrics": _stream(
-            METRICS, *_AT, "total_distance", rounded="total_distance", places=4
-        ),
+        "stream_metrics": stream_metrics,
         "stream_ended": _stream(ENDED, *_AT, "ended_trip_count"),
         "stream_rejects": _stream(REJECTS, *_AT, "reject_reason"),
         "stream_quarantine": stream_quarantine,

@@ -19,9 +19,10 @@ def haversine_km(lat_a, lon_a, lat_b, lon_b) -> Column:
     chord = half_lat * half_lat + (
         F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * half_lon * half_lon
     )
-    # Rounding may push the chord a hair above 1 for antipodal points; a missing
-    # point must stay missing, which rules out ``least``.
-    return 2 * EARTH_RADIUS_KM * F.asin(F.when(chord > 1, 1.0).otherwise(F.sqrt(chord)))
+    # Rounding may push the chord a hair above 1 for antipodal points.  A missing
+    # point stays missing and NaN stays NaN, which Spark orders above 1.
+    above = (chord > 1) & ~F.isnan(chord)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.when(above, 1.0).otherwise(F.sqrt(chord)))
 
 
 def distance_to_zone_km(zone: Zone) -> Column:

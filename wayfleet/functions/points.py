@@ -16,7 +16,7 @@ def distance_km(lat_a: float, lon_a: float, lat_b: float, lon_b: float) -> float
     chord = half_lat * half_lat + (
         cos(radians(lat_a)) * cos(radians(lat_b)) * half_lon * half_lon
     )
-    return 2 * EARTH_RADIUS_KM * asin(min(1.0, sqrt(chord)))
+    return 2 * EARTH_RADIUS_KM * asin(1.0 if chord > 1 else sqrt(chord))
 
 
 def distances_km(lat_a, lon_a, lat_b, lon_b) -> np.ndarray:

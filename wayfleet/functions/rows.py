@@ -15,6 +15,11 @@ def trip_end() -> Column:
     )
 
 
+def is_finite(value: Column) -> Column:
+    """False for NULL, NaN and infinite numbers."""
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
 def flag(condition: Column) -> Column:
     """0/1 integer; an unknown condition counts as 0."""
     return F.when(condition, 1).otherwise(0)

@@ -117,9 +117,8 @@ def _fold(
     km = haversine_km(
         F.col("_p_lat"), F.col("_p_lon"), F.col("latitude"), F.col("longitude")
     )
-    too_fast = F.when(
-        passed_us > 0, km / (passed_us / F.lit(1e6)) * 3600 > limits.max_speed_kmh
-    )
+    speed = km / (passed_us / F.lit(1e6)) * 3600
+    too_fast = F.when(passed_us > 0, (speed > limits.max_speed_kmh) & ~F.isnan(speed))
     repeats = (passed_us == 0) & ~F.col("is_trip_end")
     rows = rows.withColumn("_suspect", F.coalesce(too_fast | repeats, F.lit(False)))
     rows = rows.drop("_before", *_ENTRY)

@@ -43,11 +43,16 @@ _fallback: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, or a fresh
-    temporary one when none is named (single machine, tests)."""
+    """Folder every executor can reach: the one the cluster names.  Where none
+    is named, a session on one machine gets a temporary one; on a cluster that
+    would lie on each executor's own disk, so it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share"
+        )
     if not _fallback:
         _fallback.append(tempfile.mkdtemp(prefix="wayfleet-"))
     return _fallback[0]

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfleet.config import ACTIVE, AVERAGES, ENDED, METRICS, SIZING, SPEEDS, Sizing
 from wayfleet.operators.motion import fleet_running_distance
@@ -14,12 +15,19 @@ from wayfleet.operators.serve import document_for, latest_by_key, without_ended
 from wayfleet.operators.track import Track
 from wayfleet.plans.live import FLEET_ORDER
 from wayfleet.sources.messages import tag_topics
+from wayfleet.streaming.processor import OUTPUT_SCHEMA
 
-REJECTS = "rejects"
+REJECTS, LATE = "rejects", "late"
 _AT = ["taxi_id", "ts", "seq"]
 _PLACE = ["longitude", "latitude"]
 _BATCH = "batch_id"
 _TOTAL = "metrics_total"  # fleet distance at the end of each batch
+_SERVED = {
+    ACTIVE: {*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"},
+    SPEEDS: {*_AT, *_PLACE, "speed", "is_speeding"},
+    AVERAGES: {*_AT, "average_speed"},
+    ENDED: {*_AT, "ended_trip_count"},
+}
 
 
 class LiveTables:
@@ -71,6 +79,7 @@ class LiveTables:
         rejects = batch.filter(F.col("reject_reason").isNotNull()).select(
             *_AT, *_PLACE, "reject_reason"
         )
+        late = batch.filter("is_late").select(*_AT, *_PLACE, "is_trip_end")
         # A marker deletes the vehicle's active document.
         moves = active.withColumn("is_trip_end", F.lit(False)).unionByName(
             ended.select(*_AT, F.lit(True).alias("is_trip_end")),
@@ -84,6 +93,7 @@ class LiveTables:
             lambda: self._replace(AVERAGES, averages, batch_id),
             lambda: self._replace(ENDED, counts, batch_id),
             lambda: self._replace(REJECTS, rejects, batch_id),
+            lambda: self._replace(LATE, late, batch_id),
             lambda: self._serve(ACTIVE, moves, batch_id, order=by_end),
             lambda: self._serve(SPEEDS, speeds, batch_id),
             lambda: self._serve(AVERAGES, averages, batch_id),
@@ -95,7 +105,7 @@ class LiveTables:
                 done.result()
         if self.publish is not None:
             fleet = f"{self.folder}/{METRICS}/{_BATCH}={batch_id}"
-            metrics = batch.sparkSession.read.parquet(fleet)
+            metrics = batch.sparkSession.read.parquet(fleet).drop("segment_km")
             outputs = {
                 ACTIVE: active,
                 ENDED: counts,
@@ -110,9 +120,9 @@ class LiveTables:
         rows.write.mode("overwrite").parquet(path)
 
     def _write_fleet(self, segments: DataFrame, batch_id: int) -> None:
-        """Fleet distance after each segment: the sums of earlier batches, then
-        a running sum within this one.  Batches follow each other in time, as
-        the watermark only moves forward."""
+        """Fleet distance after each segment in the order of arrival: the sums of
+        earlier batches, then a running sum within this one.  The last total is
+        kept like a served version, so looking it up costs the same for ever."""
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
         running = fleet.unmark(fleet_running_distance(segments, fleet))
         before = 0.0
@@ -125,7 +135,7 @@ class LiveTables:
         self._replace(
             METRICS,
             running.select(
-                *_AT, (F.col("total_distance") + before).alias("total_distance")
+                *_AT, "segment_km", (F.col("total_distance") + before).alias("total_distance")
             ),
             batch_id,
         )
@@ -133,6 +143,8 @@ class LiveTables:
             (F.coalesce(F.sum("segment_km"), F.lit(0.0)) + before).alias("total_distance")
         )
         self._replace(_TOTAL, total, batch_id)
+        for old in earlier[: -self.kept_versions]:
+            self._delete(spark, f"{self.folder}/{_TOTAL}/{_BATCH}={old}")
 
     def _serve(
         self,
@@ -160,10 +172,21 @@ class LiveTables:
     def history(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.folder}/{table}").drop(_BATCH)
 
+    def fleet_distance(self, spark: SparkSession) -> DataFrame:
+        """Fleet distance after each segment in the order of time, whatever the
+        order of arrival was."""
+        segments = self.history(spark, METRICS).select(*_AT, "segment_km")
+        fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
+        return fleet.unmark(fleet_running_distance(segments, fleet)).select(*_AT, "total_distance")
+
     def latest(self, spark: SparkSession, table: str) -> DataFrame:
-        """Newest row per key, without vehicles whose trip has ended."""
-        newest = max(self._versions(spark, table))
-        rows = spark.read.parquet(self._version(table, newest))
+        """Newest row per key, without vehicles whose trip has ended; no row
+        before the first batch."""
+        versions = self._versions(spark, table)
+        if not versions:
+            known = [f for f in OUTPUT_SCHEMA if f.name in _SERVED[table]]
+            return spark.createDataFrame([], T.StructType(known))
+        rows = spark.read.parquet(self._version(table, versions[-1]))
         if "is_trip_end" in rows.columns:
             rows = without_ended(rows).drop("is_trip_end")
         return rows
@@ -171,11 +194,16 @@ class LiveTables:
     def served(self, spark: SparkSession, table: str) -> DataFrame:
         """Documents as they are served."""
         if table == METRICS:
-            total = self.history(spark, METRICS)
-            rows = latest_by_key(total, [], list(FLEET_ORDER))
-            return document_for(METRICS, rows.select("total_distance"))
+            written = self._numbers(spark, f"{self.folder}/{_TOTAL}")
+            if not written:
+                rows = spark.createDataFrame([], "total_distance double")
+            else:
+                rows = spark.read.parquet(f"{self.folder}/{_TOTAL}/{_BATCH}={written[-1]}")
+            return document_for(METRICS, rows)
         if table == ENDED:
-            return self.latest(spark, ENDED).select("ended_trip_count")
+            # Seeded: 0 until a first trip has ended.
+            count = F.coalesce(F.max("ended_trip_count"), F.lit(0).cast("long"))
+            return self.latest(spark, ENDED).agg(count.alias("ended_trip_count"))
         return document_for(table, self.latest(spark, table))
 
     # -- files ------------------------------------------------------------

@@ -51,13 +51,17 @@ def with_copies(fixes: DataFrame) -> DataFrame:
 
 def as_log_lines(fixes: DataFrame) -> DataFrame:
     """The fixes as log lines, some of them damaged: one in 211 loses its last
-    field and one in 223 has no timestamp."""
+    field, one in 223 has no timestamp, and one in 227 and one in 229 are at no
+    finite place."""
     stamp = F.when(F.col("seq") % 223 == 0, "bad").otherwise(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     )
-    lead = F.concat_ws(
-        ",", F.col("taxi_id").cast("string"), stamp, F.col("longitude").cast("string")
+    longitude = (
+        F.when(F.col("seq") % 227 == 0, "NaN")
+        .when(F.col("seq") % 229 == 0, "Infinity")
+        .otherwise(F.col("longitude").cast("string"))
     )
+    lead = F.concat_ws(",", F.col("taxi_id").cast("string"), stamp, longitude)
     value = F.when(F.col("seq") % 211 == 0, lead).otherwise(
         F.concat_ws(",", lead, F.col("latitude").cast("string"))
     )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfleet.config import INPUT_TOPIC
-from wayfleet.functions.rows import trip_end
+from wayfleet.functions.rows import is_finite, trip_end
 from wayfleet.functions.time import format_timestamp, parse_timestamp
 
 MESSAGE_SCHEMA = T.StructType(
@@ -19,6 +19,7 @@ MESSAGE_SCHEMA = T.StructType(
         T.StructField("timestamp", T.StringType()),
         T.StructField("longitude", T.DoubleType()),
         T.StructField("latitude", T.DoubleType()),
+        T.StructField("flush", T.BooleanType()),
     ]
 )
 
@@ -65,22 +66,44 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
+def end_of_input(fixes: DataFrame) -> DataFrame:
+    """A message per vehicle that says that no more of its fixes will come: the
+    live job then handles those it still holds.  It is no fix itself and is in
+    no table.  Send it after the vehicle's fixes, under the same key."""
+    record = F.struct("taxi_id", F.lit(True).alias("flush"))
+    return fixes.groupBy("taxi_id").agg(F.max("seq").alias("seq")).select(
+        F.col("taxi_id").cast("string").alias("key"),
+        F.to_json(record).alias("value"),
+        (F.col("seq") + 1).alias("seq"),
+    )
+
+
+def _flushes() -> Column:
+    return F.coalesce(F.col("_r.flush") & F.col("_r.taxi_id").isNotNull(), F.lit(False))
+
+
+def _usable() -> Column:
+    """Whether a record is a fix: complete, and at a finite place."""
+    usable = F.col("_r.taxi_id").isNotNull() & parse_timestamp(F.col("_r.timestamp")).isNotNull()
+    for name in ("longitude", "latitude"):
+        usable = usable & is_finite(F.col(f"_r.{name}"))
+    return F.coalesce(usable, F.lit(False)) & ~_flushes()
+
+
+def stream_input(messages: DataFrame) -> DataFrame:
+    """Usable fixes, and ends of input (``is_flush``)."""
+    kept = messages.withColumn("_r", _record()).filter(_usable() | _flushes())
+    return decode(kept).withColumn("is_flush", F.col("ts").isNull())
+
+
 def complete_fixes(messages: DataFrame) -> DataFrame:
     """Decoded messages that are usable fixes."""
-    fixes = decode(messages)
-    return fixes.dropna(subset=["taxi_id", "ts", "longitude", "latitude"])
+    return decode(messages.withColumn("_r", _record()).filter(_usable()))
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
     """The quarantine: messages that are no usable fix, as they came."""
-    usable = parse_timestamp(F.col("_r.timestamp")).isNotNull()
-    for name in ("taxi_id", "longitude", "latitude"):
-        usable = usable & F.col(f"_r.{name}").isNotNull()
-    return (
-        messages.withColumn("_r", _record())
-        .filter(~F.coalesce(usable, F.lit(False)))
-        .drop("_r")
-    )
+    return messages.withColumn("_r", _record()).filter(~_usable() & ~_flushes()).drop("_r")
 
 
 def tag_topics(outputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -124,9 +147,9 @@ def kafka_stream(
 
 
 def send_fixes(fixes: DataFrame, servers: str) -> None:
-    """Send fixes to the input topic.  Tasks send in time order; the reader
-    puts what several tasks interleave back in order."""
-    spread = fixes.repartitionByRange("ts", "is_trip_end", "seq")
+    """Send fixes to the input topic.  A vehicle's fixes are sent by one task in
+    time order; the reader needs no order between vehicles."""
+    spread = fixes.repartition("taxi_id")
     sent = encode(spread.sortWithinPartitions("ts", "is_trip_end", "seq"))
     write_kafka(sent.withColumn("topic", F.lit(INPUT_TOPIC)), servers)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,11 +45,17 @@ def read_fixes(spark: SparkSession, path: str) -> DataFrame:
 def read_or_build(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The stored table, built and stored first where there is none."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
+    """The stored table, built and stored first where there is nothing yet.
+
+    A table is complete once its ``_SUCCESS`` file is there; anything else at
+    the path is left alone and reported."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(at):
         write_fixes(build(), path)
+    elif not files.exists(jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+        raise FileExistsError(f"{path} holds something that is no complete table")
     return read_fixes(spark, path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
 from wayfleet.session import ROCKSDB_PROVIDER
 from wayfleet.sinks.tables import LiveTables
-from wayfleet.sources.messages import complete_fixes, rejected_messages
+from wayfleet.sources.messages import rejected_messages, stream_input
 from wayfleet.streaming.processor import OUTPUT_SCHEMA, VehicleProcessor
 
 
@@ -18,16 +18,17 @@ def live_rows(
     limits: Limits = LIMITS,
     trip_end: str = "intent",
 ) -> DataFrame:
-    """One output row per fix once the watermark has passed it.  Fixes are
-    shuffled once, by vehicle; rows behind the watermark are dropped."""
+    """One output row per fix, once its vehicle is ``lateness`` ahead of it or
+    has come to its end of input.  Fixes are shuffled once, by vehicle.  There
+    is no watermark: it would cover all vehicles, run ahead of slow partitions
+    and drop their rows."""
     return (
-        fixes.withWatermark("ts", limits.lateness)
-        .groupBy("taxi_id")
+        fixes.groupBy("taxi_id")
         .transformWithStateInPandas(
             statefulProcessor=VehicleProcessor(zone, limits, trip_end),
             outputStructType=OUTPUT_SCHEMA,
             outputMode="append",
-            timeMode="EventTime",
+            timeMode="None",
         )
     )
 
@@ -50,7 +51,7 @@ def start_live_job(
     ``checkpoint`` and the tables must lie in storage all executors share.  A
     batch that is run again after a failure replaces what it wrote before.
     """
-    rows = live_rows(complete_fixes(messages), **options)
+    rows = live_rows(stream_input(messages), **options)
     writer = (
         rows.writeStream.foreachBatch(tables.write)
         .outputMode("append")
@@ -58,14 +59,17 @@ def start_live_job(
     )
     # The stream copies the session's settings when it starts.
     conf = messages.sparkSession.conf
-    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    shuffle = conf.get("spark.sql.shuffle.partitions")
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: conf.get(name, None) for name in wanted}
     try:
-        if partitions is not None:
-            conf.set("spark.sql.shuffle.partitions", partitions)
+        for name, value in wanted.items():
+            conf.set(name, value)
         return _start(writer, available_now, every)
     finally:
-        conf.set("spark.sql.shuffle.partitions", shuffle)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def start_quarantine(

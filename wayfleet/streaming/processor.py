@@ -33,10 +33,11 @@ OUTPUT_SCHEMA = T.StructType(
         T.StructField("elapsed_seconds", T.DoubleType()),
         T.StructField("average_speed", T.DoubleType()),
         T.StructField("ended_trip_count", T.LongType()),
+        T.StructField("is_late", T.BooleanType()),
     ]
 )
 
-# Fixes that wait for the watermark, as one packed value: rows of a list state
+# Fixes of a vehicle's last seconds, as one packed value: rows of a list state
 # cross to Spark one at a time, which costs far more than the work on them.
 _WAITING = np.dtype(
     [
@@ -62,68 +63,89 @@ _STATE = T.StructType(
         T.StructField("speed_sum", T.DoubleType()),
         T.StructField("speed_n", T.LongType()),
         T.StructField("ended", T.LongType()),
+        T.StructField("newest", T.LongType()),
         T.StructField("waiting", T.BinaryType()),
     ]
 )
 START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
 
 
+_NEVER = np.iinfo(np.int64).min // 2
+
+
+def in_turn(fixes: np.ndarray, newest: int, lateness: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The turn of each arriving fix, whether it is late, and the newest time.
+
+    ``fixes`` are in the order of their arrival.  A fix waits until the vehicle
+    is ``lateness`` ahead of it; its turn is its time.  One that arrives when
+    its time has passed already is late: its turn is what had passed by then.
+    Turns depend on the arrivals alone, not on how they fall into batches."""
+    ahead = np.maximum.accumulate(np.r_[newest, fixes["us"]])
+    passed = ahead[:-1] - lateness
+    late = fixes["us"] < passed
+    return np.where(late, passed, fixes["us"]), late, int(ahead[-1])
+
+
 class VehicleProcessor(StatefulProcessor):
-    """Buffers fixes until the watermark has passed them, then handles them in
-    time order: cleaning, zone test, segments, running values, trip counts.
+    """Puts a vehicle's fixes in order of time and handles them: cleaning, zone
+    test, segments, running values, trip counts.
 
     All keyed steps share the key, so they share one shuffle and one state
-    value.  State per vehicle is that value plus the fixes of the last few
-    seconds; no history is kept.
+    value: running values and the fixes of the vehicle's last ``lateness``.
+    What a vehicle has sent decides how far it has come, so slow partitions
+    and the size of a trigger change nothing and no fix is lost: late ones are
+    handled when they arrive and marked.  An end of input releases what waits.
     """
 
     def __init__(self, zone: Zone = ZONE, limits: Limits = LIMITS, trip_end: str = "intent"):
         self._zone, self._limits, self._trip_end = zone, limits, trip_end
+        self._lateness = int(pd.Timedelta(limits.lateness) / pd.Timedelta(microseconds=1))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
         self._state = handle.getValueState("vehicle", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [pack(batch) for batch in rows if len(batch)]
-        if arrived:
-            progress, waiting = self._load()
-            fixes = np.concatenate([waiting, *arrived])
-            self._store(progress, fixes)
-            self._wake_after(fixes)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Rows strictly before the watermark are complete: older ones that
-        # arrive from now on are dropped as late.
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        progress, fixes = self._load()
-        passed = fixes["us"] < watermark
-        due, waiting = fixes[passed], fixes[~passed]
-        if not len(due):
-            return
-        due = due[np.lexsort((due["seq"], due["is_trip_end"], due["us"]))]
-        columns, progress = advance(
-            due, progress, self._zone, self._limits, self._trip_end
+        arrived, flush = [], False
+        for batch in rows:
+            ends = batch["is_flush"].to_numpy(dtype=bool)
+            flush |= bool(ends.any())
+            arrived.append(pack(batch[~ends]))
+        fixes = np.concatenate([np.empty(0, dtype=_WAITING), *arrived])
+        fixes = fixes[np.argsort(fixes["seq"], kind="stable")]
+        progress, newest, waiting = self._load()
+        turn, late, newest = in_turn(fixes, newest, self._lateness)
+        fixes = np.concatenate([waiting, fixes])
+        turn = np.r_[waiting["us"], turn]
+        late = np.r_[np.zeros(len(waiting), dtype=bool), late]
+        arrival = np.arange(len(fixes))
+        # Late fixes come before those whose turn is at the same time, as they
+        # arrived; others by time, markers last, then by number.
+        order = np.lexsort(
+            (
+                np.where(late, arrival, fixes["seq"]),
+                np.where(late, False, fixes["is_trip_end"]),
+                ~late,
+                turn,
+            )
         )
-        self._store(progress, waiting)
-        if len(waiting):
-            self._wake_after(waiting)
-        columns["taxi_id"] = np.full(len(due), key[0], dtype=np.int32)
-        yield pd.DataFrame(columns, columns=OUTPUT_SCHEMA.fieldNames(), copy=False)
-
-    def _load(self) -> tuple[tuple, np.ndarray]:
+        ready = late | flush | (turn < newest - self._lateness)
+        due = order[ready[order]]
+        kept = fixes[order[~ready[order]]]
+        columns = None
+        if len(due):
+            columns, progress = advance(fixes[due], progress, self._zone, self._limits, self._trip_end)
+        self._state.update((*progress, newest, kept.tobytes()))
+        if columns is not None:
+            columns["taxi_id"] = np.full(len(due), key[0], dtype=np.int32)
+            columns["is_late"] = late[due]
+            yield pd.DataFrame(columns, columns=OUTPUT_SCHEMA.fieldNames(), copy=False)
+
+    def _load(self) -> tuple[tuple, int, np.ndarray]:
         stored = self._state.get()
         if stored is None:
-            return START, np.empty(0, dtype=_WAITING)
-        *progress, waiting = stored
-        return tuple(progress), np.frombuffer(bytes(waiting), dtype=_WAITING)
-
-    def _store(self, progress: tuple, waiting: np.ndarray) -> None:
-        self._state.update((*progress, waiting.tobytes()))
-
-    def _wake_after(self, fixes: np.ndarray) -> None:
-        self._handle.registerTimer(int(fixes["us"].min()) // 1000 + 1)
+            return START, _NEVER, np.empty(0, dtype=_WAITING)
+        *progress, newest, waiting = stored
+        return tuple(progress), newest, np.frombuffer(bytes(waiting), dtype=_WAITING)
 
     def close(self) -> None:
         pass
@@ -131,7 +153,7 @@ class VehicleProcessor(StatefulProcessor):
 
 def pack(batch: pd.DataFrame) -> np.ndarray:
     fixes = np.empty(len(batch), dtype=_WAITING)
-    ts = batch["ts"]
+    ts = pd.to_datetime(batch["ts"])
     if ts.dt.tz is not None:
         ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
     fixes["us"] = ts.to_numpy().astype("datetime64[us]").astype(np.int64)
