@@ -534,6 +534,9 @@ moved AS (
             f"SELECT {_FIX} FROM ranked WHERE nth = 1 AND NOT is_trip_end",
         ),
     }
+    # Rows come out of a topic as they went in.
+    for name in ("active", "speeds", "averages", "metrics", "ended"):
+        sql[f"topic_{name}"] = sql[f"stream_{name}"]
     # Slicing long histories changes no row.
     for name in ("clean_fixes", "segment_speed", "avg_speed_running", "fleet_running_distance"):
         sql[f"{name}_sliced"] = sql[name]

@@ -173,6 +173,17 @@ def topic_union(spark, folder):
     )
 
 
+def _topic(topic, rounded=None, places=6):
+    """Rows of one topic: encoded, tagged, told apart again and decoded."""
+
+    def query(spark, folder):
+        outputs = _live_trips(spark, folder).staged(_new_folder(spark, "live")).outputs()
+        rows = messages.route(messages.tag_topics(outputs), topic, outputs[topic].schema)
+        return _rounded(rows, places, rounded) if rounded else rows
+
+    return query
+
+
 # -- projections and filters --------------------------------------------------
 
 
@@ -431,7 +442,8 @@ def very_high_speed_count(spark, folder):
 
 
 def distance_over_time(spark, folder):
-    rows = _offline(spark, folder).distance_over_time().select(*_AT, "total_distance")
+    staged = _offline(spark, folder).staged(_new_folder(spark, "offline"))
+    rows = staged.distance_over_time().select(*_AT, "total_distance")
     return _rounded(rows, 4, "total_distance")
 
 
@@ -525,6 +537,11 @@ def queries() -> dict[str, Query]:
         "json_encode": lambda s, d: messages.encode(_fixes(s, d)),
         "json_decode": json_decode,
         "topic_union": topic_union,
+        "topic_active": _topic(ACTIVE, _DISTANCE),
+        "topic_speeds": _topic(SPEEDS, "speed"),
+        "topic_averages": _topic(AVERAGES, "average_speed"),
+        "topic_metrics": _topic(METRICS, "total_distance", 4),
+        "topic_ended": _topic(ENDED),
         "time_slice": lambda s, d: replay.time_slice(
             _fixes(s, d), "2008-02-02 13:40:00", "2008-02-02 15:00:00"
         ).select(*_FIX),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from copy import copy
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,16 @@ class OfflineAnalysis:
         self.raw, self.zone, self.limits = raw, zone, limits
         self.track = track or Track.of(raw, sizing=sizing)
         self._by_taxi, self._sizing = by_taxi, sizing
+        self._steps: DataFrame | None = None
+
+    def staged(self, folder: str) -> "OfflineAnalysis":
+        """The same analysis with the steps written to shared storage once; a
+        running total needs them twice, for its slices and for themselves."""
+        path = f"{folder}/steps"
+        self.steps().write.mode("overwrite").parquet(path)
+        analysis = copy(self)
+        analysis._steps = self.raw.sparkSession.read.parquet(path)
+        return analysis
 
     @property
     def by_taxi(self) -> Track:
@@ -51,6 +63,8 @@ class OfflineAnalysis:
         ).filter(F.col(CENTRE_DISTANCE) <= self.zone.radius_km)
 
     def steps(self) -> DataFrame:
+        if self._steps is not None:
+            return self._steps
         return self.track.unmark(motion.with_steps(self.within_radius(), self.track))
 
     def abnormal_jumps(self) -> DataFrame:
