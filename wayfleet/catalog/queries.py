@@ -46,15 +46,23 @@ _FIX = ["taxi_id", "ts", "longitude", "latitude", "seq"]
 _AT = ["taxi_id", "ts", "seq"]
 _DISTANCE = geofence.DISTANCE
 
-# Cuts stay valid for any rows of the same shape, so each table is measured
-# once per session.
+# Each table is measured and derived once per session and state of its files.
 _tracks: dict[tuple, Track] = {}
 _tables: dict[tuple, str] = {}
 _streams: dict[tuple, LiveTables] = {}
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """The session, and the names, sizes and times of the event files."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/events.parquet")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = ((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files.listStatus(path))
+    return (spark.sparkContext.applicationId, folder, *sorted(found))
+
+
 def _track(spark: SparkSession, folder: str, keys=("taxi_id",), order=None) -> Track:
-    known = (spark.sparkContext.applicationId, folder, keys, order)
+    known = (*_state(spark, folder), keys, order)
     if known not in _tracks:
         fixes = _fixes(spark, folder)
         _tracks[known] = Track.of(fixes, keys, order) if order else Track.of(fixes, keys)
@@ -64,7 +72,7 @@ def _track(spark: SparkSession, folder: str, keys=("taxi_id",), order=None) -> T
 def _fixes(spark: SparkSession, folder: str) -> DataFrame:
     """The processed table of ``folder``: fixes are derived from all its events
     once per session and stored by day and time, as parsed logs would be."""
-    known = (spark.sparkContext.applicationId, folder)
+    known = _state(spark, folder)
     if known not in _tables:
         path = _new_folder(spark, "fixes")
         write_fixes(read_event_fixes(spark, folder), path)
@@ -497,7 +505,7 @@ def run_stream(spark: SparkSession, base: str) -> LiveTables:
 
 
 def _stream_tables(spark: SparkSession, folder: str) -> LiveTables:
-    known = (spark.sparkContext.applicationId, folder)
+    known = _state(spark, folder)
     if known not in _streams:
         _streams[known] = run_stream(spark, write_messages(spark, folder))
     return _streams[known]
