@@ -75,32 +75,44 @@ class Track:
         # At most ``max_slices`` keys can have more than ``limit`` rows.
         large = counts.filter(F.col("n") > limit).drop("n")
         candidates = rows.join(F.broadcast(large), list(keys), "left_semi") if keys else rows
-        stride = max(1, limit // _SAMPLES_PER_SLICE)
-        per_cut = limit // stride
-        picked = candidates.select(*keys, *_order_fields(rows, order)).filter(
-            F.pmod(F.xxhash64(*[f"_o{i}" for i in range(len(order))]), F.lit(stride)) == 0
-        )
         fields = [f"_o{i}" for i in range(len(order))]
-        ranked = picked.withColumn(
-            "_rank", F.row_number().over(_window(keys, fields))
-        )
-        points = (
-            ranked.filter(F.col("_rank") % per_cut == 0)
-            .select(*keys, F.struct(*fields).alias("point"))
-            .orderBy(*keys, "point")
-            .collect()  # about 2 * max_slices points at most
-        )
-        by_key: dict[tuple, list[tuple]] = {}
-        for row in points:
-            by_key.setdefault(tuple(row[k] for k in keys), []).append(tuple(row["point"]))
-        if not by_key:
+        placed = candidates.select(*keys, *_order_fields(rows, order))
+
+        def cut_points(placed: DataFrame, stride: int) -> dict[tuple, list[tuple]]:
+            """Every ``limit``-th row of a key, counted in a sample of one row in
+            ``stride``."""
+            picked = placed.filter(F.pmod(F.xxhash64(*fields), F.lit(stride)) == 0)
+            ranked = picked.withColumn("_rank", F.row_number().over(_window(keys, fields)))
+            points = (
+                ranked.filter(F.col("_rank") % (limit // stride) == 0)
+                .select(*keys, F.struct(*fields).alias("point"))
+                .orderBy(*keys, "point")
+                .collect()  # about 2 * max_slices points at most
+            )
+            found: dict[tuple, list[tuple]] = {}
+            for row in points:
+                found.setdefault(tuple(row[k] for k in keys), []).append(tuple(row["point"]))
+            return found
+
+        stride = max(1, limit // _SAMPLES_PER_SLICE)
+        by_key = cut_points(placed, stride)
+        # A sample may have picked no row of a key; such keys are counted whole.
+        wanted = [tuple(r) for r in large.select(*keys).collect()] if keys else [()]
+        missed = [key for key in wanted if key not in by_key]
+        if missed and stride > 1:
+            if keys:
+                kinds = T.StructType([placed.schema[k] for k in keys])
+                only = rows.sparkSession.createDataFrame(missed, kinds)
+                placed = placed.join(F.broadcast(only), list(keys), "left_semi")
+            by_key |= cut_points(placed, 1)
+        if not by_key:  # only rows without a key are that many
             return cls(keys, order)
         schema = T.StructType(
-            [picked.schema[k] for k in keys]
+            [placed.schema[k] for k in keys]
             + [
                 T.StructField(
                     "_cuts",
-                    T.ArrayType(T.StructType([picked.schema[f] for f in fields])),
+                    T.ArrayType(T.StructType([placed.schema[f] for f in fields])),
                 )
             ]
         )
