@@ -10,10 +10,10 @@ shares a key is compared; links become connected components.
   one bit at most: each equal segment otherwise has a successor with two
   errors, so there is only one, and the three others hold four errors.  Keys
   are (segment, near index of the next segment); no link of 3 bits is missed.
-* ``wide``: 128 bits, five segments of 23.  Keys are the near indices of two
-  segments.  The radius is that of similarity 0.8, far beyond what pigeonholes
-  guarantee, so a pair is found with the probability that two of the segments
-  share an index: about 0.85 at 0.8, 0.98 at 0.9 (random errors).
+* ``wide``: 128 bits, four segments of 23.  Keys are the near indices of two
+  segments.  The radius is the distance expected at similarity 0.8, far beyond
+  what pigeonholes guarantee, so a pair is found with the probability that two
+  of the segments share an index: 0.82 at 0.8, 0.97 at 0.9 (random errors).
 
 Null and empty texts have fingerprint zero and link like any other; repeated
 rows have equal fingerprints; other columns of the input play no part.
@@ -84,7 +84,8 @@ def fingerprint(text: bytes, scheme: Scheme) -> bytes:
 
 
 def fingerprints(docs: DataFrame, scheme: Scheme, keep: list[str]) -> DataFrame:
-    """``keep`` columns and the parts f0, f1, ... (long) of each row's fingerprint."""
+    """``keep`` columns, the parts f0, f1, ... (long) of each row's fingerprint,
+    and its node."""
     parts = [f"f{i}" for i in range(scheme.parts)]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,12 +94,20 @@ def fingerprints(docs: DataFrame, scheme: Scheme, keep: list[str]) -> DataFrame:
             values = np.frombuffer(prints, dtype=">i8").astype(np.int64).reshape(-1, scheme.parts)
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array(np.ascontiguousarray(values[:, i])) for i in range(scheme.parts)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *parts])
+            columns.append(pa.array(node_of(np.ascontiguousarray(values).view(np.uint64))))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *parts, "node"])
 
     narrow = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes().alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema[:-1])
     made = ", ".join(f"{p} long" for p in parts)
-    return narrow.mapInArrow(run, f"{kinds}, {made}")
+    return narrow.mapInArrow(run, f"{kinds}, {made}, node long")
+
+
+def node_of(f: np.ndarray) -> np.ndarray:
+    """One number for a fingerprint: itself, or a mix of its two parts."""
+    if f.shape[1] == 1:
+        return f[:, 0].view(np.int64)
+    return (f[:, 0] ^ (f[:, 1] * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
 # -- keys --------------------------------------------------------------------
@@ -117,12 +126,12 @@ def _keys_exact(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _keys_wide(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = np.uint64((1 << BITS) - 1)
-    cut = lambda part, i: (f[:, part] >> np.uint64(BITS * i) & low).astype(np.int64)
-    rest = (f[:, 0] >> np.uint64(46)) | ((f[:, 1] >> np.uint64(46)) & np.uint64(31)) << np.uint64(18)
-    segments = [cut(0, 0), cut(0, 1), cut(1, 0), cut(1, 1), (rest & low).astype(np.int64)]
+    segments = [
+        (f[:, part] >> np.uint64(BITS * i) & low).astype(np.int64) for part in range(2) for i in range(2)
+    ]
     near = [near_indices(s) for s in segments]
     rows, keys, pair = [], [], 0
-    for i in range(5):
+    for i in range(4):
         for j in range(i):
             both = (near[i] >= 0)[:, :, None] & (near[j] >= 0)[:, None, :]
             row, x, y = np.nonzero(both)
@@ -133,7 +142,7 @@ def _keys_wide(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fuzzy_keys(classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """A row for each key of each class: key, node and the fingerprint's parts."""
+    """A row for each key of each class: key and the fingerprint's parts."""
     parts = [f"f{i}" for i in range(scheme.parts)]
     make = _keys_exact if scheme.parts == 1 else _keys_wide
 
@@ -141,16 +150,14 @@ def fuzzy_keys(classes: DataFrame, scheme: Scheme) -> DataFrame:
         for whole in batches(source):
             for start in range(0, whole.num_rows, 2000):
                 batch = whole.slice(start, 2000)
-                node = batch.column(0).to_numpy()
-                f = np.stack([batch.column(1 + i).to_numpy() for i in range(scheme.parts)], axis=1)
+                f = np.stack([batch.column(i).to_numpy() for i in range(scheme.parts)], axis=1)
                 row, key = make(f.view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(node[row]), *(pa.array(f[row, i]) for i in range(scheme.parts))],
-                    names=["key", "node", *parts],
+                    [pa.array(key), *(pa.array(f[row, i]) for i in range(scheme.parts))], names=["key", *parts]
                 )
 
     made = ", ".join(f"{p} long" for p in parts)
-    return classes.select("node", *parts).mapInArrow(run, f"key long, node long, {made}")
+    return classes.select(*parts).mapInArrow(run, f"key long, {made}")
 
 
 # -- links --------------------------------------------------------------------
@@ -160,41 +167,50 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
 
 
-def _walk(node: np.ndarray, f: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that connect whatever links connect: each fingerprint reached
-    looks at those not reached yet only, so a dense group costs little."""
-    links, left = [], np.arange(len(node))
+def _walk(node: np.ndarray, f: np.ndarray, radius: int) -> np.ndarray:
+    """For each node, in ascending order, the smallest that links reach: each
+    fingerprint reached looks at those not reached yet only, so a dense group
+    costs little."""
+    least, left = node.copy(), np.arange(len(node))
     while len(left):
-        queue, left = [left[0]], left[1:]
+        first, queue, left = left[0], [left[0]], left[1:]
         while queue and len(left):
-            at = queue.pop()
-            near = _distance(f[left], f[at]) <= radius
+            near = _distance(f[left], f[queue.pop()]) <= radius
             reached = left[near]
-            links += [(node[at], x) for x in node[reached]]
+            least[reached] = node[first]
             queue += list(reached)
             left = left[~near]
-    return links
+    return least
 
 
 def _links(key: np.ndarray, node: np.ndarray, f: np.ndarray, radius: int) -> np.ndarray:
-    """(n, 2) linked nodes among rows sorted by key."""
+    """(n, 2) nodes, each with the smallest that links within one key reach,
+    where that is another one.  Rows are sorted by key and node."""
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[start, len(key)])
-    found = [np.empty((0, 2), dtype=np.int64)]
-    small = np.repeat(size <= _SMALL, size)
+    least, small = node.copy(), np.repeat(size <= _SMALL, size)
+    pairs = [np.empty((2, 0), dtype=np.int64)]
     for lag in range(1, min(_SMALL, len(key))):
         at = np.flatnonzero((key[lag:] == key[:-lag]) & small[lag:])
         at = at[_distance(f[at], f[at + lag]) <= radius]
-        found.append(np.stack([node[at], node[at + lag]], axis=1))
+        pairs.append(np.stack([at, at + lag]))
+    one, two = np.concatenate(pairs, axis=1)
+    while True:  # a key of this kind has few members, so few turns
+        before = least.copy()
+        np.minimum.at(least, one, least[two])
+        np.minimum.at(least, two, least[one])
+        if (before == least).all():
+            break
     for k in np.flatnonzero(size > _SMALL):
         own = slice(start[k], start[k] + size[k])
-        found.append(np.array(_walk(node[own], f[own], radius), dtype=np.int64).reshape(-1, 2))
-    return np.concatenate(found)
+        least[own] = _walk(node[own], f[own], radius)
+    moved = least != node
+    return np.stack([node[moved], least[moved]], axis=1)
 
 
 def links(keys: DataFrame, scheme: Scheme, group_rows: int = GROUP_ROWS, classes: int | None = None) -> DataFrame:
-    """Linked nodes (a, b), enough of them to connect whatever shares a key
-    and lies within the radius.
+    """Nodes (a, b), enough of them to connect whatever shares a key and lies
+    within the radius: for each key, each node with the smallest that it reaches.
 
     Keys are dealt and sorted by Spark; a task streams over its sorted rows
     and holds one key's fingerprints.  Keys with more than ``group_rows`` are
@@ -207,7 +223,7 @@ def links(keys: DataFrame, scheme: Scheme, group_rows: int = GROUP_ROWS, classes
         counted = keys.groupBy("key").count().where(F.col("count") > group_rows)
         hot = counted.select("key", F.ceil(F.col("count") / (group_rows / 2)).cast("int").alias("__n"))
         keys = keys.join(hot, "key", "left")
-        n, own = F.col("__n"), F.pmod(F.xxhash64("node"), F.col("__n")).cast("int")
+        n, own = F.col("__n"), F.pmod(F.xxhash64(*parts), F.col("__n")).cast("int")
         blocks = F.when(
             n.isNotNull(),
             F.transform(
@@ -215,21 +231,20 @@ def links(keys: DataFrame, scheme: Scheme, group_rows: int = GROUP_ROWS, classes
                 lambda x: F.xxhash64("key", F.least(x, own), F.greatest(x, own)),
             ),
         ).otherwise(F.array("key"))
-        keys = keys.select(F.explode(blocks).alias("key"), "node", *parts)
+        keys = keys.select(F.explode(blocks).alias("key"), *parts)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def out(rows: np.ndarray) -> pa.RecordBatch:
-            f = rows[:, 2:].view(np.uint64)
-            pairs = np.unique(np.sort(_links(rows[:, 0], rows[:, 1], f, scheme.radius), axis=1), axis=0)
+            f = rows[:, 1:].view(np.uint64)
+            pairs = np.unique(_links(rows[:, 0], node_of(f), f, scheme.radius), axis=0)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(pairs[:, 1])), pa.array(np.ascontiguousarray(pairs[:, 0]))],
-                names=["a", "b"],
+                [pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"]
             )
 
         for batch in batches(source):
-            rows = np.stack([batch.column(i).to_numpy() for i in range(2 + scheme.parts)], axis=1)
+            rows = np.stack([batch.column(i).to_numpy() for i in range(1 + scheme.parts)], axis=1)
             if rows[0, 0] == rows[-1, 0]:
                 if held and held[-1][-1, 0] != rows[0, 0]:
                     yield out(np.ascontiguousarray(np.concatenate(held)))
@@ -242,7 +257,7 @@ def links(keys: DataFrame, scheme: Scheme, group_rows: int = GROUP_ROWS, classes
         if held:
             yield out(np.ascontiguousarray(np.concatenate(held)))
 
-    dealt = keys.repartition("key").sortWithinPartitions("key")
+    dealt = keys.repartition("key").sortWithinPartitions("key", *parts)
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -257,8 +272,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme, group_rows: int = GROUP_ROW
     copies never meet in pairs.
     """
     parts = [f"f{i}" for i in range(scheme.parts)]
-    node = F.col("f0") if scheme.parts == 1 else F.xxhash64(*parts)
-    rows, _ = stored(fingerprints(docs, scheme, ["doc_id"]).withColumn("node", node), "prints")
+    rows, _ = stored(fingerprints(docs, scheme, ["doc_id"]), "prints")
     classes, _ = stored(rows.groupBy("node", *parts).agg(F.min("doc_id").alias("first_id")), "classes")
     pairs = links(fuzzy_keys(classes, scheme), scheme, group_rows, classes.count())
     roots = components(pairs)
