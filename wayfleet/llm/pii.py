@@ -136,8 +136,11 @@ def _train_windows(docs: DataFrame) -> list[tuple[str, bytes]]:
                 [pa.array(texts, pa.string()), pa.array(tags, pa.binary())], names=["text", "tags"]
             )
 
-    sample = docs.where(F.col("text").rlike(TRIGGER)).select("text", F.xxhash64("doc_id", F.lit(1)).alias("at"))
-    sample = sample.orderBy("at", "text").limit(TRAIN_DOCS).select("text")
+    # The last hash taken is looked for without the texts, which would all meet
+    # in one task; rows that share it differ in nothing that matters.
+    sample = docs.where(F.col("text").rlike(TRIGGER)).select("text", F.xxhash64("doc_id", "text").alias("at"))
+    last = sample.select("at").orderBy("at").limit(TRAIN_DOCS).agg(F.max("at")).first()[0]
+    sample = sample.where(F.col("at") <= last).select("text")
     found = sample.mapInArrow(run, "text string, tags binary").distinct()
     found = found.orderBy(F.xxhash64("text"), "tags").limit(TRAIN_WINDOWS)
     return [(row.text, bytes(row.tags)) for row in found.collect()]
