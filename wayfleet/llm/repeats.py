@@ -17,8 +17,9 @@ to what can matter:
    outwards.
 
 Sorting and merging is done by Spark's shuffles, which spill to disk; counts are
-added up before they are shuffled, and joins that carry rows are of a kind whose
-skewed parts Spark splits.  Equality is that of a pair of independent 64-bit
+added up before they are shuffled, joins that carry rows are of a kind whose
+skewed parts Spark splits, and a task hands on a window once, however often it
+has met it.  Equality is that of a pair of independent 64-bit
 hashes of the bytes.
 
 Null and empty texts, and those shorter than LENGTH, keep all bytes.  Rows
@@ -36,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wayfleet.llm.work import batches, stored, text_bytes
+from wayfleet.llm.work import batches, forget, stored, text_bytes
 
 LENGTH, GRAM = 200, 100
 PIECE = 1 << 19
@@ -148,6 +150,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _samples(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """gram, name, key and place of every sampled position; a place packs the
+    position with how far before it the first of its windows begins, and how
+    many more there are (each below 1024)."""
+    if length - gram >= 1024:
+        raise ValueError("grams may be at most 1023 bytes shorter than strings")
+
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
             for start in range(0, batch.num_rows, 2000):
@@ -160,90 +168,115 @@ def _samples(docs: DataFrame, length: int, gram: int) -> DataFrame:
                             pa.array(found["gram"]),
                             pa.array(found["name"]),
                             pa.array(keys[found["text"]]),
-                            *(pa.array(found[x].astype(np.int32)) for x in ("at", "low", "high")),
+                            pa.array(found["at"] << 20 | (found["at"] - found["low"]) << 10 | found["high"] - found["low"]),
                         ],
-                        names=["gram", "name", "key", "at", "low", "high"],
+                        names=["gram", "name", "key", "place"],
                     )
 
     return docs.where(F.octet_length("text") >= length).select("key", "text").mapInArrow(
-        run, "gram long, name long, key long, at int, low int, high int"
+        run, "gram long, name long, key long, place long"
     )
 
 
+def _at(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position, first and last window of packed places."""
+    at = place >> 20
+    low = at - (place >> 10 & 1023)
+    return at, low, low + (place & 1023)
+
+
+def _windows_of(text: bytes, edges: pa.StructArray, length: int) -> tuple[np.ndarray, ...]:
+    """gram, hash of bytes and offset, first byte, and whether its name occurs
+    once, of every window around the edge positions of one text."""
+    gram, place, single = (edges.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    at, low, high = _at(place)
+    order = np.argsort(low, kind="stable")
+    value, begin = [], 0
+    while begin < len(order):  # edges that lie together share running sums
+        base, end = low[order[begin]], begin + 1
+        while end < len(order) and high[order[end]] + length - base <= 2 * PIECE:
+            end += 1
+        mine = order[begin:end]
+        begin = end
+        data = np.frombuffer(text[base : int(high[mine].max()) + length], dtype=np.uint8)
+        count = high[mine] - low[mine] + 1
+        which = np.repeat(mine, count)
+        window = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[which]
+        own = _spans.at(_spans.sums(data), window - base, window - base + length)
+        own = mixed(own + (at[which] - window).astype(np.uint64))
+        value.append((gram[which], own.view(np.int64), window, single[which]))
+    return tuple(np.concatenate(x) for x in zip(*value, strict=True))
+
+
 def _edge_windows(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
-    """A row for each window around each edge position: its gram, a hash of its
-    bytes and offset, where it is, and whether its name occurs once."""
-    listed = edges.groupBy("key").agg(F.collect_list(F.struct("gram", "at", "low", "high", "single")).alias("edges"))
+    """Windows around edge positions: gram, window (a hash of bytes and offset),
+    key, low, n and kind.  ``single``: its name occurs once; ``settled``: it was
+    met twice in one task's batch, so it needs no one else; ``other``: it only
+    counts, n times.  A batch hands on one row that is not settled for each
+    window, however often it was met, and settled ones go anywhere."""
+    listed = edges.groupBy("key").agg(F.collect_list(F.struct("gram", "place", "single")).alias("edges"))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
+            found = [[], [], [], [], []]
+            keys, texts, own = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
             for row in range(batch.num_rows):
-                key, text = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                own = batch.column(2).slice(row, 1).flatten()
-                gram, at, low, high, single = (own.field(i).to_numpy(zero_copy_only=False) for i in range(5))
-                order = np.argsort(low, kind="stable")
-                begin = 0
-                while begin < len(order):  # edges that lie together share running sums
-                    base, end = low[order[begin]], begin
-                    while end < len(order) and high[order[end]] + length - base <= 2 * PIECE:
-                        end += 1
-                    end = max(end, begin + 1)
-                    mine = order[begin:end]
-                    begin = end
-                    data = np.frombuffer(text[base : int(high[mine].max()) + length], dtype=np.uint8)
-                    sums = _spans.sums(data)
-                    count = high[mine] - low[mine] + 1
-                    which = np.repeat(mine, count)
-                    window = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[which]
-                    value = _spans.at(sums, window - base, window - base + length)
-                    value = mixed(value + (at[which] - window).astype(np.uint64))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(gram[which]),
-                            pa.array(value.view(np.int64)),
-                            pa.array(np.full(len(which), key)),
-                            pa.array(window.astype(np.int32)),
-                            pa.array(single[which]),
-                        ],
-                        names=["gram", "window", "key", "low", "single"],
-                    )
+                columns = _windows_of(texts[row].as_py(), own.slice(row, 1).flatten(), length)
+                for into, values in zip(found, (*columns, np.full(len(columns[0]), keys[row])), strict=True):
+                    into.append(values)
+            gram, window, low, single, key = map(np.concatenate, found)
+            pair = np.rec.fromarrays([gram, window])
+            _, first, inverse, count = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+            often = count[inverse] > 1
+            alone, settled, lead = ~often, often & single, first[count > 1]
+            parts = [
+                (gram[alone], window[alone], key[alone], low[alone], np.ones(alone.sum(), np.int64), np.where(single[alone], 1, 0)),
+                (key[settled], low[settled], key[settled], low[settled], np.ones(settled.sum(), np.int64), np.full(settled.sum(), 2)),
+                (gram[lead], window[lead], key[lead], low[lead], count[count > 1], np.zeros(len(lead), np.int64)),
+            ]
+            names = ["gram", "window", "key", "low", "n", "kind"]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*parts, strict=True)], names=names)
 
     once = docs.select("key", "text").join(listed, "key")
-    return once.mapInArrow(run, "gram long, window long, key long, low int, single boolean")
+    made = once.mapInArrow(run, "gram long, window long, key long, low long, n long, kind long")
+    return made.withColumn("n", F.col("n").cast("int")).withColumn("kind", F.col("kind").cast("int"))
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, list[str]]:
-    """(key, low, high): all windows that begin from low to high are repeated;
-    and the paths of the tables that it reads."""
-    keyed = _keyed(docs)
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """key and spans (low, high): all windows that begin from low to high are
+    repeated.  A document has no more spans than bytes."""
+    spark, keyed = docs.sparkSession, _keyed(docs)
     samples = _samples(keyed, length, gram)
     again = samples.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     found, one = stored(samples.join(again, "gram", "left_semi"), "samples")
     names, two = stored(
         found.groupBy("gram", "name").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "low", "high")).alias("first")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("first")
         ),
         "names",
     )
+    low = F.shiftright("place", 20) - F.shiftright("place", 10).bitwiseAND(F.lit(1023))
     whole = found.join(names.where("n > 1").select("gram", "name"), ["gram", "name"], "left_semi")
-    mixed_grams = names.groupBy("gram").agg(F.count(F.lit(1)).alias("names"), F.min("n").alias("least"))
-    mixed_grams = mixed_grams.where("names > 1 AND least = 1").select("gram")
-    edges = names.join(mixed_grams, "gram", "left_semi").select("gram", "first.*", (F.col("n") == 1).alias("single"))
-    # Rows with one key are equal and give equal windows; they count once, as
-    # a name that such rows share is not single.
-    windows, three = stored(_edge_windows(keyed, edges, length).distinct(), "windows")
-    often = windows.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", "window")
-    some = windows.where("single").join(often, ["gram", "window"], "left_semi")
-    return whole.select("key", "low", "high").unionByName(
-        some.select("key", "low", F.col("low").alias("high"))
-    ), [one, two, three]
+    whole = whole.select("key", low.alias("low"), (low + F.col("place").bitwiseAND(F.lit(1023))).alias("high"))
+    several = names.groupBy("gram").agg(F.count(F.lit(1)).alias("names"), F.min("n").alias("least"))
+    several = several.where("names > 1 AND least = 1").select("gram")
+    edges = names.join(several, "gram", "left_semi").select("gram", "first.*", (F.col("n") == 1).alias("single"))
+    # Rows with one key are equal and repeat each other, so that their windows
+    # count twice here does no harm: their names are not single.
+    windows = _edge_windows(keyed, edges, length)
+    total = F.sum("n").over(Window.partitionBy("gram", "window"))
+    some = windows.withColumn("total", total).where("kind = 2 OR kind = 1 AND total > 1")
+    spans, three = stored(whole.unionByName(some.select("key", "low", F.col("low").alias("high"))), "repeats")
+    forget(spark, one, two)
+    spans, _ = stored(spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
+    forget(spark, three)
+    return spans
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the
     remaining bytes, concatenated) of every row."""
-    spans, _ = repeated_windows(docs, length, gram)
-    spans = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = repeated_windows(docs, length, gram)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):

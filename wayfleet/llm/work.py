@@ -21,11 +21,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def stored(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``frame`` to the shared folder and read it back: lineage ends
-    there, and lost executors cost nothing that was finished."""
+    there, and lost executors cost nothing that was finished.
+
+    Spark deletes the shuffle files of finished work when the driver collects
+    garbage, which a driver with little to do hardly does; so it is asked to,
+    before more are written."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema])
+    spark._jvm.System.gc()
     frame.write.parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(schema).parquet(path), path
 
 
