@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tests.llm.helpers import ODD, edited, frame, words
+from wayfleet.llm import similar, simhash
+
+
+def pair(seed, shared, size=180):
+    """Two texts of ``size`` shingles each that have ``shared`` of them in common."""
+    own = [f"{w}q{i}" for i, w in enumerate(words(seed, size + 4))]
+    other = [f"y{w}" for w in words(10**6 + seed, size - shared)]
+    return " ".join(own), " ".join([*own[: shared + 4], *other])
+
+
+def expected(rows):
+    """Component ids by comparing every two texts."""
+    sets = [set(simhash.shingles((t or "").encode(), 5)) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return sorted((doc_id, least[find(i)]) for i, (doc_id, _) in enumerate(rows))
+
+
+def test_stage_links_from_0_8_on_and_nothing_below(spark):
+    """At 160 of 200 shingles a pair is linked, at 159 of 201 it is not."""
+    rows = [x for k in range(120) for x in pair(k, 160 if k % 2 else 159)]
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows, clashing=False), "").collect()}
+    assert all(2 * k in kept and (2 * k + 1 in kept) == (k % 2 == 0) for k in range(120))
+
+
+@pytest.mark.parametrize("block_shingles", [similar.BLOCK_SHINGLES, 400])
+def test_components_equal_brute_force(spark, block_shingles):
+    base = [" ".join(words(k, 120, 10**6)) for k in range(6)]
+    near = [edited(base[k % 6], k, k % 7) for k in range(72)]
+    rows = [*enumerate([*base, *near, *ODD, "two words", "two  WORDS"], 5), (7, "again"), (300, base[0])]
+    found = similar.near_duplicates(frame(spark, rows), block_shingles).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == expected(rows)
+
+
+def test_most_frequent_shingle_decides_nothing(spark):
+    """One shingle makes up most of both texts, which share no other."""
+    rows = [" ".join([*["w"] * 400, *words(k, 100)]) for k in (1, 2)]
+    assert len({r.component_id for r in similar.near_duplicates(frame(spark, rows)).collect()}) == 2
+
+
+def test_band_keys_find_all_of_0_8():
+    sets = [[similar.shingle_set(t.encode()) for t in pair(k, 160)] for k in range(1000)]
+    missed = [k for k, (a, b) in enumerate(sets) if not np.intersect1d(similar.band_keys(a), similar.band_keys(b)).size]
+    assert len(missed) <= 4
+
+
+def test_empty_table(spark):
+    assert similar.near_duplicates(frame(spark, [])).count() == 0
