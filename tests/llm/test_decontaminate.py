@@ -30,6 +30,20 @@ def test_other_values_are_caught_if_consistent(spark):
     assert got[0, 0].n_changed > 0 and got[0, 0].n_matched == got[0, 0].n_windows
 
 
+def test_copies_in_other_case_or_spacing_are_caught(spark):
+    german = "Der Hund und die Katze sehen im Garten den Vogel auf dem Baum neben dem Haus der Familie am Rand der Stadt"
+    docs = [german.lower(), german.upper(), german.replace(" ", "\n"), german.replace(" ", "  "), german.lower().replace("hund", "esel"), german[:40]]
+    got = found(spark, docs, german)
+    assert set(got) == {(k, 0) for k in range(5)}
+    assert all(got[k, 0].n_matched == got[k, 0].n_windows for k in range(4))
+
+
+def test_an_inconsistent_value_voids_its_own_windows_only(spark):
+    rest = " ".join(words(6, 40))
+    got = found(spark, [f"so 7 old cars and 8 more cars {rest}"], f"so 5 old cars and 5 more cars {rest}")
+    assert set(got) == {(0, 0)} and got[0, 0].n_matched == got[0, 0].n_windows - 6
+
+
 def test_half_of_an_item_is_enough_less_is_not(spark):
     own = words(1, 40)
     some = [" ".join(own), " ".join([*words(2, 30), *own[:26], *words(3, 30)]), " ".join([*words(4, 30), *own[:20], *words(5, 9)])]

@@ -3,15 +3,18 @@
 Numbers, names and units become typed placeholders, so that a question asked
 again with other values keeps its template.  Every window of ``WINDOW`` template
 words of a document is hashed and joined with the windows of the benchmark
-items.  Where placeholders are involved, the values must be exchanged
+items, and so is every window of the plain words: a window counts if either is
+equal, so that a copy in other letter case is found although its names are not
+seen as names.  Where placeholders are involved, the values must be exchanged
 consistently: within one alignment of a document and an item, one value of the
-item stands for one value of the document.  A document is contaminated by an
-item if consistent windows cover at least ``COVERAGE`` of the item's windows.
+item stands for one value of the document; where it does not, windows with that
+value count only if their plain words are equal.  A document is contaminated by
+an item if such windows cover at least ``COVERAGE`` of the item's windows.
 
 A number is a run of digits with inner dots and commas; a unit is one of UNITS
 after a number; a name is a capitalised word after a space that does not begin a
-sentence.  Words are what ASCII white space and punctuation separate, in lower
-case.  Items with fewer words than a window are one window as long as they
+sentence; runs of white space count as one space.  Words are what ASCII white
+space and punctuation separate, in lower case.  Items with fewer words than a window are one window as long as they
 are; items without a word match nothing.
 
 Null and empty texts have no windows.  Rows that share a doc_id (or an item_id)
@@ -47,7 +50,7 @@ _SEPARATORS = r"[\x00-\x20!-/:-@\[-`{-~\x7F]+"
 def marked(text: Column, values: bool) -> Column:
     """The text with each number, name and unit as a mark, followed by its
     value if ``values``.  Both forms have the same words at the same places."""
-    text = F.coalesce(text, F.lit(""))
+    text = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
     own = "$1" if values else ""
     name = rf" ([{_CAPITAL}](?<![.!?:\s] .)[{_SMALL}][\p{{L}}]*)"
     text = F.regexp_replace(text, name, f" {_NAME}{own} ")
@@ -65,6 +68,16 @@ def words(marked_text: Column) -> Column:
     return F.filter(F.split(marked_text, _SEPARATORS), lambda x: x != "")
 
 
+def _plain(word: Column) -> Column:
+    """A word of ``marked(..., values=True)`` as it stands in the text, in lower case."""
+    return F.lower(F.translate(word, _NUMBER + _UNIT + _NAME, ""))
+
+
+def _typed(word: Column) -> Column:
+    """Such a word in the template: its mark, if it has one."""
+    return F.when(word.rlike(_MARKED), F.substring(word, 1, 1)).otherwise(F.lower(word))
+
+
 def _bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -81,22 +94,29 @@ def _paired(hashes: Column, step: int) -> Column:
 
 
 def _windows(frame: DataFrame, key: str, lengths: list[int]) -> DataFrame:
-    """(key, size, pos, hash) of every window of the lengths, positions from 0.
+    """(key, size, pos, window, hash, exact) of every window of the lengths,
+    positions from 0: ``window`` is the template's hash; ``hash`` is that or,
+    in a row of its own where it differs, the plain words'; ``exact`` tells
+    that no placeholder is in what was hashed.
 
     Hashes of one word are combined to those of two, four, ... words, and the
     last step lets both halves overlap."""
-    text = words(marked(F.col("text"), values=False))
-    hashed = frame.select(
-        key, F.transform(text, lambda x: F.xxhash64(F.lower(x))).alias("__words"),
-    ).withColumn("__n", F.size("__words"))
+    text = words(marked(F.col("text"), values=True))
+    both = F.transform(text, lambda x: F.struct(F.xxhash64(_typed(x)).alias("t"), F.xxhash64(_plain(x)).alias("p")))
+    hashed = frame.select(key, both.alias("__words")).withColumn("__n", F.size("__words"))
     out = None
     for size in lengths:
-        hashes, width = F.col("__words"), 1
-        while width < size:
-            step = min(width, size - width)
-            hashes, width = _paired(hashes, step), width + step
-        part = hashed.select(key, "__n", F.posexplode(hashes).alias("pos", "hash"))
-        part = part.where(F.col("pos") <= F.col("__n") - size).select(key, F.lit(size).alias("size"), "pos", "hash")
+        forms = []
+        for form in ("t", "p"):
+            hashes, width = F.col(f"__words.{form}"), 1
+            while width < size:
+                step = min(width, size - width)
+                hashes, width = _paired(hashes, step), width + step
+            forms.append(hashes.alias(form))
+        part = hashed.select(key, "__n", *forms).select(key, "__n", F.posexplode(F.arrays_zip("t", "p")).alias("pos", "h"))
+        part = part.where(F.col("pos") <= F.col("__n") - size).select(key, F.lit(size).alias("size"), "pos", "h.t", "h.p")
+        part = part.withColumn("hash", F.explode(F.array_distinct(F.array("t", "p"))))
+        part = part.select(key, "size", "pos", F.col("t").alias("window"), "hash", (F.col("hash") == F.col("p")).alias("exact"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -114,10 +134,11 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
         part = _windows(per_item.where(F.col("__size") == n), "item_id", [n])
         item_windows = part if item_windows is None else item_windows.unionByName(part)
     item_windows, _ = stored(item_windows.withColumnRenamed("pos", "item_pos").distinct(), "item-windows")
-    totals = item_windows.groupBy("item_id").agg(F.count_distinct("size", "hash").alias("n_windows"))
+    totals = item_windows.groupBy("item_id").agg(F.count_distinct("size", "window").alias("n_windows"))
     side = F.broadcast(item_windows) if item_windows.count() <= BROADCAST_WINDOWS else item_windows
-    matches, _ = stored(_windows(docs, "doc_id", lengths).join(side, ["hash", "size"]), "matches")
-    covered = matches.groupBy("doc_id", "item_id").agg(F.count_distinct("size", "hash").alias("n"))
+    doc_windows = _windows(docs, "doc_id", lengths).drop("window", "exact")
+    matches, _ = stored(doc_windows.join(side, ["hash", "size"]), "matches")
+    covered = matches.groupBy("doc_id", "item_id").agg(F.count_distinct("size", "window").alias("n"))
     enough = covered.join(totals, "item_id").where(F.col("n") >= coverage * F.col("n_windows"))
     enough, _ = stored(enough.drop("n"), "enough")
     matches = matches.join(enough, ["doc_id", "item_id"]).withColumn("diagonal", F.col("pos") - F.col("item_pos"))
@@ -131,7 +152,7 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
     pairs = F.zip_with(
         F.slice("__item", F.col("item_pos") + 1, F.col("size")),
         F.slice("__doc", F.col("pos") + 1, F.col("size")),
-        lambda a, b: F.struct(F.lower(a).alias("a"), F.lower(b).alias("b")),
+        lambda a, b: F.struct(F.lower(a).alias("a"), _plain(b).alias("b")),
     )
     slots = matches.join(slotted, "item_id").join(with_values(wanted, "doc_id", "__doc"), "doc_id").select(
         "doc_id", "item_id", "diagonal",
@@ -139,16 +160,18 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
     ).groupBy("doc_id", "item_id", "diagonal", F.col("s.a").alias("a")).agg(
         F.min("s.b").alias("low"), F.max("s.b").alias("high")
     )
+    same = F.col("low") == F.col("high")
     verdicts = slots.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.bool_and(F.col("low") == F.col("high")).alias("consistent"),
-        F.count(F.lit(1)).alias("n_slots"),
-        F.count_if(F.col("a") != F.col("low")).alias("n_changed"),
+        F.collect_set(F.when(~same, F.col("a"))).alias("inconsistent"),
+        F.count_if(same).alias("n_slots"),
+        F.count_if(same & (_plain(F.col("a")) != F.col("low"))).alias("n_changed"),
     )
-    kept = matches.join(verdicts, ["doc_id", "item_id", "diagonal"], "left").where(
-        F.coalesce("consistent", F.lit(True))
+    inside = F.transform(F.slice("__item", F.col("item_pos") + 1, F.col("size")), F.lower)
+    kept = matches.join(verdicts, ["doc_id", "item_id", "diagonal"], "left").join(slotted, "item_id", "left").where(
+        F.col("exact") | ~F.coalesce(F.arrays_overlap(inside, "inconsistent"), F.lit(False))
     )
     out = kept.groupBy("doc_id", "item_id", "n_windows").agg(
-        F.count_distinct("size", "hash").alias("n_matched"),
+        F.count_distinct("size", "window").alias("n_matched"),
         F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"),
         F.coalesce(F.max("n_changed"), F.lit(0)).alias("n_changed"),
     )
