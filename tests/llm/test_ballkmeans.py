@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from wayfleet.llm import ballkmeans
+
+ROWS = "vec_id long, embedding array<float>, label int, v int, codes int, part int, __label int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, e, x, 1, 2, 3, 4) for i, e, x in rows], ROWS)
+
+
+def expected(rows, entries=256, rounds=4, parts=4):
+    """Lloyd's rounds in plain Python."""
+    whole = [
+        (i, [math.floor(1024 * float(np.float32(x))) for x in e], label)
+        for i, e, label in rows
+        if e is not None and all(x is not None and math.isfinite(x) for x in e)
+    ]
+    width = -(-max((len(e) for _, e, _ in whole), default=0) // parts) * parts
+    step = width // parts
+    whole = [(i, e + [0] * (width - len(e)), label) for i, e, label in whole]
+    first = sorted(whole, key=lambda r: (r[0] is None, r[0] or 0))[:entries]
+    cut = lambda e, p: e[p * step : (p + 1) * step]
+    books = [[cut(e, p) for _, e, _ in first] for p in range(parts)]
+
+    def assign(p):
+        away = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+        return [min((away(cut(e, p), c), k) for k, c in enumerate(books[p])) for _, e, _ in whole]
+
+    for _ in range(rounds):
+        new = []
+        for p in range(parts):
+            own = assign(p)
+            book = []
+            for k, c in enumerate(books[p]):
+                mine = [cut(whole[j][1], p) for j, (_, code) in enumerate(own) if code == k]
+                book.append([sum(x) // len(mine) for x in zip(*mine)] if mine else c)
+            new.append(book)
+        books = new
+    last = [assign(p) for p in range(parts)]
+    sha = hashlib.sha256(",".join(str(x) for b in books for c in b for x in c).encode()).hexdigest()
+    out = []
+    for j, (i, _, label) in enumerate(whole):
+        out.append([i, "".join(f"{last[p][j][1]:02x}" for p in range(parts)), sum(last[p][j][0] for p in range(parts)), label])
+    by_label = {}
+    for _, _, error, label in out:
+        by_label[label] = by_label.get(label, 0) + error
+    return sorted(((i, c, e, by_label[x], sha) for i, c, e, x in out), key=str)
+
+
+def vectors(seed, n, width=8):
+    rng = np.random.default_rng(seed)
+    return [[float(x) for x in rng.normal(size=width)] for _ in range(n)]
+
+
+def test_equals_plain_rounds(spark):
+    rows = [(i, e, i % 3 or None) for i, e in enumerate(vectors(1, 500))]
+    rows += [(1000 + i, rows[5][1], 7) for i in range(40)]
+    rows += [(2000, None, 1), (2001, [1.0, None] * 4, 1), (2002, [float("inf")] * 8, 1), (None, rows[9][1], 2), rows[3]]
+    found = ballkmeans.coded_table(table(spark, rows))
+    assert found.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows)
+
+
+def test_few_rows_odd_lengths_and_empty_table(spark):
+    rows = [(3, [1.0, 2.0, 3.0], 1), (1, [0.5], None), (2, [], None), (1, [0.5], None)]
+    found = ballkmeans.coded_table(table(spark, rows))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows)
+    none = ballkmeans.coded_table(table(spark, []))
+    assert none.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"] and not none.collect()
+    assert [tuple(r)[:3] for r in ballkmeans.coded_table(table(spark, [(5, [], 1)])).collect()] == [(5, "00000000", 0)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 60), st.integers(1, 30), st.integers(1, 4), st.integers(1, 40))
+def test_balls_decide_as_all_distances_do(seed, n, size, width, spread):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-spread, spread, (n, width)).astype(float)  # many ties
+    book = rng.integers(-spread, spread, (size, width)).astype(float)
+    code, away = ballkmeans.nearest(x, book)
+    got, error, _ = ballkmeans.ball_nearest(x, book, rng.integers(0, size, n))
+    assert (got == code).all() and (error == away).all()
+
+
+def test_rings_spare_most_comparisons():
+    rng = np.random.default_rng(4)
+    book = np.floor(1000 * rng.normal(size=(64, 4)))
+    x = np.floor(book[rng.integers(0, 64, 4000)] + 60 * rng.normal(size=(4000, 4)))
+    code, _ = ballkmeans.nearest(x, book)
+    again, _, computed = ballkmeans.ball_nearest(x, book, code)
+    assert (again == code).all() and computed < 0.1 * x.shape[0] * len(book)

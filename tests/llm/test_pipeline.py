@@ -41,4 +41,4 @@ def test_each_stage_decides(spark, folder):
 
 def test_run_and_registration(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 90
-    assert [n for n in range(1, 11)] == sorted(int(k[2:].split("_")[0]) for k in queries.queries())
+    assert [*range(1, 14)] == sorted(int(k[2:].split("_")[0]) for k in queries.queries())

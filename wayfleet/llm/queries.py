@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import (
+    ballkmeans,
     decontaminate,
     discriminant,
     licenses,
     linerules,
+    mtree,
     packing,
     pii,
     preferences,
     repeats,
+    resampling,
     sharding,
     simhash,
 )
@@ -115,6 +118,21 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
 
+def op11_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every 50th vector with all others."""
+    return mtree.top_of_table(_table(spark, folder, "embeddings"))
+
+
+def op12_overlapped_scan_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights of all documents towards the benchmark, and the draw."""
+    return resampling.resampled(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_ball_kmeans_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector as four bytes, with its error."""
+    return ballkmeans.coded_table(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -129,5 +147,8 @@ def queries() -> dict[str, Query]:
             op8_quadratic_discriminant,
             op9_licence_sentence_rules,
             op10_best_fit_packing,
+            op11_mtree_top_k,
+            op12_overlapped_scan_resampling,
+            op13_ball_kmeans_codes,
         )
     }

@@ -70,6 +70,32 @@ def with_row_number(frame: DataFrame, name: str, keys: list[str], bucket: Column
     ).drop(part, before)
 
 
+def join_skewed(rows: DataFrame, side: DataFrame, key: str, hot: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with ``side``, which has one row for each value of
+    ``key``.  Values that more than one in ``hot`` rows have are at most ``hot``;
+    their rows of ``side`` are broadcast, so their many rows stay where they are."""
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__count"))
+    total = rows.agg(F.count(F.lit(1)).alias("__total")).first()[0]
+    often = counted.where(F.col("__count") * hot > total).select(key)
+    few = F.broadcast(side.join(F.broadcast(often), key, "left_semi"))
+    rest = rows.join(F.broadcast(often), key, "left_anti").join(side, key)
+    return rows.join(few, key).unionByName(rest)
+
+
+def with_rank(frame: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """``name``: gapless number from 1 over all rows in ``order``; rows are dealt
+    by range and one count for each range supplies what comes before."""
+    spark, part, own, before = frame.sparkSession, "__range", "__own", "__before"
+    spread = frame.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    placed, _ = stored(spread.withColumn(own, F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn(part, F.shiftright(own, 33)).withColumn(own, F.col(own).bitwiseAND((1 << 33) - 1))
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias(before))
+    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(ahead), F.lit(0)))
+    ranked = placed.join(F.broadcast(counts), part)
+    return ranked.withColumn(name, (F.col(own) + F.col(before) + 1).cast("long")).drop(part, own, before)
+
+
 def _signature(edges: DataFrame) -> tuple:
     mix = F.xxhash64("a", "b")
     row = edges.agg(F.count(F.lit(1)), F.bit_xor(mix), F.sum(mix.bitwiseAND(F.lit((1 << 30) - 1)))).first()
