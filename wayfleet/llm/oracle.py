@@ -149,9 +149,9 @@ WHERE NOT EXISTS (
 def _top_k() -> str:
     return """
 WITH whole AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
   FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
