@@ -56,8 +56,8 @@ def spans(text: bytes) -> Iterator[tuple[int, int]]:
 def buckets(text: bytes) -> np.ndarray:
     """Sorted buckets of all features of a text."""
     clean, crc = words_only(text), zlib.crc32
-    found = (crc(m[0]) for scan in _SCANS for m in scan.finditer(clean, overlapped=True))
-    return np.sort(np.fromiter(found, dtype=np.uint32) % BUCKETS)
+    found = [crc(m.group()) for scan in _SCANS for m in scan.finditer(clean, overlapped=True)]
+    return np.sort(np.array(found, dtype=np.uint32) % BUCKETS)
 
 
 def packed(found: np.ndarray) -> bytes:
