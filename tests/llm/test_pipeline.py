@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
-from tests.llm.helpers import frame, words
+from tests.llm.helpers import ODD, frame, words
 from wayfleet.llm import queries
 
 ITEM = " ".join(words(77, 30))
@@ -42,3 +42,41 @@ def test_each_stage_decides(spark, folder):
 def test_run_and_registration(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 90
     assert [*range(1, 14)] == sorted(int(k[2:].split("_")[0]) for k in queries.queries())
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def tables(spark, at, items=(), labels=()):
+    spark.createDataFrame([*items], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    spark.createDataFrame([*labels], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    return str(at)
+
+
+def test_rows_are_told_apart_whatever_their_ids(spark, tmp_path):
+    at = tables(spark, tmp_path, [(0, ITEM)])
+    a, b, c = (" ".join(words(k, 60, 10**6)) for k in (1, 2, 3))
+    docs = frame(spark, [(3, a), (7, a), (7, b), (7, b), (None, c), (None, c), (9, c), (None, "x " + ITEM), (7, ITEM)])
+    near = stage("near_duplicates")(spark, docs, at)
+    assert near.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in near.collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (7, b), (9, c), (None, "x " + ITEM), (7, ITEM)], key=str)
+    clean = stage("benchmark_leaks")(spark, docs, at)
+    assert clean.columns == docs.columns
+    assert sorted((r.text for r in clean.collect())) == sorted([a, a, b, b, c, c, c])
+
+
+def test_stages_take_clashing_columns_odd_texts_and_empty_tables(spark, tmp_path):
+    at = tables(spark, tmp_path)
+    names = ("row", "ROW_", "statistics", "score", "doc_key", "__text", "doc", "group", "first")
+    docs = frame(spark, [*ODD, "one two"], clashing=False).selectExpr("*", *[f"doc_id AS {c}" for c in names])
+    none = docs.where("doc_id < 0")
+    for name, run in corpus_pipeline.STAGES[:-1]:
+        got = run(spark, docs, at)
+        assert got.columns == docs.columns, name
+        texts = {r.text for r in got.collect()}
+        assert "one two" in texts and len(texts) >= 5, name
+        assert run(spark, none, at).collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, at).count() >= docs.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, none, at).collect() == []

@@ -19,7 +19,11 @@ are; items without a word match nothing.
 
 Null and empty texts have no windows.  Rows that share a doc_id (or an item_id)
 are one document (or item) with the windows of all.  Repeated rows change
-nothing.  Rows whose id is null are left out of the result.
+nothing.  Documents without a doc_id go by their text, so equal ones are one
+document, whose doc_id is null in the result; items without an id are left out.
+``without_contaminated`` judges every row by its own text, whatever its id.
+An empty table of documents or of items contaminates nothing; texts may be of
+any length; other columns play no part.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.work import stored
+from wayfleet.llm.work import stored, unused
 
 WINDOW = 8
 COVERAGE = 0.5
@@ -42,7 +46,6 @@ UNITS = (
     "grams kilograms liters litres tons"
 ).split()
 _NUMBER, _UNIT, _NAME, _POINT = "\ue000", "\ue001", "\ue002", "\ue003"
-_MARKED = "^[\ue000-\ue002]"
 _CAPITAL, _SMALL = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 _SEPARATORS = r"[\x00-\x20!-/:-@\[-`{-~\x7F]+"
 
@@ -65,17 +68,18 @@ def marked(text: Column, values: bool) -> Column:
 
 
 def words(marked_text: Column) -> Column:
-    return F.filter(F.split(marked_text, _SEPARATORS), lambda x: x != "")
+    """The words, in lower case."""
+    return F.array_remove(F.split(F.lower(marked_text), _SEPARATORS), "")
 
 
-def _plain(word: Column) -> Column:
-    """A word of ``marked(..., values=True)`` as it stands in the text, in lower case."""
-    return F.lower(F.translate(word, _NUMBER + _UNIT + _NAME, ""))
+def _is_marked(word: Column) -> Column:
+    """Whether a mark begins the word (strings that do sort together)."""
+    return (word >= _NUMBER) & (word < _POINT)
 
 
-def _typed(word: Column) -> Column:
-    """Such a word in the template: its mark, if it has one."""
-    return F.when(word.rlike(_MARKED), F.substring(word, 1, 1)).otherwise(F.lower(word))
+def _plain(word: Column) -> Column:
+    """A word of ``marked(..., values=True)`` as it stands in the text, in lower case."""
+    return F.when(_is_marked(word), F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
 def _bound(value: Column, body) -> Column:
@@ -101,30 +105,49 @@ def _windows(frame: DataFrame, key: str, lengths: list[int]) -> DataFrame:
 
     Hashes of one word are combined to those of two, four, ... words, and the
     last step lets both halves overlap."""
-    text = words(marked(F.col("text"), values=True))
-    both = F.transform(text, lambda x: F.struct(F.xxhash64(_typed(x)).alias("t"), F.xxhash64(_plain(x)).alias("p")))
-    hashed = frame.select(key, both.alias("__words")).withColumn("__n", F.size("__words"))
+    text = frame.select(key, words(marked(F.col("text"), values=True)).alias("__words"))
+    plain = text.withColumn("p", F.transform("__words", lambda x: F.xxhash64(_plain(x))))
+    hashed = plain.select(
+        key,
+        F.size("p").alias("__n"),
+        "p",
+        F.zip_with("__words", "p", lambda x, p: F.when(_is_marked(x), F.xxhash64(F.substring(x, 1, 1))).otherwise(p)).alias("t"),
+    )
     out = None
     for size in lengths:
         forms = []
         for form in ("t", "p"):
-            hashes, width = F.col(f"__words.{form}"), 1
+            hashes, width = F.col(form), 1
             while width < size:
                 step = min(width, size - width)
                 hashes, width = _paired(hashes, step), width + step
             forms.append(hashes.alias(form))
         part = hashed.select(key, "__n", *forms).select(key, "__n", F.posexplode(F.arrays_zip("t", "p")).alias("pos", "h"))
         part = part.where(F.col("pos") <= F.col("__n") - size).select(key, F.lit(size).alias("size"), "pos", "h.t", "h.p")
-        part = part.withColumn("hash", F.explode(F.array_distinct(F.array("t", "p"))))
+        forms = F.when(F.col("t") == F.col("p"), F.array("p")).otherwise(F.array("t", "p"))
+        part = part.withColumn("hash", F.explode(forms))
         part = part.select(key, "size", "pos", F.col("t").alias("window"), "hash", (F.col("hash") == F.col("p")).alias("exact"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _text_key() -> Column:
+    """128 bits of the text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.concat(F.lit("t"), F.hex(F.xxhash64(text)), F.hex(F.xxhash64(text, F.lit(7))))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched, n_slots (compared
     values) and n_changed (values that differ), for each contaminated pair."""
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    key = F.coalesce(F.concat(F.lit("d"), F.col("doc_id").cast("string")), _text_key())
+    found = _contaminated(docs.select(key.alias("doc"), "text"), items, window, coverage)
+    own = F.when(F.col("doc").startswith("d"), F.substring("doc", 2, 1 << 30).cast(docs.schema["doc_id"].dataType))
+    return found.select(own.alias("doc_id"), *found.columns[1:])
+
+
+def _contaminated(docs: DataFrame, items: DataFrame, window: int, coverage: float) -> DataFrame:
+    """As ``contaminated``, for documents (doc, text)."""
     items = items.select("item_id", "text").where("item_id IS NOT NULL")
     size = F.least(F.lit(window), F.size(words(marked(F.col("text"), values=False))))
     per_item, _ = stored(items.withColumn("__size", size).where("__size > 0"), "items")
@@ -136,41 +159,41 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
     item_windows, _ = stored(item_windows.withColumnRenamed("pos", "item_pos").distinct(), "item-windows")
     totals = item_windows.groupBy("item_id").agg(F.count_distinct("size", "window").alias("n_windows"))
     side = F.broadcast(item_windows) if item_windows.count() <= BROADCAST_WINDOWS else item_windows
-    doc_windows = _windows(docs, "doc_id", lengths).drop("window", "exact")
+    doc_windows = _windows(docs, "doc", lengths).drop("window", "exact")
     matches, _ = stored(doc_windows.join(side, ["hash", "size"]), "matches")
-    covered = matches.groupBy("doc_id", "item_id").agg(F.count_distinct("size", "window").alias("n"))
+    covered = matches.groupBy("doc", "item_id").agg(F.count_distinct("size", "window").alias("n"))
     enough = covered.join(totals, "item_id").where(F.col("n") >= coverage * F.col("n_windows"))
     enough, _ = stored(enough.drop("n"), "enough")
-    matches = matches.join(enough, ["doc_id", "item_id"]).withColumn("diagonal", F.col("pos") - F.col("item_pos"))
+    matches = matches.join(enough, ["doc", "item_id"]).withColumn("diagonal", F.col("pos") - F.col("item_pos"))
 
     # Values at the placeholders of the pairs that match so far.
     def with_values(frame: DataFrame, key: str, name: str) -> DataFrame:
         return frame.select(key, words(marked(F.col("text"), values=True)).alias(name))
 
-    wanted = docs.join(enough.select("doc_id").distinct(), "doc_id", "left_semi")
-    slotted = with_values(items, "item_id", "__item").where(F.exists("__item", lambda x: x.rlike(_MARKED)))
+    wanted = docs.join(enough.select("doc").distinct(), "doc", "left_semi")
+    slotted = with_values(items, "item_id", "__item").where(F.exists("__item", _is_marked))
     pairs = F.zip_with(
         F.slice("__item", F.col("item_pos") + 1, F.col("size")),
         F.slice("__doc", F.col("pos") + 1, F.col("size")),
-        lambda a, b: F.struct(F.lower(a).alias("a"), _plain(b).alias("b")),
+        lambda a, b: F.struct(a.alias("a"), _plain(b).alias("b")),
     )
-    slots = matches.join(slotted, "item_id").join(with_values(wanted, "doc_id", "__doc"), "doc_id").select(
-        "doc_id", "item_id", "diagonal",
-        F.explode(F.filter(pairs, lambda x: x["a"].rlike(_MARKED))).alias("s"),
-    ).groupBy("doc_id", "item_id", "diagonal", F.col("s.a").alias("a")).agg(
+    slots = matches.join(slotted, "item_id").join(with_values(wanted, "doc", "__doc"), "doc").select(
+        "doc", "item_id", "diagonal",
+        F.explode(F.filter(pairs, lambda x: _is_marked(x["a"]))).alias("s"),
+    ).groupBy("doc", "item_id", "diagonal", F.col("s.a").alias("a")).agg(
         F.min("s.b").alias("low"), F.max("s.b").alias("high")
     )
     same = F.col("low") == F.col("high")
-    verdicts = slots.groupBy("doc_id", "item_id", "diagonal").agg(
+    verdicts = slots.groupBy("doc", "item_id", "diagonal").agg(
         F.collect_set(F.when(~same, F.col("a"))).alias("inconsistent"),
         F.count_if(same).alias("n_slots"),
         F.count_if(same & (_plain(F.col("a")) != F.col("low"))).alias("n_changed"),
     )
-    inside = F.transform(F.slice("__item", F.col("item_pos") + 1, F.col("size")), F.lower)
-    kept = matches.join(verdicts, ["doc_id", "item_id", "diagonal"], "left").join(slotted, "item_id", "left").where(
+    inside = F.slice("__item", F.col("item_pos") + 1, F.col("size"))
+    kept = matches.join(verdicts, ["doc", "item_id", "diagonal"], "left").join(slotted, "item_id", "left").where(
         F.col("exact") | ~F.coalesce(F.arrays_overlap(inside, "inconsistent"), F.lit(False))
     )
-    out = kept.groupBy("doc_id", "item_id", "n_windows").agg(
+    out = kept.groupBy("doc", "item_id", "n_windows").agg(
         F.count_distinct("size", "window").alias("n_matched"),
         F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"),
         F.coalesce(F.max("n_changed"), F.lit(0)).alias("n_changed"),
@@ -179,6 +202,8 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, covera
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that no item contaminates."""
-    found = contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The rows whose text no item contaminates."""
+    found = _contaminated(docs.select(_text_key().alias("doc"), "text"), items, WINDOW, COVERAGE)
+    keyed = docs.withColumn(key := unused(docs, "doc_key"), _text_key())
+    kept = keyed.join(found.select(F.col("doc").alias(key)).distinct(), key, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

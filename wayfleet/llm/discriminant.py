@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.work import batches, text_bytes
+from wayfleet.llm.work import batches, text_bytes, unused
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -80,7 +80,7 @@ def with_statistics(docs: DataFrame, keep: list[str], name: str = "statistics")
             columns.append(pa.array(values, type=pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, name])
 
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes().alias("__text"))
+    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes().alias(unused(docs, "bytes")))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema[:-1])
     return narrow.mapInArrow(run, f"{kinds}`{name}` array<double>")
 

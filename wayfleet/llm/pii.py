@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfleet.llm.tagger import Tagger, characters
-from wayfleet.llm.work import batches
+from wayfleet.llm.work import batches, unused
 
 # -- fixed values --------------------------------------------------------------
 KINDS = ("email", "ip", "card", "phone")
@@ -303,7 +303,8 @@ def redacted(docs: DataFrame, model: Tagger | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, names=columns)
 
     text = F.when(F.col("text").rlike(TRIGGER), F.col("text")).otherwise("")
-    made = docs.select(*[F.col(f"`{c}`") for c in columns], text.alias("__text")).mapInArrow(run, kinds)
+    narrow = docs.select(*[F.col(f"`{c}`") for c in columns], text.alias(unused(docs, "trigger")))
+    made = narrow.mapInArrow(run, kinds)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         made = made.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

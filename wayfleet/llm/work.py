@@ -35,6 +35,14 @@ def stored(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(schema).parquet(path), path
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``frame`` has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def forget(spark: SparkSession, *paths: str) -> None:
     """Delete stored tables that nothing reads any more."""
     hadoop = spark._jvm.org.apache.hadoop.fs
