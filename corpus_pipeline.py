@@ -2,6 +2,12 @@
 
 Every stage works on all that the one before has kept.  Stages but the last
 return the columns of ``documents``; texts and rows are what the stage decided.
+
+No stage identifies a row by doc_id, which may be null or shared.  Ties and
+repeated rows get equal verdicts, but for the one that near duplicates keep.
+Null and empty texts pass through (as one group of near duplicates) unless the
+classifier rejects them; texts may be of any length; an empty table of documents
+gives empty results, of labels or benchmark items a stage that keeps all.
 """
 
 from __future__ import annotations
@@ -11,13 +17,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import decontaminate, discriminant, packing, pii, similar
-from wayfleet.llm.work import stored
+from wayfleet.llm import decontaminate, discriminant, packing, pii, simhash
+from wayfleet.llm.work import stored, unused
 
 #: SQL can express neither the trained models nor the sequential packing.
 ORACLE_SQL: str | None = None
 
 
+def _columns_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant, learned from the labels of
     this stage's own documents, predicts to be of good quality.
@@ -25,29 +35,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows are judged alike; with no labels nothing is rejected."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = discriminant.fit(discriminant.with_statistics(docs, ["doc_id"]), labels)
+    statistics, score = unused(docs, "statistics"), unused(docs, "score")
     scored = discriminant.with_scores(
-        discriminant.with_statistics(docs, docs.columns, "__statistics"), model, "__statistics", "__score"
+        discriminant.with_statistics(docs, docs.columns, statistics), model, statistics, score
     )
-    return scored.where(F.col("__score") >= discriminant.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _columns_of(docs, scored.where(F.col(score) >= discriminant.THRESHOLD))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles,
-    Jaccard similarity 0.8): the one with the smallest doc_id.
-
-    Rows that share the smallest doc_id collapse to one.  A row without an id
-    goes by a number made of its text, larger than ids, so equal ones collapse
-    and a document with an id is preferred."""
-    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    key = F.coalesce(F.col("doc_id").cast("long"), made)
-    found = similar.near_duplicates(docs.select(key.alias("doc_id"), "text"))
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__key")).distinct()
-    rows = docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group that SimHash links (three-word shingles, at
+    most three differing bits): the one with the smallest doc_id.
+
+    Rows are told apart by a number written with them, never by doc_id: rows
+    without an id come after the others, and of rows that share the smallest id
+    one stays.  Texts without a word are one group."""
+    row = unused(docs, "row")
+    rows, _ = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = simhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), simhash.exact())
+    grouped = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).join(
+        rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id")), "row"
+    )
+    first = grouped.groupBy("group").agg(F.min(F.struct(F.isnull("id"), "id", "row")).alias("first"))
+    return _columns_of(docs, rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item's template."""
+    """Documents without a benchmark item's template; rows are judged by their texts."""
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
