@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.work import stored, unused
+from wayfleet.llm.work import broadcast_if_few, stored, unused
 
 WINDOW = 8
 COVERAGE = 0.5
@@ -170,7 +170,8 @@ def _contaminated(docs: DataFrame, items: DataFrame, window: int, coverage: floa
     def with_values(frame: DataFrame, key: str, name: str) -> DataFrame:
         return frame.select(key, words(marked(F.col("text"), values=True)).alias(name))
 
-    wanted = docs.join(enough.select("doc").distinct(), "doc", "left_semi")
+    suspects, _ = stored(enough.select("doc").distinct(), "suspects")
+    wanted = docs.join(broadcast_if_few(suspects), "doc", "left_semi")
     slotted = with_values(items, "item_id", "__item").where(F.exists("__item", _is_marked))
     pairs = F.zip_with(
         F.slice("__item", F.col("item_pos") + 1, F.col("size")),
@@ -205,5 +206,6 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows whose text no item contaminates."""
     found = _contaminated(docs.select(_text_key().alias("doc"), "text"), items, WINDOW, COVERAGE)
     keyed = docs.withColumn(key := unused(docs, "doc_key"), _text_key())
-    kept = keyed.join(found.select(F.col("doc").alias(key)).distinct(), key, "left_anti")
+    gone, _ = stored(found.select(F.col("doc").alias(key)).distinct(), "contaminated")
+    kept = keyed.join(broadcast_if_few(gone), key, "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -43,6 +43,17 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
+#: Keys up to this number are broadcast; more are joined by shuffling.
+BROADCAST_KEYS = 1_000_000
+
+
+def broadcast_if_few(keys: DataFrame) -> DataFrame:
+    """``keys``, a stored table of narrow rows, marked for broadcast if counting
+    shows that there are at most ``BROADCAST_KEYS``: rows with whole texts then
+    stay where they are."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def forget(spark: SparkSession, *paths: str) -> None:
     """Delete stored tables that nothing reads any more."""
     hadoop = spark._jvm.org.apache.hadoop.fs
