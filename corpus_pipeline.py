@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate, discriminant, packing, pii, simhash
-from wayfleet.llm.work import stored, unused
+from wayfleet.llm.work import broadcast_if_few, stored, unused
 
 #: SQL can express neither the trained models nor the sequential packing.
 ORACLE_SQL: str | None = None
@@ -55,8 +55,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     grouped = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).join(
         rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id")), "row"
     )
+    grouped, _ = stored(grouped, "grouped")
     first = grouped.groupBy("group").agg(F.min(F.struct(F.isnull("id"), "id", "row")).alias("first"))
-    return _columns_of(docs, rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi"))
+    gone, _ = stored(grouped.join(first.select("first.row"), "row", "left_anti").select(F.col("row").alias(row)), "gone")
+    return _columns_of(docs, rows.join(broadcast_if_few(gone), row, "left_anti"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
