@@ -534,6 +534,48 @@ moved AS (
             f"SELECT {_FIX} FROM ranked WHERE nth = 1 AND NOT is_trip_end",
         ),
     }
+    # Vehicles that fall silent: the same fixes, some last ends of trip missing.
+    sent_ends = """
+last_ends AS (SELECT taxi_id, max(ts) AS ts FROM trips WHERE is_trip_end AND taxi_id % 3 = 0 GROUP BY taxi_id),
+sent_ends AS (
+  SELECT * FROM trips t WHERE is_trip_end
+    AND NOT EXISTS (SELECT 1 FROM last_ends l WHERE l.taxi_id = t.taxi_id AND l.ts = t.ts))"""
+    sql["stream_silent_active"] = sql["stream_active"]
+    sql["stream_silent_ended"] = _sql([*_STREAM[:2], sent_ends], f"{ended} sent_ends")
+    sql["stream_silent_latest_active"] = _sql(
+        [
+            *_STREAM,
+            sent_ends,
+            f"""
+moved AS (
+  SELECT {_FIX}, is_trip_end FROM active
+  UNION ALL
+  SELECT {_FIX}, is_trip_end FROM sent_ends)""",
+            _latest("moved"),
+        ],
+        f"SELECT {_FIX} FROM ranked WHERE nth = 1 AND NOT is_trip_end",
+    )
+    sql["stream_poison"] = _sql(
+        [_FIXES],
+        f"""SELECT CAST(seq + 1000000 AS INTEGER) AS taxi_id,
+                   ['0001-01-01 00:00:00', '1600-02-29 12:00:00', '9999-12-31 23:59:59'][seq // 499 % 3 + 1] AS time,
+                   seq, longitude, latitude, round({_TO_CENTRE}, 6) AS distance_to_forbidden_city
+            FROM fixes WHERE seq % 499 = 0 AND {_TO_CENTRE} <= 15""",
+    )
+    sql["stream_quarantine_reasons"] = _sql(
+        _STREAM[:2],
+        """SELECT seq, 'no_time' AS reason FROM trips WHERE seq % 223 = 0
+           UNION ALL SELECT seq, 'no_place' FROM trips WHERE seq % 227 = 0""",
+    )
+    # A stream that goes on from a batch over the first half of the fixes.
+    for name in ("averages", "metrics", "ended"):
+        sql[f"stream_resumed_{name}"] = (
+            f"SELECT * FROM ({sql[f'stream_{name}']}) WHERE seq >= (SELECT max(event_id) // 16 * 8 FROM events)"
+        )
+    sql["stream_resumed_served"] = (
+        f"SELECT taxi_id, max(ts) AS ts, max_by(seq, (ts, seq)) AS seq, max_by(average_speed, (ts, seq)) AS average_speed"
+        f" FROM ({sql['stream_averages']}) GROUP BY taxi_id"
+    )
     # Rows come out of a topic as they went in.
     for name in ("active", "speeds", "averages", "metrics", "ended"):
         sql[f"topic_{name}"] = sql[f"stream_{name}"]

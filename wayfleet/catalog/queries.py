@@ -38,7 +38,8 @@ from wayfleet.sources import messages
 from wayfleet.sources.events import as_log_lines, read_event_fixes, with_copies
 from wayfleet.sources.logs import read_log_lines, rejected_lines, valid_fixes
 from wayfleet.sources.tables import read_fixes, write_csv, write_fixes
-from wayfleet.streaming.job import start_live_job, start_quarantine
+from wayfleet.streaming.job import start_live_job, start_quarantine, wait_until_silent
+from wayfleet.streaming.start import starting_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -524,6 +525,11 @@ def stream_quarantine(spark, folder):
     return spark.read.parquet(f"{base}/quarantine").select("key", "value", "seq")
 
 
+def stream_quarantine_reasons(spark, folder):
+    base = _stream_tables(spark, folder).folder.removesuffix("/tables")
+    return spark.read.parquet(f"{base}/quarantine").select("seq", "reason")
+
+
 def stream_metrics(spark, folder):
     rows = _stream_tables(spark, folder).fleet_distance(spark)
     return _rounded(rows, 4, "total_distance")
@@ -533,6 +539,119 @@ def stream_latest_active(spark, folder):
     return _stream_tables(spark, folder).latest(spark, ACTIVE).select(*_FIX)
 
 
+# Times that a damaged clock might send, from the first to the last year.
+_STRAY_TIMES = ("0001-01-01 00:00:00", "1600-02-29 12:00:00", "9999-12-31 23:59:59")
+_STRAY, _SILENCE = 1_000_000, "2 seconds"
+
+
+def write_silent_messages(spark: SparkSession, folder: str) -> str:
+    """Messages of vehicles that fall silent: nothing ends the input, and one
+    vehicle in three never sends its last end of trip.  One fix in 499 comes
+    again from a vehicle of its own, at a stray time."""
+    base = _new_folder(spark, "silent")
+    rows = _trips(spark, folder)
+    last = rows.filter("is_trip_end AND taxi_id % 3 = 0").groupBy("taxi_id").agg(F.max("ts").alias("ts"))
+    kept = rows.join(last.withColumn("is_trip_end", F.lit(True)), ["taxi_id", "ts", "is_trip_end"], "left_anti")
+    number = (F.floor(F.col("seq") / 499) % 3 + 1).cast("int")
+    times = F.array(*[F.lit(x) for x in _STRAY_TIMES])
+    stray = rows.filter("seq % 499 = 0 AND NOT is_trip_end").withColumn("taxi_id", (F.col("seq") + _STRAY).cast("int"))
+    stray = messages.encode(stray).withColumn(
+        "value", F.regexp_replace("value", F.lit('"timestamp":"[^"]*"'), F.concat(F.lit('"timestamp":"'), F.element_at(times, number), F.lit('"')))
+    )
+    sent = messages.encode(kept).unionByName(stray)
+    sent.repartition(_MESSAGE_FILES, "key").sortWithinPartitions("seq").write.json(f"{base}/messages")
+    return base
+
+
+def run_silent(spark: SparkSession, base: str) -> LiveTables:
+    """Run the endless job until its timers have released what is left, and stop it."""
+    tables = LiveTables(f"{base}/tables")
+    source = messages.file_stream(spark, f"{base}/messages", _MESSAGE_FILES)
+    job = start_live_job(
+        source, tables, f"{base}/checkpoint", partitions=spark.sparkContext.defaultParallelism, silence=_SILENCE
+    )
+    try:
+        wait_until_silent(job, _SILENCE)
+    finally:
+        job.stop()
+    return tables
+
+
+def _silent_tables(spark: SparkSession, folder: str) -> LiveTables:
+    known = ("silent", *_state(spark, folder))
+    if known not in _streams:
+        _streams[known] = run_silent(spark, write_silent_messages(spark, folder))
+    return _streams[known]
+
+
+def stream_silent_active(spark, folder):
+    rows = _silent_tables(spark, folder).history(spark, ACTIVE).filter(F.col("taxi_id") < _STRAY)
+    return _rounded(rows.select(*_FIX, _DISTANCE, "is_violated"), 6, _DISTANCE)
+
+
+def stream_silent_ended(spark, folder):
+    return _silent_tables(spark, folder).history(spark, ENDED).select(*_AT, "ended_trip_count")
+
+
+def stream_silent_latest_active(spark, folder):
+    """Vehicles still active: those without their last end of trip."""
+    return _silent_tables(spark, folder).latest(spark, ACTIVE).filter(F.col("taxi_id") < _STRAY).select(*_FIX)
+
+
+def stream_poison(spark, folder):
+    """Fixes at stray times, their times as text."""
+    rows = _silent_tables(spark, folder).history(spark, ACTIVE).filter(F.col("taxi_id") >= _STRAY)
+    rows = rows.withColumn("time", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return _rounded(rows.select("taxi_id", "time", "seq", "longitude", "latitude", _DISTANCE), 6, _DISTANCE)
+
+
+def _resumed_tables(spark: SparkSession, folder: str) -> LiveTables:
+    """A stream over the second half of the messages that begins where a batch
+    analysis of the first half ended."""
+    known = ("resumed", *_state(spark, folder))
+    if known not in _streams:
+        base = _new_folder(spark, "resumed")
+        rows = _trips(spark, folder).drop("source_file")
+        cut = rows.agg(F.floor(F.max("seq") / 16) * 8).first()[0] or 0
+        first, second = rows.filter(F.col("seq") < cut), rows.filter(F.col("seq") >= cut)
+        past = LiveAnalysis(first)
+        tables = LiveTables(f"{base}/tables")
+        tables.begin(past)
+        sent = messages.encode(second).repartition(_MESSAGE_FILES, "key").sortWithinPartitions("seq")
+        sent.write.json(f"{base}/messages")
+        messages.end_of_input(rows).coalesce(1).write.mode("append").json(f"{base}/messages")
+        starting_state(past).write.parquet(f"{base}/state")
+        start_live_job(
+            messages.file_stream(spark, f"{base}/messages", _FILES_PER_TRIGGER),
+            tables,
+            f"{base}/checkpoint",
+            available_now=True,
+            partitions=spark.sparkContext.defaultParallelism,
+            initial=spark.read.parquet(f"{base}/state"),
+        ).awaitTermination()
+        _streams[known] = tables
+    return _streams[known]
+
+
+def stream_resumed_averages(spark, folder):
+    rows = _resumed_tables(spark, folder).history(spark, AVERAGES).select(*_AT, "average_speed")
+    return _rounded(rows, 6, "average_speed")
+
+
+def stream_resumed_metrics(spark, folder):
+    return _rounded(_resumed_tables(spark, folder).fleet_distance(spark), 4, "total_distance")
+
+
+def stream_resumed_ended(spark, folder):
+    return _resumed_tables(spark, folder).history(spark, ENDED).select(*_AT, "ended_trip_count")
+
+
+def stream_resumed_served(spark, folder):
+    """Served mean speeds: every vehicle, also those the stream never heard of."""
+    rows = _resumed_tables(spark, folder).latest(spark, AVERAGES).select(*_AT, "average_speed")
+    return _rounded(rows, 6, "average_speed")
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_fixes": read_event_fixes,
@@ -624,4 +743,13 @@ def queries() -> dict[str, Query]:
         "stream_rejects": _stream(REJECTS, *_AT, "reject_reason"),
         "stream_quarantine": stream_quarantine,
         "stream_latest_active": stream_latest_active,
+        "stream_quarantine_reasons": stream_quarantine_reasons,
+        "stream_silent_active": stream_silent_active,
+        "stream_silent_ended": stream_silent_ended,
+        "stream_silent_latest_active": stream_silent_latest_active,
+        "stream_poison": stream_poison,
+        "stream_resumed_averages": stream_resumed_averages,
+        "stream_resumed_metrics": stream_resumed_metrics,
+        "stream_resumed_ended": stream_resumed_ended,
+        "stream_resumed_served": stream_resumed_served,
     }

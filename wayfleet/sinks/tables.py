@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfleet.config import ACTIVE, AVERAGES, ENDED, METRICS, SIZING, SPEEDS, Sizing
-from wayfleet.operators.motion import fleet_running_distance
+from wayfleet.operators.motion import fleet_running_distance, fleet_total
 from wayfleet.operators.serve import document_for, latest_by_key, without_ended
 from wayfleet.operators.track import Track
-from wayfleet.plans.live import FLEET_ORDER
+from wayfleet.plans.live import FLEET_ORDER, LiveAnalysis
 from wayfleet.sources.messages import tag_topics
 from wayfleet.streaming.processor import OUTPUT_SCHEMA
 
@@ -22,6 +22,9 @@ _AT = ["taxi_id", "ts", "seq"]
 _PLACE = ["longitude", "latitude"]
 _BATCH = "batch_id"
 _TOTAL = "metrics_total"  # fleet distance at the end of each batch
+_PAST, _BEGIN = "metrics_past", -1  # fleet distance before the first batch, and the number of that state
+_ACTIVE_ROW = [*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"]
+_BY_END = ["ts", "is_trip_end", "seq"]
 _SERVED = {
     ACTIVE: {*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"},
     SPEEDS: {*_AT, *_PLACE, "speed", "is_speeding"},
@@ -55,6 +58,26 @@ class LiveTables:
 
     # -- writing ----------------------------------------------------------
 
+    def begin(self, past: LiveAnalysis) -> None:
+        """Served documents and the fleet's distance as ``past`` leaves them, as
+        what the first batch of a live job builds on."""
+        past = past.staged(f"{self.folder}/past")
+        active, ended = past.active().select(*_ACTIVE_ROW), past.ended().select(*_AT, "ended_trip_count")
+        self._serve(ACTIVE, self._moves(active, ended), _BEGIN, order=_BY_END)
+        self._serve(SPEEDS, past.speeds().select(*_AT, *_PLACE, "speed", "is_speeding"), _BEGIN)
+        self._serve(AVERAGES, past.averages().select(*_AT, "average_speed"), _BEGIN)
+        self._serve(ENDED, ended, _BEGIN, keys=[])
+        total = fleet_total(past.segments())
+        self._replace(_TOTAL, total, _BEGIN)
+        self._replace(_PAST, total, _BEGIN)
+
+    @staticmethod
+    def _moves(active: DataFrame, ended: DataFrame) -> DataFrame:
+        """Active documents and the markers that delete them."""
+        return active.withColumn("is_trip_end", F.lit(False)).unionByName(
+            ended.select(*_AT, F.lit(True).alias("is_trip_end")), allowMissingColumns=True
+        )
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of one micro-batch (``foreachBatch``)."""
         batch = batch.persist()
@@ -70,9 +93,7 @@ class LiveTables:
         inside = batch.filter(F.col("is_violated").isNotNull())
         segments = inside.filter(F.col("segment_km").isNotNull())
         ended = batch.filter(F.col("ended_trip_count").isNotNull())
-        active = inside.select(
-            *_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"
-        )
+        active = inside.select(*_ACTIVE_ROW)
         speeds = segments.select(*_AT, *_PLACE, "speed", "is_speeding")
         averages = inside.select(*_AT, "average_speed")
         counts = ended.select(*_AT, "ended_trip_count")
@@ -80,12 +101,6 @@ class LiveTables:
             *_AT, *_PLACE, "reject_reason"
         )
         late = batch.filter("is_late").select(*_AT, *_PLACE, "is_trip_end")
-        # A marker deletes the vehicle's active document.
-        moves = active.withColumn("is_trip_end", F.lit(False)).unionByName(
-            ended.select(*_AT, F.lit(True).alias("is_trip_end")),
-            allowMissingColumns=True,
-        )
-        by_end = ["ts", "is_trip_end", "seq"]
         writes = [
             lambda: self._write_fleet(segments.select(*_AT, "segment_km"), batch_id),
             lambda: self._replace(ACTIVE, active, batch_id),
@@ -94,7 +109,7 @@ class LiveTables:
             lambda: self._replace(ENDED, counts, batch_id),
             lambda: self._replace(REJECTS, rejects, batch_id),
             lambda: self._replace(LATE, late, batch_id),
-            lambda: self._serve(ACTIVE, moves, batch_id, order=by_end),
+            lambda: self._serve(ACTIVE, self._moves(active, ended), batch_id, order=_BY_END),
             lambda: self._serve(SPEEDS, speeds, batch_id),
             lambda: self._serve(AVERAGES, averages, batch_id),
             lambda: self._serve(ENDED, counts, batch_id, keys=[]),
@@ -177,7 +192,11 @@ class LiveTables:
         order of arrival was."""
         segments = self.history(spark, METRICS).select(*_AT, "segment_km")
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
-        return fleet.unmark(fleet_running_distance(segments, fleet)).select(*_AT, "total_distance")
+        before = 0.0
+        if self._numbers(spark, f"{self.folder}/{_PAST}"):
+            before = spark.read.parquet(f"{self.folder}/{_PAST}/{_BATCH}={_BEGIN}").first()[0]
+        rows = fleet.unmark(fleet_running_distance(segments, fleet))
+        return rows.select(*_AT, (F.col("total_distance") + before).alias("total_distance"))
 
     def latest(self, spark: SparkSession, table: str) -> DataFrame:
         """Newest row per key, without vehicles whose trip has ended; no row

@@ -82,12 +82,21 @@ def _flushes() -> Column:
     return F.coalesce(F.col("_r.flush") & F.col("_r.taxi_id").isNotNull(), F.lit(False))
 
 
+def unusable() -> Column:
+    """Why a record is no fix, or NULL: fixes are complete, at a finite place,
+    and at a time of the years 1 to 9999, all of which every later step carries."""
+    finite = is_finite(F.col("_r.longitude")) & is_finite(F.col("_r.latitude"))
+    complete = F.col("_r").isNotNull() & F.col("_r.taxi_id").isNotNull()
+    in_range = F.year(parse_timestamp(F.col("_r.timestamp"))).between(1, 9999)
+    return (
+        F.when(~complete, F.lit("no_vehicle"))
+        .when(~F.coalesce(in_range, F.lit(False)), F.lit("no_time"))
+        .when(~F.coalesce(finite, F.lit(False)), F.lit("no_place"))
+    )
+
+
 def _usable() -> Column:
-    """Whether a record is a fix: complete, and at a finite place."""
-    usable = F.col("_r.taxi_id").isNotNull() & parse_timestamp(F.col("_r.timestamp")).isNotNull()
-    for name in ("longitude", "latitude"):
-        usable = usable & is_finite(F.col(f"_r.{name}"))
-    return F.coalesce(usable, F.lit(False)) & ~_flushes()
+    return unusable().isNull() & ~_flushes()
 
 
 def stream_input(messages: DataFrame) -> DataFrame:
@@ -102,8 +111,10 @@ def complete_fixes(messages: DataFrame) -> DataFrame:
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
-    """The quarantine: messages that are no usable fix, as they came."""
-    return messages.withColumn("_r", _record()).filter(~_usable() & ~_flushes()).drop("_r")
+    """The quarantine: messages that are no usable fix, as they came, with the
+    reason."""
+    read = messages.withColumn("_r", _record()).filter(~_flushes())
+    return read.withColumn("reason", unusable()).filter("reason IS NOT NULL").drop("_r")
 
 
 def tag_topics(outputs: Mapping[str, DataFrame]) -> DataFrame:

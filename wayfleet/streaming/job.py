@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import time
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
 from wayfleet.session import ROCKSDB_PROVIDER
 from wayfleet.sinks.tables import LiveTables
 from wayfleet.sources.messages import rejected_messages, stream_input
-from wayfleet.streaming.processor import OUTPUT_SCHEMA, VehicleProcessor
+from wayfleet.streaming.processor import OUTPUT_SCHEMA, RAW_SCHEMA, VehicleProcessor, milliseconds
+
+
+#: In an endless stream, how long a vehicle must be silent before what it left
+#: behind is handled, and before its state is dropped.
+SILENCE, FORGET_AFTER = "10 seconds", "30 days"
 
 
 def live_rows(
@@ -17,20 +26,28 @@ def live_rows(
     zone: Zone = ZONE,
     limits: Limits = LIMITS,
     trip_end: str = "intent",
+    silence: str | None = None,
+    forget_after: str | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """One output row per fix, once its vehicle is ``lateness`` ahead of it or
-    has come to its end of input.  Fixes are shuffled once, by vehicle.  There
-    is no watermark: it would cover all vehicles, run ahead of slow partitions
-    and drop their rows."""
-    return (
-        fixes.groupBy("taxi_id")
-        .transformWithStateInPandas(
-            statefulProcessor=VehicleProcessor(zone, limits, trip_end),
-            outputStructType=OUTPUT_SCHEMA,
-            outputMode="append",
-            timeMode="None",
-        )
+    """One output row per fix, once its vehicle is ``lateness`` ahead of it, has
+    come to its end of input, or has been silent for ``silence`` of processing
+    time.  Fixes are shuffled once, by vehicle.  There is no watermark: it would
+    cover all vehicles, run ahead of slow partitions and drop their rows.
+
+    ``initial``: where each vehicle stands when the stream begins
+    (``start.starting_state``); it is used by the first start of a checkpoint."""
+    timed = silence is not None or forget_after is not None
+    whole = fixes.withColumn("us", F.coalesce(F.unix_micros("ts"), F.lit(0).cast("long"))).drop("ts")
+    rows = whole.groupBy("taxi_id").transformWithStateInPandas(
+        statefulProcessor=VehicleProcessor(zone, limits, trip_end, silence, forget_after=forget_after),
+        outputStructType=RAW_SCHEMA,
+        outputMode="append",
+        timeMode="ProcessingTime" if timed else "None",
+        initialState=None if initial is None else initial.groupBy("taxi_id"),
     )
+    names = OUTPUT_SCHEMA.fieldNames()
+    return rows.withColumn("ts", F.timestamp_micros("us")).select(*names)
 
 
 def start_live_job(
@@ -44,6 +61,11 @@ def start_live_job(
 ) -> StreamingQuery:
     """Decode, analyse and write the five output tables and the served ones.
 
+    An endless job has timers (``silence``, ``forget_after``; see
+    ``live_rows``), unless told otherwise.  One that ends with its input
+    (``available_now``) has none: it would wait for them for ever, and messages
+    of ``end_of_input`` do their work.
+
     ``partitions`` is the number of state partitions, fixed by the first start;
     without it the session's shuffle partitions count.  One or two per core are
     enough, as each costs a commit per batch.
@@ -51,7 +73,8 @@ def start_live_job(
     ``checkpoint`` and the tables must lie in storage all executors share.  A
     batch that is run again after a failure replaces what it wrote before.
     """
-    rows = live_rows(stream_input(messages), **options)
+    timers = {} if available_now else {"silence": SILENCE, "forget_after": FORGET_AFTER}
+    rows = live_rows(stream_input(messages), **(timers | options))
     writer = (
         rows.writeStream.foreachBatch(tables.write)
         .outputMode("append")
@@ -72,6 +95,28 @@ def start_live_job(
             conf.unset(name) if value is None else conf.set(name, value)
 
 
+def wait_until_silent(job: StreamingQuery, silence: str = SILENCE, at_most: float = 300.0) -> None:
+    """Wait until an endless job has read every message there is and its timers
+    have released all that vehicles left behind."""
+    # ``processAllAvailable`` never returns here: with timers there is always a next batch.
+    wait = timedelta(milliseconds=milliseconds(silence))
+    heard = datetime.now(timezone.utc)
+    end = time.monotonic() + at_most
+    while time.monotonic() < end:
+        if not job.isActive:
+            raise RuntimeError(f"the job ended: {job.exception()}")
+        done = job.lastProgress
+        if done is not None:
+            began = datetime.fromisoformat(done.timestamp)
+            changed = sum(x.numRowsUpdated for x in done.stateOperators)
+            if done.numInputRows or changed:
+                heard = max(heard, began)
+            elif began > heard + wait:
+                return
+        time.sleep(0.1)
+    raise TimeoutError(f"still busy after {at_most} s")
+
+
 def start_quarantine(
     messages: DataFrame,
     folder: str,

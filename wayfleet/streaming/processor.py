@@ -37,6 +37,10 @@ OUTPUT_SCHEMA = T.StructType(
     ]
 )
 
+# What the processor takes and gives: times are whole microseconds, which carry
+# every year from 1 to 9999; pandas' own times end in 2262.
+RAW_SCHEMA = T.StructType([T.StructField("us", T.LongType()) if f.name == "ts" else f for f in OUTPUT_SCHEMA])
+
 # Fixes of a vehicle's last seconds, as one packed value: rows of a list state
 # cross to Spark one at a time, which costs far more than the work on them.
 _WAITING = np.dtype(
@@ -49,7 +53,9 @@ _WAITING = np.dtype(
     ]
 )
 
-# Last accepted fix, last fix inside the zone, running values, waiting fixes.
+# Last accepted fix, last fix inside the zone, running values; newest time, time
+# up to which a timer has released, when the vehicle was last heard and when its
+# timer fires (both in milliseconds of processing time), waiting fixes.
 _STATE = T.StructType(
     [
         T.StructField("ok_lat", T.DoubleType()),
@@ -64,28 +70,39 @@ _STATE = T.StructType(
         T.StructField("speed_n", T.LongType()),
         T.StructField("ended", T.LongType()),
         T.StructField("newest", T.LongType()),
+        T.StructField("released", T.LongType()),
+        T.StructField("heard_ms", T.LongType()),
+        T.StructField("due_ms", T.LongType()),
         T.StructField("waiting", T.BinaryType()),
     ]
 )
+PROGRESS = _STATE.fieldNames()[:11]
 START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
 
 
-_NEVER = np.iinfo(np.int64).min // 2
+NEVER = np.iinfo(np.int64).min // 2
 
 
-def in_turn(fixes: np.ndarray, newest: int, lateness: int) -> tuple[np.ndarray, np.ndarray, int]:
+def in_turn(
+    fixes: np.ndarray, newest: int, lateness: int, released: int = NEVER
+) -> tuple[np.ndarray, np.ndarray, int]:
     """The turn of each arriving fix, whether it is late, and the newest time.
 
     ``fixes`` are in the order of their arrival.  A fix waits until the vehicle
     is ``lateness`` ahead of it; its turn is its time.  One that arrives when
-    its time has passed already is late: its turn is what had passed by then.
-    Turns depend on the arrivals alone, not on how they fall into batches."""
+    its time has passed already, or was ``released`` by a timer, is late: its
+    turn is what had passed by then.  Without timers, turns depend on the
+    arrivals alone, not on how they fall into batches."""
     ahead = np.maximum.accumulate(np.r_[newest, fixes["us"]])
-    passed = ahead[:-1] - lateness
+    passed = np.maximum(ahead[:-1] - lateness, released + 1)
     late = fixes["us"] < passed
     return np.where(late, passed, fixes["us"]), late, int(ahead[-1])
 
 
+def milliseconds(duration: str | None) -> int | None:
+    return None if duration is None else int(pd.Timedelta(duration) / pd.Timedelta(milliseconds=1))
+
+
 class VehicleProcessor(StatefulProcessor):
     """Puts a vehicle's fixes in order of time and handles them: cleaning, zone
     test, segments, running values, trip counts.
@@ -95,14 +112,41 @@ class VehicleProcessor(StatefulProcessor):
     What a vehicle has sent decides how far it has come, so slow partitions
     and the size of a trigger change nothing and no fix is lost: late ones are
     handled when they arrive and marked.  An end of input releases what waits.
+
+    With ``silence`` (processing time), a timer releases what a vehicle left
+    behind when nothing has come from it for so long; an end of trip among it
+    releases its trip ``trip_end_wait`` after the batch it came in.  Timers are
+    lazy: each vehicle has one, which looks at the state when it fires and is
+    set anew if the vehicle has moved on, so a moving vehicle costs one timer
+    for each period of silence, not one for each batch.
+
+    With ``forget_after`` the state of a vehicle that was silent for so long
+    is dropped; a vehicle that comes back later begins anew.
     """
 
-    def __init__(self, zone: Zone = ZONE, limits: Limits = LIMITS, trip_end: str = "intent"):
+    def __init__(
+        self,
+        zone: Zone = ZONE,
+        limits: Limits = LIMITS,
+        trip_end: str = "intent",
+        silence: str | None = None,
+        trip_end_wait: str = "0 seconds",
+        forget_after: str | None = None,
+    ):
         self._zone, self._limits, self._trip_end = zone, limits, trip_end
         self._lateness = int(pd.Timedelta(limits.lateness) / pd.Timedelta(microseconds=1))
+        self._silence, self._trip_end_wait = milliseconds(silence), milliseconds(trip_end_wait)
+        self._forget_after = milliseconds(forget_after)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("vehicle", _STATE)
+        self._handle = handle
+        self._state = handle.getValueState("vehicle", _STATE, self._forget_after)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Go on from where a batch analysis ended (``start.starting_state``)."""
+        row = initialState.iloc[0]
+        known = [None if pd.isna(row[name]) else row[name].item() for name in PROGRESS]
+        self._state.update((*known, int(row["newest"]), NEVER, None, None, b""))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived, flush = [], False
@@ -112,8 +156,8 @@ class VehicleProcessor(StatefulProcessor):
             arrived.append(pack(batch[~ends]))
         fixes = np.concatenate([np.empty(0, dtype=_WAITING), *arrived])
         fixes = fixes[np.argsort(fixes["seq"], kind="stable")]
-        progress, newest, waiting = self._load()
-        turn, late, newest = in_turn(fixes, newest, self._lateness)
+        progress, newest, released, heard, due, waiting = self._load()
+        turn, late, newest = in_turn(fixes, newest, self._lateness, released)
         fixes = np.concatenate([waiting, fixes])
         turn = np.r_[waiting["us"], turn]
         late = np.r_[np.zeros(len(waiting), dtype=bool), late]
@@ -129,23 +173,54 @@ class VehicleProcessor(StatefulProcessor):
             )
         )
         ready = late | flush | (turn < newest - self._lateness)
-        due = order[ready[order]]
+        now = order[ready[order]]
         kept = fixes[order[~ready[order]]]
+        if self._silence is not None:
+            heard = timerValues.getCurrentProcessingTimeInMs()
+            due = self._timer(heard, heard, due, kept)
+        yield from self._handled(key, fixes[now], late[now], progress, (newest, released, heard, due), kept)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        progress, newest, released, heard, _, waiting = self._load()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        ready = np.ones(len(waiting), dtype=bool)
+        if heard is None or now < heard + self._silence:
+            ends = waiting["us"][waiting["is_trip_end"]]
+            ready = waiting["us"] <= (ends.max() if len(ends) else NEVER)
+        kept = waiting[~ready]
+        if ready.any():
+            released = max(released, int(waiting["us"][ready].max()))
+        due = self._timer(now, heard, None, kept)
+        late = np.zeros(int(ready.sum()), dtype=bool)
+        yield from self._handled(key, waiting[ready], late, progress, (newest, released, heard, due), kept)
+
+    def _timer(self, now: int, heard: int | None, due: int | None, waiting: np.ndarray) -> int | None:
+        """When the vehicle's timer fires, set if it must be earlier than it is."""
+        if not len(waiting):
+            return due
+        wanted = now + self._trip_end_wait if waiting["is_trip_end"].any() else (heard or now) + self._silence
+        wanted = max(wanted, now + 1)
+        if due is not None and now < due <= wanted:
+            return due
+        self._handle.registerTimer(wanted)
+        return wanted
+
+    def _handled(self, key, fixes, late, progress, marks, kept) -> Iterator[pd.DataFrame]:
         columns = None
-        if len(due):
-            columns, progress = advance(fixes[due], progress, self._zone, self._limits, self._trip_end)
-        self._state.update((*progress, newest, kept.tobytes()))
+        if len(fixes):
+            columns, progress = advance(fixes, progress, self._zone, self._limits, self._trip_end)
+        self._state.update((*progress, *marks, kept.tobytes()))
         if columns is not None:
-            columns["taxi_id"] = np.full(len(due), key[0], dtype=np.int32)
-            columns["is_late"] = late[due]
-            yield pd.DataFrame(columns, columns=OUTPUT_SCHEMA.fieldNames(), copy=False)
+            columns["taxi_id"] = np.full(len(fixes), key[0], dtype=np.int32)
+            columns["is_late"] = late
+            yield pd.DataFrame(columns, columns=RAW_SCHEMA.fieldNames(), copy=False)
 
-    def _load(self) -> tuple[tuple, int, np.ndarray]:
+    def _load(self) -> tuple:
         stored = self._state.get()
         if stored is None:
-            return START, _NEVER, np.empty(0, dtype=_WAITING)
-        *progress, newest, waiting = stored
-        return tuple(progress), newest, np.frombuffer(bytes(waiting), dtype=_WAITING)
+            return START, NEVER, NEVER, None, None, np.empty(0, dtype=_WAITING)
+        size = len(PROGRESS)
+        return tuple(stored[:size]), *stored[size:-1], np.frombuffer(bytes(stored[-1]), dtype=_WAITING)
 
     def close(self) -> None:
         pass
@@ -153,11 +228,7 @@ class VehicleProcessor(StatefulProcessor):
 
 def pack(batch: pd.DataFrame) -> np.ndarray:
     fixes = np.empty(len(batch), dtype=_WAITING)
-    ts = pd.to_datetime(batch["ts"])
-    if ts.dt.tz is not None:
-        ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
-    fixes["us"] = ts.to_numpy().astype("datetime64[us]").astype(np.int64)
-    for name in ("longitude", "latitude", "seq", "is_trip_end"):
+    for name in ("us", "longitude", "latitude", "seq", "is_trip_end"):
         fixes[name] = batch[name].to_numpy()
     return fixes
 
@@ -195,7 +266,7 @@ def advance(
         return np.full(size, np.nan)
 
     out = {
-        "ts": us.astype("datetime64[us]"),
+        "us": us,
         "longitude": lon,
         "latitude": lat,
         "seq": fixes["seq"],
