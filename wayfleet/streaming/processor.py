@@ -144,9 +144,15 @@ class VehicleProcessor(StatefulProcessor):
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Go on from where a batch analysis ended (``start.starting_state``)."""
-        row = initialState.iloc[0]
-        known = [None if pd.isna(row[name]) else row[name].item() for name in PROGRESS]
-        self._state.update((*known, int(row["newest"]), NEVER, None, None, b""))
+
+        def known(name: str):
+            # By column: a row of mixed types would turn whole numbers into floats.
+            value = initialState[name].iloc[0]
+            kind = int if isinstance(_STATE[name].dataType, T.LongType) else float
+            return None if pd.isna(value) else kind(value)
+
+        progress = [known(name) for name in PROGRESS]
+        self._state.update((*progress, known("newest"), NEVER, None, None, b""))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived, flush = [], False
