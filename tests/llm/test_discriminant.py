@@ -63,3 +63,13 @@ def test_without_a_class_scores_are_the_share(spark, rows, want):
 def test_empty_table(spark):
     _, labels = sample(spark)
     assert scores(frame(spark, []), labels)[1] == []
+
+
+def test_accepted_rows_are_those_with_enough_score(spark):
+    docs, labels = sample(spark)
+    model, _ = scores(docs, labels)
+    rows = discriminant.with_scores(discriminant.with_statistics(docs, ["doc_id", "text"]), model)
+    want = [(r.doc_id, r.text) for r in rows.where("score >= 0.3").collect()]
+    kept = discriminant.accepted(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str) and want

@@ -70,15 +70,21 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
+#: Texts that a Python worker holds at once.
+_ROWS = 500
+
+
 def with_statistics(docs: DataFrame, keep: list[str], name: str = "statistics") -> DataFrame:
     """``keep`` columns and an array of the text's statistics."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source):
-            values = [statistics(x) for x in batch.column(len(keep)).to_pylist()]
-            columns = [batch.column(i) for i in range(len(keep))]
-            columns.append(pa.array(values, type=pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, name])
+        for whole in batches(source):
+            for start in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(start, _ROWS)
+                values = [statistics(x) for x in batch.column(len(keep)).to_pylist()]
+                columns = [batch.column(i) for i in range(len(keep))]
+                columns.append(pa.array(values, type=pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, name])
 
     narrow = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes().alias(unused(docs, "bytes")))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema[:-1])
@@ -168,3 +174,19 @@ def with_scores(rows: DataFrame, model: Discriminant, statistics_in: str = "stat
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != statistics_in)
     rows = rows.select(*[F.col(f"`{c}`") for c in keep], F.col(statistics_in))
     return rows.mapInArrow(run, f"{kinds}`{name}` double")
+
+
+def accepted(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches ``threshold``, in one Python stage: only they
+    leave it, and a worker holds few texts at once."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches(source):
+            for start in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(start, _ROWS)
+                texts = batch.column(at).to_pylist()
+                score = model.scores(np.array([statistics((x or "").encode()) for x in texts]))
+                yield batch.filter(pa.array(score >= threshold))
+
+    at = docs.columns.index("text")
+    return docs.mapInArrow(run, docs.schema)
