@@ -35,11 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows are judged alike; with no labels nothing is rejected."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = discriminant.fit(discriminant.with_statistics(docs, ["doc_id"]), labels)
-    statistics, score = unused(docs, "statistics"), unused(docs, "score")
-    scored = discriminant.with_scores(
-        discriminant.with_statistics(docs, docs.columns, statistics), model, statistics, score
-    )
-    return _columns_of(docs, scored.where(F.col(score) >= discriminant.THRESHOLD))
+    return discriminant.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
