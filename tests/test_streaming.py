@@ -12,8 +12,8 @@ from wayfleet.config import LIMITS, OUTPUT_TOPICS, ZONE
 from wayfleet.plans.live import LiveAnalysis
 from wayfleet.sinks.tables import LiveTables
 from wayfleet.sources import messages
-from wayfleet.streaming.job import start_live_job
-from wayfleet.streaming.processor import _WAITING, OUTPUT_SCHEMA, START, advance, in_turn
+from wayfleet.streaming.job import start_live_job, start_quarantine, wait_until_silent
+from wayfleet.streaming.processor import _WAITING, NEVER, OUTPUT_SCHEMA, START, advance, in_turn
 
 
 def end(folder, number, *taxis):
@@ -238,3 +238,42 @@ def test_state_carries_over(mode):
     reasons = dict(zip(whole["seq"].tolist(), whole["reject_reason"]))
     want = model.screen(fixes, trip_end=mode)
     assert reasons == {k[1]: v for k, v in want.items()}
+
+
+def test_what_a_timer_released_is_over():
+    fixes = np.zeros(3, dtype=_WAITING)
+    fixes["us"] = [90, 100, 101]
+    turn, late, newest = in_turn(fixes, 95, 20, released=100)
+    assert turn.tolist() == [101, 101, 101] and late.tolist() == [True, True, False] and newest == 101
+    assert in_turn(fixes, 95, 20, NEVER)[1].tolist() == [False, False, False]
+
+
+def test_silent_vehicles_and_stray_times(spark, tmp_path):
+    """Ten fixes and their marker, a vehicle that just stops, and times that
+    pandas cannot hold; nothing ends the input."""
+    (tmp_path / "in").mkdir()
+    ten = [model.near(1, 30 * i, 0.01 * (i % 2), i) for i in range(10)]
+    stops = [model.near(2, 30 * i, 0.01 * (i % 2), i) for i in range(4)]
+    send(tmp_path / "in", 0, [*ten, (1, 270, -1.0, -1.0, 10, True), *stops])
+    with open(tmp_path / "in" / "000.json", "a") as out:
+        for k, time in enumerate(("0001-01-01 00:00:00", "1600-01-01 00:00:00", "9999-12-31 00:00:00", "10000-01-01 00:00:00", "x")):
+            value = {"taxi_id": 100 + k, "timestamp": time, "longitude": 116.4, "latitude": 39.9}
+            out.write(json.dumps({"key": str(100 + k), "value": json.dumps(value), "seq": 1}) + "\n")
+    tables, source = LiveTables(str(tmp_path / "tables")), messages.file_stream(spark, str(tmp_path / "in"), 1)
+    job = start_live_job(source, tables, str(tmp_path / "checkpoint"), partitions=2, silence="1 second", forget_after="1 day")
+    try:
+        wait_until_silent(job, "1 second", 90)
+        # The vehicle comes back: what it sends from before is late, the rest is not.
+        send(tmp_path / "in", 1, [model.near(2, 60, 0.02, 20), model.near(2, 200, 0.0, 21)])
+        wait_until_silent(job, "1 second", 90)
+    finally:
+        job.stop()
+    active = {(r.taxi_id, r.seq) for r in tables.history(spark, "active_taxi").select("taxi_id", "seq").collect()}
+    assert active >= {(1, i) for i in range(10)} | {(2, i) for i in range(4)} | {(2, 21), (100, 1), (101, 1), (102, 1)}
+    assert [r.ended_trip_count for r in tables.history(spark, "ended_taxi").collect()] == [1]
+    assert {(r.taxi_id, r.seq) for r in tables.history(spark, "late").select("taxi_id", "seq").collect()} == {(2, 20)}
+    open_now = {r.taxi_id for r in tables.latest(spark, "active_taxi").select("taxi_id").collect()}
+    assert 1 not in open_now and {2, 100, 101, 102} <= open_now
+    start_quarantine(source, str(tmp_path / "q"), str(tmp_path / "cq"), available_now=True).awaitTermination()
+    rejected = spark.read.parquet(str(tmp_path / "q"))
+    assert {(r.key, r.reason) for r in rejected.collect()} == {("103", "no_time"), ("104", "no_time")}
