@@ -259,6 +259,7 @@ def test_silent_vehicles_and_stray_times(spark, tmp_path):
         for k, time in enumerate(("0001-01-01 00:00:00", "1600-01-01 00:00:00", "9999-12-31 00:00:00", "10000-01-01 00:00:00", "x")):
             value = {"taxi_id": 100 + k, "timestamp": time, "longitude": 116.4, "latitude": 39.9}
             out.write(json.dumps({"key": str(100 + k), "value": json.dumps(value), "seq": 1}) + "\n")
+    os.utime(tmp_path / "in" / "000.json", (1_700_000_000, 1_700_000_000))
     tables, source = LiveTables(str(tmp_path / "tables")), messages.file_stream(spark, str(tmp_path / "in"), 1)
     job = start_live_job(source, tables, str(tmp_path / "checkpoint"), partitions=2, silence="1 second", forget_after="1 day")
     try:
