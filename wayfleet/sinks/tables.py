@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,32 +16,64 @@ from wayfleet.operators.motion import fleet_running_distance, fleet_total
 from wayfleet.operators.serve import document_for, latest_by_key, without_ended
 from wayfleet.operators.track import Track
 from wayfleet.plans.live import FLEET_ORDER, LiveAnalysis
+from wayfleet.sinks.layers import NOTHING, Commit, CommitLog, Layer, merged_from
 from wayfleet.sources.messages import tag_topics
 from wayfleet.streaming.processor import OUTPUT_SCHEMA
 
 REJECTS, LATE = "rejects", "late"
 _AT = ["taxi_id", "ts", "seq"]
 _PLACE = ["longitude", "latitude"]
-_BATCH = "batch_id"
-_TOTAL = "metrics_total"  # fleet distance at the end of each batch
-_PAST, _BEGIN = "metrics_past", -1  # fleet distance before the first batch, and the number of that state
+_BEGIN = -1  # number of the state before the first batch
 _ACTIVE_ROW = [*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"]
-_BY_END = ["ts", "is_trip_end", "seq"]
-_SERVED = {
-    ACTIVE: {*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"},
-    SPEEDS: {*_AT, *_PLACE, "speed", "is_speeding"},
-    AVERAGES: {*_AT, "average_speed"},
-    ENDED: {*_AT, "ended_trip_count"},
+_SPEED_ROW = [*_AT, *_PLACE, "speed", "is_speeding"]
+_TYPES = {f.name: f.dataType for f in OUTPUT_SCHEMA} | {
+    "total_distance": T.DoubleType(),
+    "is_trip_end": T.BooleanType(),
+}
+
+
+@dataclass(frozen=True)
+class _Table:
+    """``keys``: the newest row per key, by ``order``; None for a history."""
+
+    columns: list[str]
+    keys: list[str] | None = None
+    order: tuple[str, ...] = ("ts", "seq")
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(c, _TYPES[c]) for c in self.columns])
+
+
+def _served(topic: str) -> str:
+    return f"served/{topic}"
+
+
+_TABLES = {
+    ACTIVE: _Table(_ACTIVE_ROW),
+    SPEEDS: _Table(_SPEED_ROW),
+    AVERAGES: _Table([*_AT, "average_speed"]),
+    ENDED: _Table([*_AT, "ended_trip_count"]),
+    METRICS: _Table([*_AT, "segment_km", "total_distance"]),
+    REJECTS: _Table([*_AT, *_PLACE, "reject_reason"]),
+    LATE: _Table([*_AT, *_PLACE, "is_trip_end"]),
+    _served(ACTIVE): _Table([*_ACTIVE_ROW, "is_trip_end"], ["taxi_id"], ("ts", "is_trip_end", "seq")),
+    _served(SPEEDS): _Table(_SPEED_ROW, ["taxi_id"]),
+    _served(AVERAGES): _Table([*_AT, "average_speed"], ["taxi_id"]),
+    _served(ENDED): _Table([*_AT, "ended_trip_count"], []),
 }
 
 
 class LiveTables:
-    """Tables under one folder of shared storage.
+    """Tables under one folder of shared storage, written by one job at a time.
 
-    Every history table has one directory per batch, replaced as a whole, so a
-    repeated batch leaves no trace.  The served tables are written as a new
-    version per batch, made from the version before and the batch; readers take
-    the newest complete one.
+    All tables are made of layers and change together, by one commit per batch
+    (``layers``): readers see whole batches, and a repeated batch replaces what
+    it wrote before.  A batch writes its own rows; older layers are merged
+    with them as they grow (served tables to the newest row per key), and the
+    layers of a served table are merged again when it is read.  Layers of a
+    history that have ``closed_rows`` are final.  Layers and commits out of use
+    stay for ``kept_versions`` commits, for readers that began before.
 
     ``publish`` also gets the new rows of every batch as messages of the five
     topics (``topic, key, value``); a repeated batch is published again.
@@ -51,25 +85,34 @@ class LiveTables:
         sizing: Sizing = SIZING,
         kept_versions: int = 3,
         publish: Callable[[DataFrame], None] | None = None,
+        fan: int = 8,
+        closed_rows: int = 64_000_000,
     ):
+        if kept_versions < 1 or fan < 2:
+            raise ValueError("at least one version and two layers are needed")
         self.folder = folder.rstrip("/")
         self.sizing, self.kept_versions = sizing, kept_versions
         self.publish = publish
+        self.fan, self.closed_rows = fan, closed_rows
+        self.log = CommitLog(self.folder)
+        self._swept = False
 
     # -- writing ----------------------------------------------------------
 
     def begin(self, past: LiveAnalysis) -> None:
         """Served documents and the fleet's distance as ``past`` leaves them, as
         what the first batch of a live job builds on."""
+        spark = past.fixes.sparkSession
         past = past.staged(f"{self.folder}/past")
         active, ended = past.active().select(*_ACTIVE_ROW), past.ended().select(*_AT, "ended_trip_count")
-        self._serve(ACTIVE, self._moves(active, ended), _BEGIN, order=_BY_END)
-        self._serve(SPEEDS, past.speeds().select(*_AT, *_PLACE, "speed", "is_speeding"), _BEGIN)
-        self._serve(AVERAGES, past.averages().select(*_AT, "average_speed"), _BEGIN)
-        self._serve(ENDED, ended, _BEGIN, keys=[])
-        total = fleet_total(past.segments())
-        self._replace(_TOTAL, total, _BEGIN)
-        self._replace(_PAST, total, _BEGIN)
+        rows = {
+            _served(ACTIVE): self._moves(active, ended),
+            _served(SPEEDS): past.speeds(),
+            _served(AVERAGES): past.averages(),
+            _served(ENDED): ended,
+        }
+        total = fleet_total(past.segments()).first()[0]
+        self._commit(spark, rows, {}, _BEGIN, NOTHING, total, total)
 
     @staticmethod
     def _moves(active: DataFrame, ended: DataFrame) -> DataFrame:
@@ -81,176 +124,150 @@ class LiveTables:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of one micro-batch (``foreachBatch``)."""
         batch = batch.persist()
+        inside, ended = F.col("is_violated").isNotNull(), F.col("ended_trip_count").isNotNull()
+        moved, rejected = inside & F.col("segment_km").isNotNull(), F.col("reject_reason").isNotNull()
         try:
             # One job over all tasks of the stateful operator; the writes below
             # read the stored rows.
-            if batch.count() > 0:
-                self._write_rows(batch, batch_id)
+            found = batch.agg(
+                F.count(F.lit(1)).alias("all"),
+                F.count_if(inside).alias(ACTIVE),
+                F.count_if(moved).alias(SPEEDS),
+                F.count_if(ended).alias(ENDED),
+                F.count_if(rejected).alias(REJECTS),
+                F.count_if("is_late").alias(LATE),
+                F.coalesce(F.sum(F.when(moved, F.col("segment_km"))), F.lit(0.0)).alias("km"),
+            ).first()
+            if found["all"] == 0:
+                return
+            before = self.log.before(batch.sparkSession, batch_id)
+            running = self._fleet(batch.filter(moved).select(*_AT, "segment_km"), before.total)
+            rows = {
+                ACTIVE: batch.filter(inside),
+                SPEEDS: batch.filter(moved),
+                AVERAGES: batch.filter(inside),
+                ENDED: batch.filter(ended),
+                METRICS: running,
+                REJECTS: batch.filter(rejected),
+                LATE: batch.filter("is_late"),
+            }
+            sizes = found.asDict() | {AVERAGES: found[ACTIVE], METRICS: found[SPEEDS]}
+            rows = {table: x.select(*_TABLES[table].columns) for table, x in rows.items()}
+            sizes[_served(ACTIVE)] = sizes[ACTIVE] + sizes[ENDED]
+            rows[_served(ACTIVE)] = self._moves(rows[ACTIVE], rows[ENDED])
+            for topic in (SPEEDS, AVERAGES, ENDED):
+                rows[_served(topic)], sizes[_served(topic)] = rows[topic], sizes[topic]
+            # A table that gets no row keeps its layers.
+            new = {table: x for table, x in rows.items() if sizes[table]}
+            total = before.total + found["km"]
+            self._commit(batch.sparkSession, new, sizes, batch_id, before, total, before.past)
+            if self.publish is not None:
+                sent = {topic: rows[topic] for topic in (ACTIVE, ENDED, SPEEDS, AVERAGES)}
+                self.publish(tag_topics(sent | {METRICS: running.drop("segment_km")}))
         finally:
             batch.unpersist()
 
-    def _write_rows(self, batch: DataFrame, batch_id: int) -> None:
-        inside = batch.filter(F.col("is_violated").isNotNull())
-        segments = inside.filter(F.col("segment_km").isNotNull())
-        ended = batch.filter(F.col("ended_trip_count").isNotNull())
-        active = inside.select(*_ACTIVE_ROW)
-        speeds = segments.select(*_AT, *_PLACE, "speed", "is_speeding")
-        averages = inside.select(*_AT, "average_speed")
-        counts = ended.select(*_AT, "ended_trip_count")
-        rejects = batch.filter(F.col("reject_reason").isNotNull()).select(
-            *_AT, *_PLACE, "reject_reason"
-        )
-        late = batch.filter("is_late").select(*_AT, *_PLACE, "is_trip_end")
-        writes = [
-            lambda: self._write_fleet(segments.select(*_AT, "segment_km"), batch_id),
-            lambda: self._replace(ACTIVE, active, batch_id),
-            lambda: self._replace(SPEEDS, speeds, batch_id),
-            lambda: self._replace(AVERAGES, averages, batch_id),
-            lambda: self._replace(ENDED, counts, batch_id),
-            lambda: self._replace(REJECTS, rejects, batch_id),
-            lambda: self._replace(LATE, late, batch_id),
-            lambda: self._serve(ACTIVE, self._moves(active, ended), batch_id, order=_BY_END),
-            lambda: self._serve(SPEEDS, speeds, batch_id),
-            lambda: self._serve(AVERAGES, averages, batch_id),
-            lambda: self._serve(ENDED, counts, batch_id, keys=[]),
-        ]
+    def _commit(
+        self,
+        spark: SparkSession,
+        rows: dict[str, DataFrame],
+        sizes: dict[str, int],
+        batch_id: int,
+        before: Commit,
+        total: float,
+        past: float,
+    ) -> None:
+        """Write a layer for every table of ``rows``, then make them count."""
+        if not self._swept:
+            self.log.sweep(spark, list(_TABLES))
+            self._swept = True
+        name = f"{batch_id}-{uuid.uuid4().hex}"
+        tables = dict(before.tables)
         # The tables are independent and small, so their jobs overlap.
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for done in [pool.submit(write) for write in writes]:
-                done.result()
-        if self.publish is not None:
-            fleet = f"{self.folder}/{METRICS}/{_BATCH}={batch_id}"
-            metrics = batch.sparkSession.read.parquet(fleet).drop("segment_km")
-            outputs = {
-                ACTIVE: active,
-                ENDED: counts,
-                METRICS: metrics,
-                SPEEDS: speeds,
-                AVERAGES: averages,
+        with ThreadPoolExecutor(max_workers=max(1, len(rows))) as pool:
+            jobs = {
+                table: pool.submit(self._layered, table, new, sizes.get(table), before.layers(table), name)
+                for table, new in rows.items()
             }
-            self.publish(tag_topics(outputs))
+            tables |= {table: job.result() for table, job in jobs.items()}
+        self.log.add(spark, batch_id, total, past, tables)
+        self.log.forget(spark, self.kept_versions)
 
-    def _replace(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        path = f"{self.folder}/{table}/{_BATCH}={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
+    def _layered(
+        self, table: str, rows: DataFrame, size: int | None, layers: tuple[Layer, ...], name: str
+    ) -> tuple[Layer, ...]:
+        """Layers with one more of ``rows``, which takes older ones in when
+        there are enough of them.  Served rows are counted after the write."""
+        kind, spark = _TABLES[table], rows.sparkSession
+        rows = rows.select([F.col(f.name).cast(f.dataType) for f in kind.schema])
+        first = len(layers)
+        closed = self.closed_rows if kind.keys is None else None
+        if layers:
+            first = merged_from([*(x.rows for x in layers), size], self.fan, closed)
+            if first < len(layers):
+                rows = rows.unionByName(self._rows(spark, table, layers[first:]))
+        if kind.keys is not None:
+            rows = latest_by_key(rows, kind.keys, kind.order)
+        path = f"{table}/{name}"
+        rows.write.parquet(f"{self.folder}/{path}")
+        if kind.keys is None:
+            written = size + sum(x.rows for x in layers[first:])
+        else:
+            written = spark.read.schema(kind.schema).parquet(f"{self.folder}/{path}").count()
+        return (*layers[:first], Layer(path, written))
 
-    def _write_fleet(self, segments: DataFrame, batch_id: int) -> None:
-        """Fleet distance after each segment in the order of arrival: the sums of
-        earlier batches, then a running sum within this one.  The last total is
-        kept like a served version, so looking it up costs the same for ever."""
+    def _fleet(self, segments: DataFrame, before: float) -> DataFrame:
+        """Fleet distance after each segment in the order of arrival: the sum of
+        earlier batches, then a running sum within this one."""
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
         running = fleet.unmark(fleet_running_distance(segments, fleet))
-        before = 0.0
-        spark = segments.sparkSession
-        written = self._numbers(spark, f"{self.folder}/{_TOTAL}")
-        earlier = [n for n in written if n < batch_id]
-        if earlier:
-            path = f"{self.folder}/{_TOTAL}/{_BATCH}={earlier[-1]}"
-            before = spark.read.parquet(path).first()[0]
-        self._replace(
-            METRICS,
-            running.select(
-                *_AT, "segment_km", (F.col("total_distance") + before).alias("total_distance")
-            ),
-            batch_id,
-        )
-        total = segments.agg(
-            (F.coalesce(F.sum("segment_km"), F.lit(0.0)) + before).alias("total_distance")
+        return running.select(
+            *_AT, "segment_km", (F.col("total_distance") + before).alias("total_distance")
         )
-        self._replace(_TOTAL, total, batch_id)
-        for old in earlier[: -self.kept_versions]:
-            self._delete(spark, f"{self.folder}/{_TOTAL}/{_BATCH}={old}")
-
-    def _serve(
-        self,
-        table: str,
-        rows: DataFrame,
-        batch_id: int,
-        keys: list[str] | None = None,
-        order: list[str] | None = None,
-    ) -> None:
-        keys = ["taxi_id"] if keys is None else keys
-        spark = rows.sparkSession
-        versions = self._versions(spark, table)
-        earlier = [v for v in versions if v < batch_id]
-        merged = rows
-        if earlier:
-            before = spark.read.parquet(self._version(table, earlier[-1]))
-            merged = rows.unionByName(before, allowMissingColumns=True)
-        latest = latest_by_key(merged, keys, order or ["ts", "seq"])
-        latest.write.mode("overwrite").parquet(self._version(table, batch_id))
-        for old in earlier[: -self.kept_versions]:
-            self._delete(spark, self._version(table, old))
 
     # -- reading ----------------------------------------------------------
 
+    def _rows(self, spark: SparkSession, table: str, layers: tuple[Layer, ...]) -> DataFrame:
+        schema = _TABLES[table].schema
+        if not layers:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*(f"{self.folder}/{x.path}" for x in layers))
+
     def history(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(f"{self.folder}/{table}").drop(_BATCH)
+        return self._rows(spark, table, self.log.newest(spark).layers(table))
 
     def fleet_distance(self, spark: SparkSession) -> DataFrame:
         """Fleet distance after each segment in the order of time, whatever the
         order of arrival was."""
-        segments = self.history(spark, METRICS).select(*_AT, "segment_km")
+        now = self.log.newest(spark)
+        segments = self._rows(spark, METRICS, now.layers(METRICS)).select(*_AT, "segment_km")
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
-        before = 0.0
-        if self._numbers(spark, f"{self.folder}/{_PAST}"):
-            before = spark.read.parquet(f"{self.folder}/{_PAST}/{_BATCH}={_BEGIN}").first()[0]
         rows = fleet.unmark(fleet_running_distance(segments, fleet))
-        return rows.select(*_AT, (F.col("total_distance") + before).alias("total_distance"))
+        return rows.select(*_AT, (F.col("total_distance") + now.past).alias("total_distance"))
 
     def latest(self, spark: SparkSession, table: str) -> DataFrame:
         """Newest row per key, without vehicles whose trip has ended; no row
         before the first batch."""
-        versions = self._versions(spark, table)
-        if not versions:
-            known = [f for f in OUTPUT_SCHEMA if f.name in _SERVED[table]]
-            return spark.createDataFrame([], T.StructType(known))
-        rows = spark.read.parquet(self._version(table, versions[-1]))
+        return self._latest(spark, table, self.log.newest(spark))
+
+    def _latest(self, spark: SparkSession, table: str, now: Commit) -> DataFrame:
+        kind, layers = _TABLES[_served(table)], now.layers(_served(table))
+        rows = self._rows(spark, _served(table), layers)
+        if len(layers) > 1:
+            rows = latest_by_key(rows, kind.keys, kind.order)
         if "is_trip_end" in rows.columns:
             rows = without_ended(rows).drop("is_trip_end")
         return rows
 
     def served(self, spark: SparkSession, table: str) -> DataFrame:
         """Documents as they are served."""
+        now = self.log.newest(spark)
         if table == METRICS:
-            written = self._numbers(spark, f"{self.folder}/{_TOTAL}")
-            if not written:
-                rows = spark.createDataFrame([], "total_distance double")
-            else:
-                rows = spark.read.parquet(f"{self.folder}/{_TOTAL}/{_BATCH}={written[-1]}")
-            return document_for(METRICS, rows)
+            total = [] if now is NOTHING else [(now.total,)]
+            return document_for(METRICS, spark.createDataFrame(total, "total_distance double"))
+        rows = self._latest(spark, table, now)
         if table == ENDED:
             # Seeded: 0 until a first trip has ended.
             count = F.coalesce(F.max("ended_trip_count"), F.lit(0).cast("long"))
-            return self.latest(spark, ENDED).agg(count.alias("ended_trip_count"))
-        return document_for(table, self.latest(spark, table))
-
-    # -- files ------------------------------------------------------------
-
-    def _version(self, table: str, batch_id: int) -> str:
-        return f"{self.folder}/served/{table}/v={batch_id}"
-
-    def _fs(self, spark: SparkSession):
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.folder)
-        return jvm, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _numbers(self, spark: SparkSession, folder: str) -> list[int]:
-        """Numbers of the complete ``name=number`` directories of a folder."""
-        jvm, fs = self._fs(spark)
-        path = jvm.org.apache.hadoop.fs.Path
-        if not fs.exists(path(folder)):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path(folder))]
-        return sorted(
-            int(p.getName().partition("=")[2])
-            for p in found
-            if "=" in p.getName() and fs.exists(path(p, "_SUCCESS"))
-        )
-
-    def _versions(self, spark: SparkSession, table: str) -> list[int]:
-        return self._numbers(spark, f"{self.folder}/served/{table}")
-
-    def _delete(self, spark: SparkSession, folder: str) -> None:
-        jvm, fs = self._fs(spark)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+            return rows.agg(count.alias("ended_trip_count"))
+        return document_for(table, rows)
