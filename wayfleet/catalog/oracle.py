@@ -572,10 +572,16 @@ moved AS (
         sql[f"stream_resumed_{name}"] = (
             f"SELECT * FROM ({sql[f'stream_{name}']}) WHERE seq >= (SELECT max(event_id) // 16 * 8 FROM events)"
         )
-    sql["stream_resumed_served"] = (
-        f"SELECT taxi_id, max(ts) AS ts, max_by(seq, (ts, seq)) AS seq, max_by(average_speed, (ts, seq)) AS average_speed"
-        f" FROM ({sql['stream_averages']}) GROUP BY taxi_id"
+    # Served rows: the newest of each vehicle.
+    for name, value in (("averages", "average_speed"), ("speeds", "speed")):
+        sql[f"stream_latest_{name}"] = (
+            f"SELECT taxi_id, max(ts) AS ts, max_by(seq, (ts, seq)) AS seq, max_by({value}, (ts, seq)) AS {value}"
+            f" FROM ({sql[f'stream_{name}']}) GROUP BY taxi_id"
+        )
+    sql["stream_latest_ended"] = (
+        f"SELECT max_by(ended_trip_count, (ts, seq)) AS ended_trip_count FROM ({sql['stream_ended']}) HAVING count(*) > 0"
     )
+    sql["stream_resumed_served"] = sql["stream_latest_averages"]
     # Rows come out of a topic as they went in.
     for name in ("active", "speeds", "averages", "metrics", "ended"):
         sql[f"topic_{name}"] = sql[f"stream_{name}"]

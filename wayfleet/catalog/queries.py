@@ -539,6 +539,16 @@ def stream_latest_active(spark, folder):
     return _stream_tables(spark, folder).latest(spark, ACTIVE).select(*_FIX)
 
 
+def _stream_latest(table, *columns, rounded=None):
+    """Newest rows by key, merged from the layers of a served table."""
+
+    def query(spark, folder):
+        rows = _stream_tables(spark, folder).latest(spark, table).select(*columns)
+        return _rounded(rows, 6, rounded) if rounded else rows
+
+    return query
+
+
 # Times that a damaged clock might send, from the first to the last year.
 _STRAY_TIMES = ("0001-01-01 00:00:00", "1600-02-29 12:00:00", "9999-12-31 23:59:59")
 _STRAY, _SILENCE = 1_000_000, "2 seconds"
@@ -743,6 +753,9 @@ def queries() -> dict[str, Query]:
         "stream_rejects": _stream(REJECTS, *_AT, "reject_reason"),
         "stream_quarantine": stream_quarantine,
         "stream_latest_active": stream_latest_active,
+        "stream_latest_speeds": _stream_latest(SPEEDS, *_AT, "speed", rounded="speed"),
+        "stream_latest_averages": _stream_latest(AVERAGES, *_AT, "average_speed", rounded="average_speed"),
+        "stream_latest_ended": _stream_latest(ENDED, "ended_trip_count"),
         "stream_quarantine_reasons": stream_quarantine_reasons,
         "stream_silent_active": stream_silent_active,
         "stream_silent_ended": stream_silent_ended,
