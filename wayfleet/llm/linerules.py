@@ -2,15 +2,18 @@
 
 Lines are normalised (lower case, digits as 0, runs of white space as one
 blank) and hashed.  A line that occurs in more than ``MOST_DOCS`` documents of a
-host, and in more than ``MOST_SHARE`` of that host's documents, is removed from
-each of them; a document that keeps less than ``LEAST_KEPT`` of its words is
-depleted and rejected.  Line counts are made of the distinct lines of each
-document, added up before they are shuffled, so a line that every document has
-costs one row for each task.
+host is removed from each of them; for a line of which some document holds fewer
+than ``SHORT_WORDS`` words the limit is ``MOST_DOCS_SHORT``, as headings and dates
+repeat by themselves.  The limits are numbers, not shares: what a large host has
+copied is judged as in a small one.  A document that keeps less than
+``LEAST_KEPT`` of its words is depleted and rejected.  Line counts are made of the
+distinct lines of each document, added up before they are shuffled, so a line that
+every document has costs one row for each task.
 
 Hosts are the values of a column; null is a host of its own.  Null and empty
 texts have no words and fail the base rule.  Rows repeated with one doc_id are
-separate documents.  Ties do not matter: limits are on counts.
+separate documents.  Ties do not matter: limits are on counts.  Other columns,
+whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.work import batches, stored, text_bytes
+from wayfleet.llm.work import batches, broadcast_if_few, stored, text_bytes
 
 LEAST_WORDS = 50
-MOST_DOCS, MOST_SHARE = 20, 0.05
+MOST_DOCS = 20
+SHORT_WORDS, MOST_DOCS_SHORT = 4, 200
 LEAST_KEPT = 0.3
 _SYMBOLS = b"#*$%&|<>"
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -100,17 +104,24 @@ def with_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     return narrow.mapInArrow(run, f"row long, doc_id long, host string, {base}, lines array<struct<line:bigint,words:bigint>>")
 
 
-def judged(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
+def judged(
+    docs: DataFrame,
+    host: str = "source",
+    most_docs: int = MOST_DOCS,
+    most_docs_short: int = MOST_DOCS_SHORT,
+    least_kept: float = LEAST_KEPT,
+) -> DataFrame:
     """doc_id, the base statistics, base_failed, n_removed_words and kept of
     every row."""
     rows, _ = stored(with_lines(docs, host), "lines")
-    size = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     lines = rows.select("host", "row", F.explode("lines").alias("x")).select("host", "row", "x.line", "x.words")
-    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_docs)
-    same = lambda a, b: a["host"].eqNullSafe(b["host"])
-    common = counted.join(F.broadcast(size), same(counted, size)).where(
-        F.col("n") > most_share * F.col("n_docs")
-    ).select(counted["host"].alias("common_host"), F.col("line").alias("common_line"))
+    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("least"))
+    limit = F.when(F.col("least") < SHORT_WORDS, most_docs_short).otherwise(most_docs)
+    common, _ = stored(
+        counted.where(F.col("n") > limit).select(F.col("host").alias("common_host"), F.col("line").alias("common_line")),
+        "common-lines",
+    )
+    common = broadcast_if_few(common)
     removed = lines.join(
         common, (lines["line"] == common["common_line"]) & lines["host"].eqNullSafe(common["common_host"])
     ).groupBy("row").agg(F.sum("words").alias("n_removed_words"))

@@ -85,8 +85,7 @@ WITH d AS (
   ) GROUP BY row, host, line
 ), common AS (
   SELECT host, line FROM lines GROUP BY host, line
-  HAVING count(*) > {linerules.MOST_DOCS}
-     AND count(*) > {linerules.MOST_SHARE} * (SELECT count(*) FROM d WHERE d.host IS NOT DISTINCT FROM lines.host)
+  HAVING count(*) > CASE WHEN min(words) < {linerules.SHORT_WORDS} THEN {linerules.MOST_DOCS_SHORT} ELSE {linerules.MOST_DOCS} END
 ), removed AS (
   SELECT row, sum(words)::BIGINT AS n FROM lines JOIN common
     ON lines.line = common.line AND lines.host IS NOT DISTINCT FROM common.host GROUP BY row
