@@ -66,3 +66,11 @@ def test_bins_keep_every_constraint(spark):
 
 def test_empty_table(spark):
     assert packing.packed(frame(spark, [])).count() == 0
+
+
+def test_equal_rows_are_spread_over_lanes(spark):
+    """All of one text, one id and one source: lanes stay even and bins keep copies apart."""
+    rows = spark.range(12_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'same words' AS text", "'s' AS source")
+    found = packing.packed(rows).groupBy("lane").agg({"*": "count", "bin": "max"}).collect()
+    assert len(found) == 4 and all(abs(r["count(1)"] - 3000) < 300 for r in found)
+    assert all(r["max(bin)"] + 1 == r["count(1)"] for r in found)

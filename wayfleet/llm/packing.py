@@ -11,10 +11,15 @@ the next until one is compatible.  With no such bin a new one is opened.
 
 Packing is sequential, so documents are dealt into lanes of about
 ``lane_rows`` by a hash, and a task packs a lane at a time.  The number of lanes
-follows the number of documents; every lane is packed whole.
+follows the number of documents; every lane is packed whole.  The hash takes in
+a number of the row, so that rows that are equal in everything are spread as well:
+lanes follow the files and their order, and the same files give the same bins.
+``docs`` should be read from files, whose order a lost task finds again.
 
 Null and empty texts cost one separator.  A null source is a source of its own.
-Rows repeated with one doc_id are separate documents of one cluster.
+Rows repeated with one doc_id are separate documents of one cluster; which of two
+equal rows goes first makes no difference.  Other columns, whatever their names,
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -112,8 +117,9 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOUR
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("cluster"),
     )
     lanes = max(1, -(-docs.count() // lane_rows))
-    lane = F.pmod(F.xxhash64("doc_id", "cluster", F.lit(7)), F.lit(lanes)).cast("int")
-    narrow = narrow.withColumn("lane", lane)
+    narrow = narrow.withColumn("row", F.monotonically_increasing_id())
+    lane = F.pmod(F.xxhash64("doc_id", "cluster", "row"), F.lit(lanes)).cast("int")
+    narrow = narrow.withColumn("lane", lane).drop("row")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[dict]) -> pa.RecordBatch:
