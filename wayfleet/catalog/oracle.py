@@ -572,6 +572,14 @@ moved AS (
         sql[f"stream_resumed_{name}"] = (
             f"SELECT * FROM ({sql[f'stream_{name}']}) WHERE seq >= (SELECT max(event_id) // 16 * 8 FROM events)"
         )
+    # One log file per vehicle and half of the time, each with its marker.
+    sql["incremental_table"] = _sql(
+        [_FIXES],
+        """SELECT taxi_id, ts, longitude, latitude, is_trip_end FROM fixes
+           UNION ALL
+           SELECT taxi_id, max_by(ts, seq), -1.0::DOUBLE, -1.0::DOUBLE, true FROM fixes
+           GROUP BY taxi_id, seq < (SELECT max(event_id) // 16 * 8 FROM events)""",
+    )
     # Served rows: the newest of each vehicle.
     for name, value in (("averages", "average_speed"), ("speeds", "speed")):
         sql[f"stream_latest_{name}"] = (

@@ -19,7 +19,7 @@ from wayfleet.config import (
     Sizing,
 )
 from wayfleet.functions.geo import distance_to_zone_km
-from wayfleet.functions.time import event_time_ms
+from wayfleet.functions.time import event_time_ms, format_timestamp
 from wayfleet.operators import (
     clean,
     explore,
@@ -36,6 +36,7 @@ from wayfleet.session import shared_folder
 from wayfleet.sinks.tables import REJECTS, LiveTables
 from wayfleet.sources import messages
 from wayfleet.sources.events import as_log_lines, read_event_fixes, with_copies
+from wayfleet.sources.incremental import LogTable
 from wayfleet.sources.logs import read_log_lines, rejected_lines, valid_fixes
 from wayfleet.sources.tables import read_fixes, write_csv, write_fixes
 from wayfleet.streaming.job import start_live_job, start_quarantine, wait_until_silent
@@ -159,6 +160,21 @@ def parse_valid(spark, folder):
     return valid_fixes(_lines(spark, folder)).select(*_FIX[:4], "is_trip_end")
 
 
+def incremental_table(spark, folder):
+    """Logs of one file per vehicle and half of the time, read in two steps."""
+    base = _new_folder(spark, "growing")
+    table = LogTable(f"{base}/table", f"{base}/logs")
+    fixes = _fixes(spark, folder)
+    cut = fixes.agg(F.floor(F.max("seq") / 16) * 8).first()[0] or 0
+    line = F.concat_ws(",", F.col("taxi_id").cast("string"), format_timestamp(F.col("ts")), "longitude", "latitude")
+    for half in (F.col("seq") < cut, F.col("seq") >= cut):
+        sent = fixes.filter(half).select(F.col("taxi_id").alias("vehicle"), "seq", line.alias("value"))
+        sent = sent.repartition(_MESSAGE_FILES, "vehicle").sortWithinPartitions("vehicle", "seq")
+        sent.select("vehicle", "value").write.mode("append").partitionBy("vehicle").text(f"{base}/logs")
+        table.refresh(spark)
+    return table.read(spark).select(*_FIX[:4], "is_trip_end")
+
+
 def parse_rejects(spark, folder):
     return rejected_lines(_lines(spark, folder)).select("value")
 
@@ -669,6 +685,7 @@ def queries() -> dict[str, Query]:
         "csv_export": csv_export,
         "parse_valid": parse_valid,
         "parse_rejects": parse_rejects,
+        "incremental_table": incremental_table,
         "trip_end_rows": lambda s, d: trips.split_markers(_trips(s, d))[1],
         "fixes_with_trip_end": _trips,
         "json_encode": lambda s, d: messages.encode(_fixes(s, d)),
