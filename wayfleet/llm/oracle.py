@@ -108,38 +108,50 @@ def _licences() -> str:
         for k, (name, ids) in enumerate(licenses.RULES)
     )
     longest = max(len(ids) for _, ids in licenses.RULES)
+    sentences, plain = ", ".join(map(_quoted, licenses.SENTENCES)), ", ".join(map(_quoted, licenses._PLAIN))
+    end, gap = licenses._SENTENCE_END, licenses._GAP
+    normal_x = "trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))"
     return f"""
 WITH known(sentence, identifier) AS (VALUES {known}),
 rules(rule, licence, ids, size) AS (VALUES {rules}),
 cut AS (
-  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \\t\\v\\f\\r]+', '\\1' || chr(10), 'g'), chr(10)) AS l
+  SELECT DISTINCT coalesce('i' || doc_id, 't' || md5(coalesce(text, ''))) AS doc, doc_id,
+    string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{end}', '\\1' || chr(1), 'g'), '{gap}', chr(1), 'g'), chr(1)) AS u
   FROM documents
+), pieces AS (
+  SELECT doc, doc_id, list_filter(
+    list_transform(
+      flatten(list_transform(u, lambda x: CASE WHEN contains(x, chr(10)) AND NOT list_contains([{sentences}], {normal_x})
+        THEN string_split(x, chr(10)) ELSE [x] END)),
+      lambda x: CASE WHEN regexp_matches(x, '{licenses._ADDRESS}') THEN '' ELSE {normal_x} END),
+    lambda y: length(y) > 1) AS l
+  FROM cut
 ), found AS (
-  SELECT DISTINCT doc_id, place, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS sentence
-  FROM (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS place FROM cut)
+  SELECT DISTINCT doc, doc_id, place, sentence
+  FROM (SELECT doc, doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) - 1 AS place FROM pieces)
 ), named AS (
-  SELECT doc_id, place, coalesce(identifier,
+  SELECT doc, doc_id, place, sentence, coalesce(identifier,
     CASE WHEN regexp_matches(sentence, '{licenses._COPYRIGHT}') THEN '{licenses.COPYRIGHT}' END) AS identifier
   FROM found LEFT JOIN known USING (sentence)
   WHERE identifier IS NOT NULL OR regexp_matches(sentence, '{licenses._MENTION}')
 ), runs AS (
-  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM named
+  SELECT *, place - row_number() OVER (PARTITION BY doc ORDER BY place) AS run FROM named
 ), ahead AS (
-  SELECT *, list(coalesce(identifier, '')) OVER (PARTITION BY doc_id, run ORDER BY place
+  SELECT *, list(coalesce(identifier, '')) OVER (PARTITION BY doc, run ORDER BY place
     ROWS BETWEEN CURRENT ROW AND {longest - 1} FOLLOWING) AS have FROM runs
 ), best AS (
-  SELECT doc_id, run, place, coalesce(min(rule), {len(licenses.RULES)}) AS rule FROM (
-    SELECT a.doc_id, a.run, a.place, r.rule FROM ahead a LEFT JOIN rules r ON a.have[1:r.size] = r.ids
-  ) GROUP BY doc_id, run, place
+  SELECT doc, doc_id, run, place, sentence, coalesce(min(rule), {len(licenses.RULES)}) AS rule FROM (
+    SELECT a.*, r.rule FROM ahead a LEFT JOIN rules r ON a.have[1:r.size] = r.ids
+  ) GROUP BY doc, doc_id, run, place, sentence
 ), chosen AS (
-  SELECT b.doc_id, b.run, b.place, b.rule, licence, coalesce(size, 1) AS size FROM best b LEFT JOIN rules USING (rule)
+  SELECT b.*, licence, coalesce(size, 1) AS size FROM best b LEFT JOIN rules USING (rule)
 )
 SELECT c.doc_id, c.place::INTEGER AS place,
   coalesce(c.licence, '{licenses.UNRECOGNISED}') AS licence,
   (CASE WHEN c.rule < {len(licenses.RULES)} THEN c.rule END)::INTEGER AS rule, c.size::INTEGER AS n_sentences
 FROM chosen c
-WHERE NOT EXISTS (
-  SELECT 1 FROM chosen x WHERE x.doc_id IS NOT DISTINCT FROM c.doc_id AND x.run = c.run
+WHERE (c.rule < {len(licenses.RULES)} OR c.sentence NOT IN ({plain})) AND NOT EXISTS (
+  SELECT 1 FROM chosen x WHERE x.doc = c.doc AND x.run = c.run
     AND (x.rule < c.rule AND x.place < c.place + c.size OR x.rule = c.rule AND x.place < c.place)
     AND x.place + x.size > c.place)
 """
