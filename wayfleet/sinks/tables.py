@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,72 +11,60 @@ from pyspark.sql import types as T
 
 from wayfleet.config import ACTIVE, AVERAGES, ENDED, METRICS, SIZING, SPEEDS, Sizing
 from wayfleet.operators.motion import fleet_running_distance, fleet_total
-from wayfleet.operators.serve import document_for, latest_by_key, without_ended
 from wayfleet.operators.track import Track
 from wayfleet.plans.live import FLEET_ORDER, LiveAnalysis
-from wayfleet.sinks.layers import NOTHING, Commit, CommitLog, Layer, merged_from
-from wayfleet.sources.messages import tag_topics
+from wayfleet.sinks.layers import NOTHING, Commit
+from wayfleet.sinks.served import AT, ServedTables, Table, served_name
+from wayfleet.sources.messages import NUMBERED_SCHEMA, numbered, tag_topics
 from wayfleet.streaming.processor import OUTPUT_SCHEMA
 
-REJECTS, LATE = "rejects", "late"
-_AT = ["taxi_id", "ts", "seq"]
+REJECTS, LATE, OUTBOX = "rejects", "late", "outbox"
 _PLACE = ["longitude", "latitude"]
 _BEGIN = -1  # number of the state before the first batch
-_ACTIVE_ROW = [*_AT, *_PLACE, "distance_to_forbidden_city", "is_violated"]
-_SPEED_ROW = [*_AT, *_PLACE, "speed", "is_speeding"]
+_ACTIVE_ROW = [*AT, *_PLACE, "distance_to_forbidden_city", "is_violated"]
+_SPEED_ROW = [*AT, *_PLACE, "speed", "is_speeding"]
 _TYPES = {f.name: f.dataType for f in OUTPUT_SCHEMA} | {
     "total_distance": T.DoubleType(),
     "is_trip_end": T.BooleanType(),
 }
 
 
-@dataclass(frozen=True)
-class _Table:
-    """``keys``: the newest row per key, by ``order``; None for a history."""
+def _table(columns: list[str], *kept) -> Table:
+    return Table(T.StructType([T.StructField(c, _TYPES[c]) for c in columns]), *kept)
 
-    columns: list[str]
-    keys: list[str] | None = None
-    order: tuple[str, ...] = ("ts", "seq")
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(c, _TYPES[c]) for c in self.columns])
-
-
-def _served(topic: str) -> str:
-    return f"served/{topic}"
-
-
-_TABLES = {
-    ACTIVE: _Table(_ACTIVE_ROW),
-    SPEEDS: _Table(_SPEED_ROW),
-    AVERAGES: _Table([*_AT, "average_speed"]),
-    ENDED: _Table([*_AT, "ended_trip_count"]),
-    METRICS: _Table([*_AT, "segment_km", "total_distance"]),
-    REJECTS: _Table([*_AT, *_PLACE, "reject_reason"]),
-    LATE: _Table([*_AT, *_PLACE, "is_trip_end"]),
-    _served(ACTIVE): _Table([*_ACTIVE_ROW, "is_trip_end"], ["taxi_id"], ("ts", "is_trip_end", "seq")),
-    _served(SPEEDS): _Table(_SPEED_ROW, ["taxi_id"]),
-    _served(AVERAGES): _Table([*_AT, "average_speed"], ["taxi_id"]),
-    _served(ENDED): _Table([*_AT, "ended_trip_count"], []),
+#: The topics' own rows, and the newest of them.
+TOPIC_TABLES = {
+    ACTIVE: _table(_ACTIVE_ROW),
+    SPEEDS: _table(_SPEED_ROW),
+    AVERAGES: _table([*AT, "average_speed"]),
+    ENDED: _table([*AT, "ended_trip_count"]),
+    METRICS: _table([*AT, "total_distance"]),
+    served_name(ACTIVE): _table([*_ACTIVE_ROW, "is_trip_end"], ["taxi_id"], ("ts", "is_trip_end", "seq")),
+    served_name(SPEEDS): _table(_SPEED_ROW, ["taxi_id"]),
+    served_name(AVERAGES): _table([*AT, "average_speed"], ["taxi_id"]),
+    served_name(ENDED): _table([*AT, "ended_trip_count"], []),
 }
 
 
-class LiveTables:
-    """Tables under one folder of shared storage, written by one job at a time.
-
-    All tables are made of layers and change together, by one commit per batch
-    (``layers``): readers see whole batches, and a repeated batch replaces what
-    it wrote before.  A batch writes its own rows; older layers are merged
-    with them as they grow (served tables to the newest row per key), and the
-    layers of a served table are merged again when it is read.  Layers of a
-    history that have ``closed_rows`` are final.  Layers and commits out of use
-    stay for ``kept_versions`` commits, for readers that began before.
+class LiveTables(ServedTables):
+    """What the live job writes (``ServedTables``).
 
-    ``publish`` also gets the new rows of every batch as messages of the five
-    topics (``topic, key, value``); a repeated batch is published again.
+    ``publish`` gets the rows of the five topics as messages (``topic, key, value,
+    batch, nth``).  A batch stores its messages in an outbox, under its own commit;
+    they are published when the next batch begins, as only then the batch is sure
+    not to run again with other rows.  ``settle`` publishes what is left when the
+    job has ended.  A send that breaks off is repeated, with the same numbers, by
+    which readers drop what they have (``streaming.router.once``).
     """
 
+    kinds = TOPIC_TABLES | {
+        METRICS: _table([*AT, "segment_km", "total_distance"]),
+        REJECTS: _table([*AT, *_PLACE, "reject_reason"]),
+        LATE: _table([*AT, *_PLACE, "is_trip_end"]),
+        OUTBOX: Table(NUMBERED_SCHEMA),
+    }
+
     def __init__(
         self,
         folder: str,
@@ -88,14 +74,8 @@ class LiveTables:
         fan: int = 8,
         closed_rows: int = 64_000_000,
     ):
-        if kept_versions < 1 or fan < 2:
-            raise ValueError("at least one version and two layers are needed")
-        self.folder = folder.rstrip("/")
-        self.sizing, self.kept_versions = sizing, kept_versions
-        self.publish = publish
-        self.fan, self.closed_rows = fan, closed_rows
-        self.log = CommitLog(self.folder)
-        self._swept = False
+        super().__init__(folder, kept_versions, fan, closed_rows)
+        self.sizing, self.publish = sizing, publish
 
     # -- writing ----------------------------------------------------------
 
@@ -104,23 +84,16 @@ class LiveTables:
         what the first batch of a live job builds on."""
         spark = past.fixes.sparkSession
         past = past.staged(f"{self.folder}/past")
-        active, ended = past.active().select(*_ACTIVE_ROW), past.ended().select(*_AT, "ended_trip_count")
+        active, ended = past.active().select(*_ACTIVE_ROW), past.ended().select(*AT, "ended_trip_count")
         rows = {
-            _served(ACTIVE): self._moves(active, ended),
-            _served(SPEEDS): past.speeds(),
-            _served(AVERAGES): past.averages(),
-            _served(ENDED): ended,
+            served_name(ACTIVE): self._moves(active, ended),
+            served_name(SPEEDS): past.speeds(),
+            served_name(AVERAGES): past.averages(),
+            served_name(ENDED): ended,
         }
         total = fleet_total(past.segments()).first()[0]
         self._commit(spark, rows, {}, _BEGIN, NOTHING, total, total)
 
-    @staticmethod
-    def _moves(active: DataFrame, ended: DataFrame) -> DataFrame:
-        """Active documents and the markers that delete them."""
-        return active.withColumn("is_trip_end", F.lit(False)).unionByName(
-            ended.select(*_AT, F.lit(True).alias("is_trip_end")), allowMissingColumns=True
-        )
-
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of one micro-batch (``foreachBatch``)."""
         batch = batch.persist()
@@ -138,10 +111,16 @@ class LiveTables:
                 F.count_if("is_late").alias(LATE),
                 F.coalesce(F.sum(F.when(moved, F.col("segment_km"))), F.lit(0.0)).alias("km"),
             ).first()
+            spark = batch.sparkSession
+            if found["all"] == 0 and self.publish is None:
+                return
+            before = self.log.before(spark, batch_id)
+            waiting, before = before, self._published(spark, before)
             if found["all"] == 0:
+                if before is not waiting:
+                    self._commit(spark, {}, {}, batch_id, before, before.total, before.past)
                 return
-            before = self.log.before(batch.sparkSession, batch_id)
-            running = self._fleet(batch.filter(moved).select(*_AT, "segment_km"), before.total)
+            running = self._fleet(batch.filter(moved).select(*AT, "segment_km"), before.total)
             rows = {
                 ACTIVE: batch.filter(inside),
                 SPEEDS: batch.filter(moved),
@@ -152,69 +131,34 @@ class LiveTables:
                 LATE: batch.filter("is_late"),
             }
             sizes = found.asDict() | {AVERAGES: found[ACTIVE], METRICS: found[SPEEDS]}
-            rows = {table: x.select(*_TABLES[table].columns) for table, x in rows.items()}
-            sizes[_served(ACTIVE)] = sizes[ACTIVE] + sizes[ENDED]
-            rows[_served(ACTIVE)] = self._moves(rows[ACTIVE], rows[ENDED])
-            for topic in (SPEEDS, AVERAGES, ENDED):
-                rows[_served(topic)], sizes[_served(topic)] = rows[topic], sizes[topic]
+            rows = {table: x.select(*self.kinds[table].schema.names) for table, x in rows.items()}
+            if self.publish is not None:
+                sent = {topic: rows[topic] for topic in (ACTIVE, ENDED, SPEEDS, AVERAGES)}
+                tagged = tag_topics(sent | {METRICS: running.drop("segment_km")})
+                rows[OUTBOX] = numbered(tagged, batch_id)
+                sizes[OUTBOX] = sum(sizes[topic] for topic in (*sent, METRICS))
+            self._with_served(rows, sizes)
             # A table that gets no row keeps its layers.
             new = {table: x for table, x in rows.items() if sizes[table]}
             total = before.total + found["km"]
-            self._commit(batch.sparkSession, new, sizes, batch_id, before, total, before.past)
-            if self.publish is not None:
-                sent = {topic: rows[topic] for topic in (ACTIVE, ENDED, SPEEDS, AVERAGES)}
-                self.publish(tag_topics(sent | {METRICS: running.drop("segment_km")}))
+            self._commit(spark, new, sizes, batch_id, before, total, before.past)
         finally:
             batch.unpersist()
 
-    def _commit(
-        self,
-        spark: SparkSession,
-        rows: dict[str, DataFrame],
-        sizes: dict[str, int],
-        batch_id: int,
-        before: Commit,
-        total: float,
-        past: float,
-    ) -> None:
-        """Write a layer for every table of ``rows``, then make them count."""
-        if not self._swept:
-            self.log.sweep(spark, list(_TABLES))
-            self._swept = True
-        name = f"{batch_id}-{uuid.uuid4().hex}"
-        tables = dict(before.tables)
-        # The tables are independent and small, so their jobs overlap.
-        with ThreadPoolExecutor(max_workers=max(1, len(rows))) as pool:
-            jobs = {
-                table: pool.submit(self._layered, table, new, sizes.get(table), before.layers(table), name)
-                for table, new in rows.items()
-            }
-            tables |= {table: job.result() for table, job in jobs.items()}
-        self.log.add(spark, batch_id, total, past, tables)
-        self.log.forget(spark, self.kept_versions)
-
-    def _layered(
-        self, table: str, rows: DataFrame, size: int | None, layers: tuple[Layer, ...], name: str
-    ) -> tuple[Layer, ...]:
-        """Layers with one more of ``rows``, which takes older ones in when
-        there are enough of them.  Served rows are counted after the write."""
-        kind, spark = _TABLES[table], rows.sparkSession
-        rows = rows.select([F.col(f.name).cast(f.dataType) for f in kind.schema])
-        first = len(layers)
-        closed = self.closed_rows if kind.keys is None else None
-        if layers:
-            first = merged_from([*(x.rows for x in layers), size], self.fan, closed)
-            if first < len(layers):
-                rows = rows.unionByName(self._rows(spark, table, layers[first:]))
-        if kind.keys is not None:
-            rows = latest_by_key(rows, kind.keys, kind.order)
-        path = f"{table}/{name}"
-        rows.write.parquet(f"{self.folder}/{path}")
-        if kind.keys is None:
-            written = size + sum(x.rows for x in layers[first:])
-        else:
-            written = spark.read.schema(kind.schema).parquet(f"{self.folder}/{path}").count()
-        return (*layers[:first], Layer(path, written))
+    def _published(self, spark: SparkSession, before: Commit) -> Commit:
+        """The same state with its outbox sent and empty."""
+        waiting = before.layers(OUTBOX)
+        if self.publish is None or not waiting:
+            return before
+        self.publish(self._rows(spark, OUTBOX, waiting))
+        return replace(before, tables={t: x for t, x in before.tables.items() if t != OUTBOX})
+
+    def settle(self, spark: SparkSession) -> None:
+        """Publish the messages of the last batch, after the job has ended."""
+        waiting = self.log.newest(spark)
+        sent = self._published(spark, waiting)
+        if sent is not waiting:
+            self._commit(spark, {}, {}, sent.batch, sent, sent.total, sent.past)
 
     def _fleet(self, segments: DataFrame, before: float) -> DataFrame:
         """Fleet distance after each segment in the order of arrival: the sum of
@@ -222,52 +166,16 @@ class LiveTables:
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
         running = fleet.unmark(fleet_running_distance(segments, fleet))
         return running.select(
-            *_AT, "segment_km", (F.col("total_distance") + before).alias("total_distance")
+            *AT, "segment_km", (F.col("total_distance") + before).alias("total_distance")
         )
 
     # -- reading ----------------------------------------------------------
 
-    def _rows(self, spark: SparkSession, table: str, layers: tuple[Layer, ...]) -> DataFrame:
-        schema = _TABLES[table].schema
-        if not layers:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*(f"{self.folder}/{x.path}" for x in layers))
-
-    def history(self, spark: SparkSession, table: str) -> DataFrame:
-        return self._rows(spark, table, self.log.newest(spark).layers(table))
-
     def fleet_distance(self, spark: SparkSession) -> DataFrame:
         """Fleet distance after each segment in the order of time, whatever the
         order of arrival was."""
         now = self.log.newest(spark)
-        segments = self._rows(spark, METRICS, now.layers(METRICS)).select(*_AT, "segment_km")
+        segments = self._rows(spark, METRICS, now.layers(METRICS)).select(*AT, "segment_km")
         fleet = Track.of(segments, (), FLEET_ORDER, self.sizing)
         rows = fleet.unmark(fleet_running_distance(segments, fleet))
-        return rows.select(*_AT, (F.col("total_distance") + now.past).alias("total_distance"))
-
-    def latest(self, spark: SparkSession, table: str) -> DataFrame:
-        """Newest row per key, without vehicles whose trip has ended; no row
-        before the first batch."""
-        return self._latest(spark, table, self.log.newest(spark))
-
-    def _latest(self, spark: SparkSession, table: str, now: Commit) -> DataFrame:
-        kind, layers = _TABLES[_served(table)], now.layers(_served(table))
-        rows = self._rows(spark, _served(table), layers)
-        if len(layers) > 1:
-            rows = latest_by_key(rows, kind.keys, kind.order)
-        if "is_trip_end" in rows.columns:
-            rows = without_ended(rows).drop("is_trip_end")
-        return rows
-
-    def served(self, spark: SparkSession, table: str) -> DataFrame:
-        """Documents as they are served."""
-        now = self.log.newest(spark)
-        if table == METRICS:
-            total = [] if now is NOTHING else [(now.total,)]
-            return document_for(METRICS, spark.createDataFrame(total, "total_distance double"))
-        rows = self._latest(spark, table, now)
-        if table == ENDED:
-            # Seeded: 0 until a first trip has ended.
-            count = F.coalesce(F.max("ended_trip_count"), F.lit(0).cast("long"))
-            return rows.agg(count.alias("ended_trip_count"))
-        return document_for(table, rows)
+        return rows.select(*AT, (F.col("total_distance") + now.past).alias("total_distance"))

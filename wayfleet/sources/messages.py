@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfleet.config import INPUT_TOPIC
+from wayfleet.config import INPUT_TOPIC, OUTPUT_TOPICS
 from wayfleet.functions.rows import is_finite, trip_end
 from wayfleet.functions.time import format_timestamp, parse_timestamp
 
@@ -23,6 +23,18 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Messages of the output topics: ``batch`` and ``nth`` number them in the order
+# they are sent under a key.
+NUMBERED_SCHEMA = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("nth", T.LongType()),
+    ]
+)
+
 
 def encode(fixes: DataFrame) -> DataFrame:
     """``key`` = vehicle id as text, ``value`` = JSON of the four fields, with
@@ -123,6 +135,18 @@ def tag_topics(outputs: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+def numbered(messages: DataFrame, batch: int) -> DataFrame:
+    """Messages with the numbers of a batch.  The numbers are settled when they
+    are stored; before that, each evaluation gives others."""
+    return messages.withColumn("batch", F.lit(batch).cast("long")).withColumn("nth", F.monotonically_increasing_id())
+
+
+def in_order(messages: DataFrame) -> DataFrame:
+    """Numbered messages, those of one key in one task and by number, as they
+    have to be sent."""
+    return messages.repartition("topic", "key").sortWithinPartitions("batch", "nth")
+
+
 def route(messages: DataFrame, topic: str, schema: T.StructType) -> DataFrame:
     """Rows of one topic of a tagged stream."""
     return (
@@ -175,6 +199,64 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
     )
 
 
+def publish_kafka(messages: DataFrame, servers: str) -> None:
+    """Send numbered messages; the numbers travel in the headers."""
+    headers = F.array(
+        *[
+            F.struct(F.lit(name).alias("key"), F.col(name).cast("string").cast("binary").alias("value"))
+            for name in ("batch", "nth")
+        ]
+    )
+    (
+        in_order(messages)
+        .select("topic", "key", "value", headers.alias("headers"))
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("includeHeaders", "true")
+        .save()
+    )
+
+
+def kafka_topics(
+    spark: SparkSession, servers: str, topics: Sequence[str] = OUTPUT_TOPICS, per_trigger: int = 5_000_000
+) -> DataFrame:
+    """Numbered messages of the output topics; numbers are NULL where a
+    message has none."""
+    read = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", ",".join(topics))
+        .option("startingOffsets", "earliest")
+        .option("includeHeaders", "true")
+        .option("maxOffsetsPerTrigger", per_trigger)
+        .load()
+    )
+
+    def header(name: str) -> Column:
+        found = F.filter("headers", lambda h: h["key"] == name)
+        return F.get(found, F.lit(0))["value"].cast("string").try_cast("long").alias(name)
+
+    return read.select(
+        "topic",
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        header("batch"),
+        header("nth"),
+    )
+
+
+def publish_files(messages: DataFrame, folder: str) -> None:
+    """Add numbered messages to a folder of JSON files."""
+    in_order(messages).write.mode("append").json(folder)
+
+
+def file_topics(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Numbered messages from a folder of JSON files."""
+    return (
+        spark.readStream.schema(NUMBERED_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(folder)
+    )
+
+
 def file_stream(
     spark: SparkSession, folder: str, files_per_trigger: int = 1000
 ) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -80,19 +82,25 @@ def start_live_job(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    # The stream copies the session's settings when it starts.
-    conf = messages.sparkSession.conf
+    with stream_settings(messages.sparkSession, partitions):
+        return start(writer, available_now, every)
+
+
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings of a stateful stream, which copies them from the session when it
+    starts; the session has its own again afterwards."""
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
     if partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {name: conf.get(name, None) for name in wanted}
+    before = {name: spark.conf.get(name, None) for name in wanted}
     try:
         for name, value in wanted.items():
-            conf.set(name, value)
-        return _start(writer, available_now, every)
+            spark.conf.set(name, value)
+        yield
     finally:
         for name, value in before.items():
-            conf.unset(name) if value is None else conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def wait_until_silent(job: StreamingQuery, silence: str = SILENCE, at_most: float = 300.0) -> None:
@@ -131,10 +139,10 @@ def start_quarantine(
         .option("path", folder)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, every)
+    return start(writer, available_now, every)
 
 
-def _start(writer, available_now: bool, every: str) -> StreamingQuery:
+def start(writer, available_now: bool, every: str) -> StreamingQuery:
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=every).start()
