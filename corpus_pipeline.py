@@ -32,9 +32,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant, learned from the labels of
     this stage's own documents, predicts to be of good quality.
 
-    Repeated rows are judged alike; with no labels nothing is rejected."""
+    Repeated rows are judged alike; with no labels nothing is rejected.  The
+    statistics are stored before their moments are taken: two Python stages in
+    one task would keep two workers, and all of an executor's workers stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = discriminant.fit(discriminant.with_statistics(docs, ["doc_id"]), labels)
+    statistics, _ = stored(discriminant.with_statistics(docs, ["doc_id"]), "statistics")
+    model = discriminant.fit(statistics, labels)
     return discriminant.accepted(docs, model)
 
 
