@@ -590,6 +590,12 @@ moved AS (
         f"SELECT max_by(ended_trip_count, (ts, seq)) AS ended_trip_count FROM ({sql['stream_ended']}) HAVING count(*) > 0"
     )
     sql["stream_resumed_served"] = sql["stream_latest_averages"]
+    # What is read from the topics is what the stream made, once; the fleet's
+    # distance is there in the order of arrival.
+    for name in ("active", "speeds", "averages", "ended"):
+        sql[f"stream_topic_{name}"] = sql[f"stream_{name}"]
+    sql["stream_topic_metrics"] = f"SELECT taxi_id, ts, seq FROM ({sql['stream_metrics']})"
+    sql["stream_topic_served"] = sql["stream_latest_averages"]
     # Rows come out of a topic as they went in.
     for name in ("active", "speeds", "averages", "metrics", "ended"):
         sql[f"topic_{name}"] = sql[f"stream_{name}"]

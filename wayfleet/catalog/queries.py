@@ -40,6 +40,7 @@ from wayfleet.sources.incremental import LogTable
 from wayfleet.sources.logs import read_log_lines, rejected_lines, valid_fixes
 from wayfleet.sources.tables import read_fixes, write_csv, write_fixes
 from wayfleet.streaming.job import start_live_job, start_quarantine, wait_until_silent
+from wayfleet.streaming.router import TopicTables, start_router
 from wayfleet.streaming.start import starting_state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +52,7 @@ _DISTANCE = geofence.DISTANCE
 # Each table is measured and derived once per session and state of its files.
 _tracks: dict[tuple, Track] = {}
 _tables: dict[tuple, str] = {}
-_streams: dict[tuple, LiveTables] = {}
+_streams: dict[tuple, LiveTables | TopicTables] = {}
 
 
 def _state(spark: SparkSession, folder: str) -> tuple:
@@ -500,9 +501,9 @@ def write_messages(spark: SparkSession, folder: str) -> str:
     return base
 
 
-def run_stream(spark: SparkSession, base: str) -> LiveTables:
+def run_stream(spark: SparkSession, base: str, publish: Callable[[DataFrame], None] | None = None) -> LiveTables:
     """Run the live job over the message files until none is left."""
-    tables = LiveTables(f"{base}/tables")
+    tables = LiveTables(f"{base}/tables", publish=publish)
     source = messages.file_stream(spark, f"{base}/messages", _FILES_PER_TRIGGER)
     jobs = [
         start_live_job(
@@ -518,6 +519,7 @@ def run_stream(spark: SparkSession, base: str) -> LiveTables:
     ]
     for job in jobs:
         job.awaitTermination()
+    tables.settle(spark)
     return tables
 
 
@@ -565,6 +567,44 @@ def _stream_latest(table, *columns, rounded=None):
     return query
 
 
+def _topic_tables(spark: SparkSession, folder: str) -> TopicTables:
+    """The five topics as the live job publishes them, read by one stream.  Each
+    batch is sent twice, as after a send that broke off at its end."""
+    known = ("topics", *_state(spark, folder))
+    if known not in _streams:
+        base = write_messages(spark, folder)
+
+        def twice(sent: DataFrame) -> None:
+            for _ in range(2):
+                messages.publish_files(sent, f"{base}/topics")
+
+        run_stream(spark, base, twice)
+        tables = TopicTables(f"{base}/routed")
+        start_router(
+            messages.file_topics(spark, f"{base}/topics"),
+            tables,
+            f"{base}/checkpoint_r",
+            available_now=True,
+            partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+        _streams[known] = tables
+    return _streams[known]
+
+
+def _stream_topic(table, *columns, rounded=None):
+    def query(spark, folder):
+        rows = _topic_tables(spark, folder).history(spark, table).select(*columns)
+        return _rounded(rows, 6, rounded) if rounded else rows
+
+    return query
+
+
+def stream_topic_served(spark, folder):
+    """Mean speeds as they are served from the topics."""
+    rows = _topic_tables(spark, folder).latest(spark, AVERAGES).select(*_AT, "average_speed")
+    return _rounded(rows, 6, "average_speed")
+
+
 # Times that a damaged clock might send, from the first to the last year.
 _STRAY_TIMES = ("0001-01-01 00:00:00", "1600-02-29 12:00:00", "9999-12-31 23:59:59")
 _STRAY, _SILENCE = 1_000_000, "2 seconds"
@@ -773,6 +813,12 @@ def queries() -> dict[str, Query]:
         "stream_latest_speeds": _stream_latest(SPEEDS, *_AT, "speed", rounded="speed"),
         "stream_latest_averages": _stream_latest(AVERAGES, *_AT, "average_speed", rounded="average_speed"),
         "stream_latest_ended": _stream_latest(ENDED, "ended_trip_count"),
+        "stream_topic_active": _stream_topic(ACTIVE, *_FIX, _DISTANCE, "is_violated", rounded=_DISTANCE),
+        "stream_topic_speeds": _stream_topic(SPEEDS, *_FIX, "speed", "is_speeding", rounded="speed"),
+        "stream_topic_averages": _stream_topic(AVERAGES, *_AT, "average_speed", rounded="average_speed"),
+        "stream_topic_metrics": _stream_topic(METRICS, *_AT),
+        "stream_topic_ended": _stream_topic(ENDED, *_AT, "ended_trip_count"),
+        "stream_topic_served": stream_topic_served,
         "stream_quarantine_reasons": stream_quarantine_reasons,
         "stream_silent_active": stream_silent_active,
         "stream_silent_ended": stream_silent_ended,
