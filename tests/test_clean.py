@@ -5,6 +5,7 @@ import pytest
 from tests import model
 from wayfleet.config import Limits, Sizing
 from wayfleet.operators import clean
+from wayfleet.operators import track as track_module
 from wayfleet.operators.track import Track
 
 SMALL = Sizing(slice_rows=7, max_slices=1000)
@@ -152,3 +153,24 @@ def test_clean_and_rejected_are_complements(spark):
     assert kept.columns == rows.columns
     assert kept.count() + dropped.count() == len(fixes)
     assert kept.select("seq").intersect(dropped.select("seq")).count() == 0
+
+
+def test_slices_stay_out_of_the_driver(spark, monkeypatch):
+    """Cuts and starts of many slices stay in Spark: the driver collects
+    single rows only."""
+    fixes = model.random_fixes(8, 40, 60)
+    rows = model.frame(spark, fixes).cache()
+    monkeypatch.setattr(track_module, "_FEW_CUTS", 0)
+
+    collect = type(rows).collect
+
+    def one_row(self):
+        found = collect(self)
+        assert len(found) <= 1, "rows of slices in the driver"
+        return found
+
+    monkeypatch.setattr(type(rows), "collect", one_row)
+    track = Track.of(rows, sizing=SMALL)
+    screened = clean.screen_fixes(rows, track)
+    monkeypatch.undo()
+    assert track.sliced and verdicts(screened) == model.screen(fixes)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -209,60 +210,86 @@ def _settle_slices(marked: DataFrame, track: Track, limits: Limits) -> DataFrame
     they end with.  The first of them in each history has its true start, so
     every round settles at least one slice more; the others have a guess.
     Normally the first round settles all.  A history that follows two places by
-    turns, as when two vehicles share an id, needs a few rounds.  The
-    driver holds a few numbers per slice, never its rows.
+    turns, as when two vehicles share an id, needs a few rounds.  The few numbers
+    that a slice needs stay in tables of the shared folder.
     """
     spark = marked.sparkSession
-    schema = T.StructType(
-        [track.cuts.schema[k] for k in track.keys]
-        + [T.StructField(SLICE, T.IntegerType())]
-        + [
-            T.StructField(name, kind)
-            for name, kind in zip(
-                _ENTRY, (T.DoubleType(), T.DoubleType(), T.LongType())
-            )
-        ]
-    )
-
-    def table(starts: dict) -> DataFrame:
-        return spark.createDataFrame(
-            [(*key, s, *(start or (None,) * 3)) for (key, s), start in starts.items()],
-            schema,
-        )
-
-    runs: dict = {}  # cell -> its folds so far, as (start, first rows, end)
-    starts: dict = {}
-    refused: dict = {}
-    todo = {(key, s): None for key, n in track.slices for s in range(n)}
-    while todo:
-        entries = table(todo)
-        rows = marked.join(
-            F.broadcast(entries.select(*track.group)), list(track.group), "left_semi"
-        )
-        found = _summaries(_fold(rows, track, limits, entries), track)
-        for cell, start in todo.items():
-            head, end, refused[cell] = found.get(cell, ([], None, None))
-            # A slice that accepts nothing hands on what it was given.
-            runs.setdefault(cell, []).append((start, head, end or start))
-        first, todo, starts = len(starts) == 0, {}, {}
-        for key, n in track.slices:
-            state = None
-            for s in range(n):
-                cell = (key, s)
-                starts[cell] = state
-                known, end = _end_from(state, runs[cell], limits)
-                if not known:
-                    todo[cell] = state
-                    # Guess for the slices after it: what the last fold from a
-                    # true or guessed start ended with, or else the fix that
-                    # the fold from no start refused last, which one that
-                    # follows the other place would have accepted.
-                    other, _, other_end = runs[cell][-1]
-                    end = (refused[cell] or state) if other is None else other_end
-                state = end
-        if first and todo:
+    base = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    group = list(track.group)
+    unknown = [F.lit(None).cast(k).alias(n) for n, k in zip(_ENTRY, ("double", "double", "bigint"))]
+    todo = track.cells().select(*group, *unknown)
+    runs, number = None, 0
+    while True:
+        rows = marked.join(F.broadcast(todo.select(*group)), group, "left_semi")
+        found = _summaries(_fold(rows, track, limits, todo), track)
+        run = todo.join(found, group, "left").withColumn("_round", F.lit(number))
+        run.write.parquet(f"{base}/runs/{number}")
+        run = spark.read.schema(run.schema).parquet(f"{base}/runs/{number}")
+        runs = run if runs is None else runs.unionByName(run)
+        starts = _starts(runs, track, limits)
+        starts.write.parquet(f"{base}/starts/{number}")
+        starts = spark.read.schema(starts.schema).parquet(f"{base}/starts/{number}")
+        todo = starts.filter("_todo").drop("_todo")
+        if todo.isEmpty():
+            return starts.drop("_todo")
+        if number == 0:
             marked = _staged(marked, track)
-    return table(starts)
+        number += 1
+
+
+def _starts(runs: DataFrame, track: Track, limits: Limits) -> DataFrame:
+    """What each slice starts from as far as its folds (``runs``) tell, and
+    whether it is still to be folded from there.  One row per slice and round
+    goes through, in order."""
+    keys, size = list(track.keys), _HEAD
+    spread = runs.repartition(*keys) if keys else runs.coalesce(1)
+    kinds = [runs.schema[c] for c in (*track.group, *_ENTRY)]
+    schema = T.StructType([*kinds, T.StructField("_todo", T.BooleanType(), False)])
+
+    def place(found: dict | None) -> tuple | None:
+        return None if found is None else tuple(found.values())
+
+    def cells(rows: Iterator[dict]) -> Iterator[tuple]:
+        history, state = None, None
+        for (key, nth), rounds in groupby(rows, lambda r: (tuple(r[k] for k in keys), r[SLICE])):
+            if key != history:
+                history, state = key, None
+            folds, refused = [], None
+            for r in rounds:
+                start = tuple(r[c] for c in _ENTRY)
+                start = None if start[2] is None else start
+                head = sorted(tuple(h.values()) for h in r["head"] or ())
+                # A slice that accepts nothing hands on what it was given.
+                folds.append((start, head, place(r["end"]) or start))
+                refused = place(r["refused"])
+            known, end = _end_from(state, folds, limits, size)
+            yield (*key, nth, *(state or (None,) * 3), not known)
+            if not known:
+                # Guess for the slices after it: what the last fold from a
+                # true or guessed start ended with, or else the fix that
+                # the fold from no start refused last, which one that
+                # follows the other place would have accepted.
+                other, _, other_end = folds[-1]
+                end = (refused or state) if other is None else other_end
+            state = end
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields: list[pa.Field] = []
+
+        def rows() -> Iterator[dict]:
+            for batch in batches:
+                if not fields:
+                    fields.extend(batch.schema.field(c) for c in (*keys, SLICE, *_ENTRY))
+                    fields.append(pa.field("_todo", pa.bool_()))
+                yield from batch.to_pylist()
+
+        found = cells(rows())
+        while part := list(islice(found, 10_000)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*part), fields)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    ordered = spread.sortWithinPartitions(*track.group, "_round")
+    return ordered.mapInArrow(settle, schema)
 
 
 def _staged(marked: DataFrame, track: Track) -> DataFrame:
@@ -273,36 +300,25 @@ def _staged(marked: DataFrame, track: Track) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _summaries(folded: DataFrame, track: Track) -> dict:
+def _summaries(folded: DataFrame, track: Track) -> DataFrame:
     """Per slice its first rows, with their verdicts, its last accepted fix and
     the last one refused for its speed: bounded aggregates, combined before the
     shuffle."""
     place = F.struct("latitude", "longitude", F.unix_micros("ts").alias("us"))
     order = F.struct(*[F.col(c) for c in track.order])
-    head = F.struct(_NTH, "latitude", "longitude", F.unix_micros("ts"), "is_trip_end", _CODE)
+    head = F.struct(_NTH, "latitude", "longitude", F.unix_micros("ts").alias("us"), "is_trip_end", _CODE)
     accepted = F.col(_CODE) == ACCEPTED
     too_fast = F.col(_CODE) == IMPOSSIBLE_SPEED
-    rows = (
-        folded.groupBy(*track.group)
-        .agg(
-            F.collect_list(F.when(F.col(_NTH) < _HEAD, head)).alias("head"),
-            F.max_by(place, F.when(accepted, order)).alias("end"),
-            F.max_by(place, F.when(too_fast, order)).alias("refused"),
-        )
-        .collect()
+    return folded.groupBy(*track.group).agg(
+        F.collect_list(F.when(F.col(_NTH) < _HEAD, head)).alias("head"),
+        F.max_by(place, F.when(accepted, order)).alias("end"),
+        F.max_by(place, F.when(too_fast, order)).alias("refused"),
     )
-    return {
-        (tuple(r[k] for k in track.keys), r[SLICE]): (
-            [tuple(h) for h in sorted(r["head"])],
-            tuple(r["end"]) if r["end"] is not None else None,
-            tuple(r["refused"]) if r["refused"] is not None else None,
-        )
-        for r in rows
-    }
-
-
-def _end_from(start, runs: list, limits: Limits):
-    """Whether it is known what a slice ends with from ``start``, and that end."""
+
+
+def _end_from(start, runs: list, limits: Limits, size: int):
+    """Whether it is known what a slice ends with from ``start``, and that end.
+    ``size`` is how many first rows a fold has kept."""
     for other, _, end in runs:
         if other == start:
             return True, end
@@ -319,7 +335,7 @@ def _end_from(start, runs: list, limits: Limits):
                 if head[place][-1] == ACCEPTED:
                     return True, end
             last = (latitude, longitude, micros)
-    if len(first_rows) < _HEAD:
+    if len(first_rows) < size:
         return True, last  # that was the whole slice
     return False, None
 

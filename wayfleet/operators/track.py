@@ -17,6 +17,7 @@ them, never the result.  Rows are sampled to choose cuts and for nothing else.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -26,9 +27,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wayfleet.config import ROW_ORDER, SIZING, Sizing
+from wayfleet.session import shared_folder
 
 SLICE = "_slice"
 _SAMPLES_PER_SLICE = 64
+#: Cut points up to this number pass through the driver; more stay in Spark.
+_FEW_CUTS = 2_000
 
 
 @dataclass(frozen=True)
@@ -36,14 +40,14 @@ class Track:
     """Rows grouped by ``keys`` and ordered by ``order`` within each key.
 
     ``cuts`` is None when nothing needs slicing; otherwise it has one row per
-    sliced key with the ascending cut points of that key.
+    sliced key with the ascending cut points of that key.  ``depth`` is the
+    number of steps of a binary search in the longest of them.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: DataFrame | None = None
     depth: int = 0
-    slices: tuple[tuple[tuple, int], ...] = ()
 
     # -- planning ---------------------------------------------------------
 
@@ -78,54 +82,43 @@ class Track:
         fields = [f"_o{i}" for i in range(len(order))]
         placed = candidates.select(*keys, *_order_fields(rows, order))
 
-        def cut_points(placed: DataFrame, stride: int) -> dict[tuple, list[tuple]]:
+        def cut_points(placed: DataFrame, stride: int) -> DataFrame:
             """Every ``limit``-th row of a key, counted in a sample of one row in
-            ``stride``."""
+            ``stride``; about 2 * max_slices points at most."""
             picked = placed.filter(F.pmod(F.xxhash64(*fields), F.lit(stride)) == 0)
             ranked = picked.withColumn("_rank", F.row_number().over(_window(keys, fields)))
-            points = (
-                ranked.filter(F.col("_rank") % (limit // stride) == 0)
-                .select(*keys, F.struct(*fields).alias("point"))
-                .orderBy(*keys, "point")
-                .collect()  # about 2 * max_slices points at most
-            )
-            found: dict[tuple, list[tuple]] = {}
-            for row in points:
-                found.setdefault(tuple(row[k] for k in keys), []).append(tuple(row["point"]))
-            return found
+            points = ranked.filter(F.col("_rank") % (limit // stride) == 0)
+            found = points.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_cuts"))
+            return _kept(found.filter(F.size("_cuts") > 0), total // limit)
 
         stride = max(1, limit // _SAMPLES_PER_SLICE)
-        by_key = cut_points(placed, stride)
+        cuts = cut_points(placed, stride)
         # A sample may have picked no row of a key; such keys are counted whole.
-        wanted = [tuple(r) for r in large.select(*keys).collect()] if keys else [()]
-        missed = [key for key in wanted if key not in by_key]
-        if missed and stride > 1:
+        if stride > 1:
             if keys:
-                kinds = T.StructType([placed.schema[k] for k in keys])
-                only = rows.sparkSession.createDataFrame(missed, kinds)
-                placed = placed.join(F.broadcast(only), list(keys), "left_semi")
-            by_key |= cut_points(placed, 1)
-        if not by_key:  # only rows without a key are that many
+                missed = large.join(cuts, list(keys), "left_anti")
+                if not missed.isEmpty():
+                    rest = placed.join(F.broadcast(missed), list(keys), "left_semi")
+                    cuts = cuts.unionByName(cut_points(rest, 1))
+            elif cuts.isEmpty():
+                cuts = cut_points(placed, 1)
+        longest = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+        if longest is None:  # only rows without a key are that many
             return cls(keys, order)
-        schema = T.StructType(
-            [placed.schema[k] for k in keys]
-            + [
-                T.StructField(
-                    "_cuts",
-                    T.ArrayType(T.StructType([placed.schema[f] for f in fields])),
-                )
-            ]
-        )
-        cuts = rows.sparkSession.createDataFrame(
-            [key + (found,) for key, found in by_key.items()], schema
-        )
-        return cls(
-            keys,
-            order,
-            cuts,
-            max(len(found) for found in by_key.values()).bit_length(),
-            tuple((key, len(found) + 1) for key, found in by_key.items()),
-        )
+        return cls(keys, order, cuts, longest.bit_length())
+
+    @property
+    def slices(self) -> tuple[tuple[tuple, int], ...]:
+        """Sliced keys and their numbers of slices, brought to the driver."""
+        if not self.sliced:
+            return ()
+        sizes = self.cuts.select(*self.keys, (F.size("_cuts") + 1).alias("_n")).collect()
+        return tuple((tuple(r[k] for k in self.keys), r["_n"]) for r in sizes)
+
+    def cells(self) -> DataFrame:
+        """A row for each slice of each sliced key."""
+        numbers = F.sequence(F.lit(0), F.size("_cuts"))
+        return self.cuts.select(*self.keys, F.explode(numbers).alias(SLICE))
 
     @property
     def sliced(self) -> bool:
@@ -225,6 +218,16 @@ class Track:
         )
 
 
+def _kept(cuts: DataFrame, about: int) -> DataFrame:
+    """The same rows, settled: a few in the driver, many in a shared folder."""
+    spark = cuts.sparkSession
+    if about <= _FEW_CUTS:
+        return spark.createDataFrame(cuts.collect(), cuts.schema)
+    path = f"{shared_folder(spark)}/cuts-{uuid.uuid4().hex}"
+    cuts.write.parquet(path)
+    return spark.read.schema(cuts.schema).parquet(path)
+
+
 def _window(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
