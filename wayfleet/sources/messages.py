@@ -63,10 +63,20 @@ def _record():
     return F.from_json("value", MESSAGE_SCHEMA)
 
 
+def _with_record(messages: DataFrame) -> DataFrame:
+    """Messages with their records (``_r``), each value parsed once: a filter on
+    a plain column would be pushed below it and parse anew for every field."""
+    return messages.select("*", F.explode(F.array(_record())).alias("_r"))
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Fixes from messages; fields that do not convert are NULL."""
+    return _fixes(messages.withColumn("_r", _record()))
+
+
+def _fixes(read: DataFrame) -> DataFrame:
     return (
-        messages.withColumn("_r", _record())
+        read
         .select(
             F.col("_r.taxi_id").alias("taxi_id"),
             parse_timestamp(F.col("_r.timestamp")).alias("ts"),
@@ -113,19 +123,19 @@ def _usable() -> Column:
 
 def stream_input(messages: DataFrame) -> DataFrame:
     """Usable fixes, and ends of input (``is_flush``)."""
-    kept = messages.withColumn("_r", _record()).filter(_usable() | _flushes())
-    return decode(kept).withColumn("is_flush", F.col("ts").isNull())
+    kept = _with_record(messages).filter(_usable() | _flushes())
+    return _fixes(kept).withColumn("is_flush", F.col("ts").isNull())
 
 
 def complete_fixes(messages: DataFrame) -> DataFrame:
     """Decoded messages that are usable fixes."""
-    return decode(messages.withColumn("_r", _record()).filter(_usable()))
+    return _fixes(_with_record(messages).filter(_usable()))
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
     """The quarantine: messages that are no usable fix, as they came, with the
     reason."""
-    read = messages.withColumn("_r", _record()).filter(~_flushes())
+    read = _with_record(messages).filter(~_flushes())
     return read.withColumn("reason", unusable()).filter("reason IS NOT NULL").drop("_r")
 
 
