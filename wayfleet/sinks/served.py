@@ -135,14 +135,17 @@ class ServedTables:
         return self._latest(spark, table, self.log.newest(spark))
 
     def _latest(self, spark: SparkSession, table: str, now: Commit) -> DataFrame:
-        kind, layers = self.kinds[served_name(table)], now.layers(served_name(table))
-        rows = self._rows(spark, served_name(table), layers)
-        if len(layers) > 1:
-            rows = latest_by_key(rows, kind.keys, kind.order)
+        rows = self._newest(spark, served_name(table), now)
         if "is_trip_end" in rows.columns:
             rows = without_ended(rows).drop("is_trip_end")
         return rows
 
+    def _newest(self, spark: SparkSession, table: str, now: Commit) -> DataFrame:
+        """Newest row per key of a table with keys, merged from its layers."""
+        kind, layers = self.kinds[table], now.layers(table)
+        rows = self._rows(spark, table, layers)
+        return latest_by_key(rows, kind.keys, kind.order) if len(layers) > 1 else rows
+
     def served(self, spark: SparkSession, table: str) -> DataFrame:
         """Documents as they are served."""
         now = self.log.newest(spark)

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from wayfleet.config import METRICS, OUTPUT_TOPICS
 from wayfleet.sinks.served import AT, ServedTables, Table
@@ -19,53 +14,29 @@ from wayfleet.sources.messages import NUMBERED_SCHEMA
 from wayfleet.streaming.job import start, stream_settings
 
 UNROUTED = "unrouted"
+MARKS = "marks"
 _NONE = -1  # stands for a number that a message does not have
-_MARK = T.StructType([T.StructField("batch", T.LongType()), T.StructField("nth", T.LongType())])
+_NUMBER = ("batch", "nth")
 
 
-class HighWaterMark(StatefulProcessor):
-    """Passes each numbered message of a topic's key once.
+def once(messages: DataFrame, marks: DataFrame) -> DataFrame:
+    """Numbered messages that have not been seen: each number of a topic's key
+    once, and above its mark; messages that have no number pass as they are.
 
     Under a key numbers rise, but for a send that broke off and begins again
     from where its batch began.  So whatever is not above the highest number
-    seen has been seen itself, and one number per key is all the state there
-    is, however long the stream.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._mark = handle.getValueState("mark", _MARK)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self._mark.get()
-        mark = (_NONE, _NONE) if stored is None else tuple(stored)
-        found = pd.concat(list(rows), ignore_index=True)
-        batch, nth = found["batch"].to_numpy(), found["nth"].to_numpy()
-        order = np.lexsort((nth, batch))
-        batch, nth = batch[order], nth[order]
-        again = np.r_[False, (batch[1:] == batch[:-1]) & (nth[1:] == nth[:-1])]
-        above = (batch > mark[0]) | ((batch == mark[0]) & (nth > mark[1]))
-        free = (batch == _NONE) | (nth == _NONE)
-        kept = order[free | (above & ~again)]
-        last = (int(batch[-1]), int(nth[-1]))
-        if last > mark:
-            self._mark.update(last)
-        if len(kept):
-            yield found.iloc[kept][NUMBERED_SCHEMA.names]
-
-    def close(self) -> None:
-        pass
-
-
-def once(messages: DataFrame) -> DataFrame:
-    """A stream of numbered messages without repeats; messages that have no
-    number pass as they are."""
-    number = {c: F.coalesce(c, F.lit(_NONE).cast("long")) for c in ("batch", "nth")}
-    return messages.withColumns(number).groupBy("topic", "key").transformWithStateInPandas(
-        statefulProcessor=HighWaterMark(),
-        outputStructType=NUMBERED_SCHEMA,
-        outputMode="append",
-        timeMode="None",
-    )
+    seen (``marks``: a row per topic and key) has been seen itself, and one
+    number per key is all that is kept, however long the stream."""
+    numbers = {c: F.coalesce(c, F.lit(_NONE).cast("long")) for c in _NUMBER}
+    free = (F.col("batch") == _NONE) | (F.col("nth") == _NONE)
+    # A message without a number is like no other.
+    apart = messages.withColumns(numbers).withColumn("_free", F.when(free, F.monotonically_increasing_id()))
+    same = Window.partitionBy("topic", "key", *_NUMBER, "_free").orderBy(F.lit(0))
+    first = apart.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    seen = marks.select(F.col("topic").alias("_topic"), F.col("key").alias("_key"), F.struct(*_NUMBER).alias("_mark"))
+    at = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("key").eqNullSafe(F.col("_key"))
+    above = F.col("_mark").isNull() | (F.struct(*_NUMBER) > F.col("_mark"))
+    return first.join(seen, at, "left").filter(F.col("_free").isNotNull() | above).select(*NUMBERED_SCHEMA.names)
 
 
 def _field(name: str, kind: T.DataType) -> Column:
@@ -93,20 +64,29 @@ def rows_of(routed_messages: DataFrame, topic: str) -> DataFrame:
 class TopicTables(ServedTables):
     """Rows of the five topics, what is served of them, and the messages that
     belong to none (``unrouted``: another topic, no JSON object, no vehicle,
-    time or number)."""
+    time or number).  The highest number seen under each topic's key (``marks``)
+    is a table like the others, under the same commit: a batch that runs again
+    begins from the marks it began from before."""
 
-    kinds = TOPIC_TABLES | {UNROUTED: Table(T.StructType(NUMBERED_SCHEMA.fields[:3]))}
+    kinds = TOPIC_TABLES | {
+        UNROUTED: Table(T.StructType(NUMBERED_SCHEMA.fields[:3])),
+        MARKS: Table(T.StructType([f for f in NUMBERED_SCHEMA if f.name != "value"]), ["topic", "key"], _NUMBER),
+    }
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of one micro-batch: it is read and parsed once, all topics
         are taken from the stored rows."""
-        batch = routed(batch).persist()
+        spark = batch.sparkSession
+        before = self.log.before(spark, batch_id)
+        batch = routed(once(batch, self._newest(spark, MARKS, before))).persist()
+        marked = F.struct(*_NUMBER) > F.struct(*[F.lit(_NONE).cast("long")] * 2)
         try:
             km = _field("total_distance", T.DoubleType())
             here = {topic: F.col("is_routed") & (F.col("topic") == topic) for topic in OUTPUT_TOPICS}
             found = batch.agg(
                 *[F.count_if(condition).alias(topic) for topic, condition in here.items()],
                 F.count_if(~F.col("is_routed")).alias(UNROUTED),
+                F.count_if(marked).alias(MARKS),
                 F.coalesce(F.max(F.when(here[METRICS], km)), F.lit(0.0)).alias("km"),
             ).first()
             sizes = found.asDict()
@@ -114,12 +94,12 @@ class TopicTables(ServedTables):
                 return
             rows = {topic: rows_of(batch, topic) for topic in OUTPUT_TOPICS}
             rows[UNROUTED] = batch.filter("NOT is_routed").select("topic", "key", "value")
+            rows[MARKS] = batch.filter(marked)
             self._with_served(rows, sizes)
-            before = self.log.before(batch.sparkSession, batch_id)
             new = {table: x for table, x in rows.items() if sizes[table]}
             # The fleet's distance only grows, so the greatest is the newest.
             total = max(before.total, found["km"])
-            self._commit(batch.sparkSession, new, sizes, batch_id, before, total, before.past)
+            self._commit(spark, new, sizes, batch_id, before, total, before.past)
         finally:
             batch.unpersist()
 
@@ -133,11 +113,10 @@ def start_router(
     partitions: int | None = None,
 ) -> StreamingQuery:
     """Read the topics (``messages.kafka_topics``) as one stream and keep their
-    tables.  The stream is read once, whatever the number of topics; a vehicle's
-    messages of one topic meet in one task."""
+    tables.  The stream is read once, whatever the number of topics.
+    ``partitions``: as the session's shuffle partitions."""
     writer = (
-        once(messages)
-        .writeStream.foreachBatch(tables.write)
+        messages.writeStream.foreachBatch(tables.write)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
