@@ -15,12 +15,14 @@ from wayfleet.config import LIMITS, ZONE, Limits, Zone
 from wayfleet.session import ROCKSDB_PROVIDER
 from wayfleet.sinks.tables import LiveTables
 from wayfleet.sources.messages import rejected_messages, stream_input
-from wayfleet.streaming.processor import OUTPUT_SCHEMA, RAW_SCHEMA, VehicleProcessor, milliseconds
+from wayfleet.streaming.processor import OUTPUT_SCHEMA, RAW_SCHEMA, VehicleProcessor, bucket_of, milliseconds
 
 
 #: In an endless stream, how long a vehicle must be silent before what it left
 #: behind is handled, and before its state is dropped.
 SILENCE, FORGET_AFTER = "10 seconds", "30 days"
+#: Keys of the state, each of them vehicles; several for each state partition.
+BUCKETS = 512
 
 
 def live_rows(
@@ -31,22 +33,28 @@ def live_rows(
     silence: str | None = None,
     forget_after: str | None = None,
     initial: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """One output row per fix, once its vehicle is ``lateness`` ahead of it, has
     come to its end of input, or has been silent for ``silence`` of processing
-    time.  Fixes are shuffled once, by vehicle.  There is no watermark: it would
+    time.  Fixes are shuffled once, by buckets of vehicles.  There is no watermark: it would
     cover all vehicles, run ahead of slow partitions and drop their rows.
 
     ``initial``: where each vehicle stands when the stream begins
-    (``start.starting_state``); it is used by the first start of a checkpoint."""
+    (``start.starting_state``); it is used by the first start of a checkpoint.
+    ``buckets``: how many state values the vehicles share; it is settled by the
+    first start of a checkpoint."""
     timed = silence is not None or forget_after is not None
     whole = fixes.withColumn("us", F.coalesce(F.unix_micros("ts"), F.lit(0).cast("long"))).drop("ts")
-    rows = whole.groupBy("taxi_id").transformWithStateInPandas(
+    bucket = bucket_of(F.col("taxi_id"), buckets).alias("bucket")
+    if initial is not None:
+        initial = initial.filter("taxi_id IS NOT NULL").select(bucket, "*").groupBy("bucket")
+    rows = whole.select(bucket, "*").groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=VehicleProcessor(zone, limits, trip_end, silence, forget_after=forget_after),
         outputStructType=RAW_SCHEMA,
         outputMode="append",
         timeMode="ProcessingTime" if timed else "None",
-        initialState=None if initial is None else initial.groupBy("taxi_id"),
+        initialState=initial,
     )
     names = OUTPUT_SCHEMA.fieldNames()
     return rows.withColumn("ts", F.timestamp_micros("us")).select(*names)

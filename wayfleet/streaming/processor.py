@@ -1,8 +1,9 @@
-"""The live analysis of one vehicle as a stateful stream processor."""
+"""The live analysis of vehicles as a stateful stream processor."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,8 @@ from pyspark.sql.streaming.stateful_processor import (
     StatefulProcessor,
     StatefulProcessorHandle,
 )
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
@@ -53,34 +56,132 @@ _WAITING = np.dtype(
     ]
 )
 
-# Last accepted fix, last fix inside the zone, running values; newest time, time
-# up to which a timer has released, when the vehicle was last heard and when its
-# timer fires (both in milliseconds of processing time), waiting fixes.
+NEVER = np.iinfo(np.int64).min // 2
+
+# A vehicle at rest: last accepted fix, last fix inside the zone, running values;
+# newest time, time up to which a timer has released, when the vehicle was last
+# heard, when it is due and when it last changed (these three in milliseconds of
+# processing time), number of waiting fixes.  NEVER stands for a time there is not.
+_VEHICLE = np.dtype(
+    [
+        ("taxi_id", "<i4"),
+        ("ok_lat", "<f8"),
+        ("ok_lon", "<f8"),
+        ("ok_us", "<i8"),
+        ("in_lat", "<f8"),
+        ("in_lon", "<f8"),
+        ("in_us", "<i8"),
+        ("km", "<f8"),
+        ("seconds", "<f8"),
+        ("speed_sum", "<f8"),
+        ("speed_n", "<i8"),
+        ("ended", "<i8"),
+        ("newest", "<i8"),
+        ("released", "<i8"),
+        ("heard_ms", "<i8"),
+        ("due_ms", "<i8"),
+        ("changed_ms", "<i8"),
+        ("waiting", "<i8"),
+    ]
+)
+PROGRESS = _VEHICLE.names[1:12]
+START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
+
+# The vehicles of a bucket, packed, their waiting fixes one after another, and
+# when the bucket's timer fires.
 _STATE = T.StructType(
     [
-        T.StructField("ok_lat", T.DoubleType()),
-        T.StructField("ok_lon", T.DoubleType()),
-        T.StructField("ok_us", T.LongType()),
-        T.StructField("in_lat", T.DoubleType()),
-        T.StructField("in_lon", T.DoubleType()),
-        T.StructField("in_us", T.LongType()),
-        T.StructField("km", T.DoubleType()),
-        T.StructField("seconds", T.DoubleType()),
-        T.StructField("speed_sum", T.DoubleType()),
-        T.StructField("speed_n", T.LongType()),
-        T.StructField("ended", T.LongType()),
-        T.StructField("newest", T.LongType()),
-        T.StructField("released", T.LongType()),
-        T.StructField("heard_ms", T.LongType()),
-        T.StructField("due_ms", T.LongType()),
+        T.StructField("vehicles", T.BinaryType()),
         T.StructField("waiting", T.BinaryType()),
+        T.StructField("timer_ms", T.LongType()),
     ]
 )
-PROGRESS = _STATE.fieldNames()[:11]
-START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
 
+#: Rows of a bucket that are handed on at once.
+_ROWS_AT_ONCE = 50_000
 
-NEVER = np.iinfo(np.int64).min // 2
+
+class Standing(NamedTuple):
+    """Where a vehicle stands; its fields as in ``_VEHICLE``, None for NEVER in
+    ``heard`` and ``due`` and for fixes there are not."""
+
+    progress: tuple = START
+    newest: int = NEVER
+    released: int = NEVER
+    heard: int | None = None
+    due: int | None = None
+    waiting: np.ndarray = np.empty(0, dtype=_WAITING)
+
+
+def _known(us: int) -> int | None:
+    return None if us == NEVER else us
+
+
+class Bucket:
+    """The vehicles that share a state value, in the order of their numbers."""
+
+    def __init__(self, vehicles: np.ndarray, waiting: np.ndarray, timer: int | None = None):
+        self.vehicles, self.waiting, self.timer = vehicles, waiting, timer
+        self._ends = np.cumsum(vehicles["waiting"])
+
+    @classmethod
+    def unpack(cls, stored: tuple | None) -> Bucket:
+        if stored is None:
+            return cls(np.empty(0, dtype=_VEHICLE), np.empty(0, dtype=_WAITING))
+        vehicles, waiting, timer = stored
+        return cls(np.frombuffer(bytes(vehicles), dtype=_VEHICLE), np.frombuffer(bytes(waiting), dtype=_WAITING), timer)
+
+    def pack(self) -> tuple:
+        return self.vehicles.tobytes(), self.waiting.tobytes(), self.timer
+
+    def standing(self, taxi: int) -> Standing:
+        at = int(np.searchsorted(self.vehicles["taxi_id"], taxi))
+        if at == len(self.vehicles) or self.vehicles["taxi_id"][at] != taxi:
+            return Standing()
+        _, *progress, newest, released, heard, due, _, size = self.vehicles[at].item()
+        for first in (0, 3):
+            if progress[first + 2] == NEVER:
+                progress[first : first + 3] = (None,) * 3
+        end = int(self._ends[at])
+        return Standing(tuple(progress), newest, released, _known(heard), _known(due), self.waiting[end - size : end])
+
+    def due(self, now: int) -> list[int]:
+        """Vehicles whose time has come."""
+        due = self.vehicles["due_ms"]
+        return self.vehicles["taxi_id"][(due != NEVER) & (due <= now)].tolist()
+
+    def first_due(self) -> int | None:
+        due = self.vehicles["due_ms"]
+        due = due[due != NEVER]
+        return int(due.min()) if len(due) else None
+
+    def without(self, taxis: Iterable[int]) -> Bucket:
+        stay = ~np.isin(self.vehicles["taxi_id"], np.fromiter(taxis, dtype=np.int32))
+        waiting = self.waiting[np.repeat(stay, self.vehicles["waiting"])]
+        return Bucket(self.vehicles[stay], waiting, self.timer)
+
+    def changed(self, standings: dict[int, Standing], now: int | None) -> Bucket:
+        """The bucket with new standings of some of its vehicles, or more of them."""
+        rest = self.without(standings)
+        new = [
+            (
+                taxi,
+                *(NEVER if x is None and name.endswith("_us") else x for name, x in zip(PROGRESS, s.progress)),
+                s.newest,
+                s.released,
+                *(NEVER if x is None else x for x in (s.heard, s.due, now)),
+                len(s.waiting),
+            )
+            for taxi, s in standings.items()
+        ]
+        vehicles = np.concatenate([rest.vehicles, np.array(new, dtype=_VEHICLE)])
+        waiting = np.concatenate([rest.waiting, *(s.waiting for s in standings.values())])
+        order = np.argsort(vehicles["taxi_id"], kind="stable")
+        # Waiting fixes follow their vehicles.
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        moved = np.argsort(np.repeat(place, vehicles["waiting"]), kind="stable")
+        return Bucket(vehicles[order], waiting[moved], self.timer)
 
 
 def in_turn(
@@ -104,11 +205,15 @@ def milliseconds(duration: str | None) -> int | None:
 
 
 class VehicleProcessor(StatefulProcessor):
-    """Puts a vehicle's fixes in order of time and handles them: cleaning, zone
-    test, segments, running values, trip counts.
+    """Puts each vehicle's fixes in order of time and handles them: cleaning,
+    zone test, segments, running values, trip counts.
+
+    All keyed steps share the key, so they share one shuffle.  A call to Spark's
+    state costs far more than a vehicle's few rows, so the key is a bucket of
+    vehicles (``bucket_of``) with one packed state value: for each vehicle its
+    running values and the fixes of its last ``lateness``.  Calls per batch are
+    bounded by the number of buckets, whatever the number of vehicles.
 
-    All keyed steps share the key, so they share one shuffle and one state
-    value: running values and the fixes of the vehicle's last ``lateness``.
     What a vehicle has sent decides how far it has come, so slow partitions
     and the size of a trigger change nothing and no fix is lost: late ones are
     handled when they arrive and marked.  An end of input releases what waits.
@@ -116,12 +221,12 @@ class VehicleProcessor(StatefulProcessor):
     With ``silence`` (processing time), a timer releases what a vehicle left
     behind when nothing has come from it for so long; an end of trip among it
     releases its trip ``trip_end_wait`` after the batch it came in.  Timers are
-    lazy: each vehicle has one, which looks at the state when it fires and is
-    set anew if the vehicle has moved on, so a moving vehicle costs one timer
-    for each period of silence, not one for each batch.
+    lazy: each bucket has one, for the vehicle that is due first, which looks at
+    the state when it fires and is set anew where vehicles have moved on.
 
     With ``forget_after`` the state of a vehicle that was silent for so long
-    is dropped; a vehicle that comes back later begins anew.
+    is dropped, at the latest when its bucket is next read; a vehicle that comes
+    back later begins anew.
     """
 
     def __init__(
@@ -140,29 +245,58 @@ class VehicleProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._state = handle.getValueState("vehicle", _STATE, self._forget_after)
+        self._state = handle.getValueState("bucket", _STATE, self._forget_after)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Go on from where a batch analysis ended (``start.starting_state``)."""
+        now = self._now(timerValues)
 
-        def known(name: str):
+        def column(name: str) -> list:
             # By column: a row of mixed types would turn whole numbers into floats.
-            value = initialState[name].iloc[0]
-            kind = int if isinstance(_STATE[name].dataType, T.LongType) else float
-            return None if pd.isna(value) else kind(value)
+            kind = int if _VEHICLE.fields[name][0].kind == "i" else float
+            return [None if pd.isna(x) else kind(x) for x in initialState[name]]
 
-        progress = [known(name) for name in PROGRESS]
-        self._state.update((*progress, known("newest"), NEVER, None, None, b""))
+        progress = zip(*map(column, PROGRESS))
+        found = zip(column("taxi_id"), progress, column("newest"))
+        standings = {taxi: Standing(values, NEVER if newest is None else newest) for taxi, values, newest in found}
+        self._store(self._load(now).changed(standings, now), now)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived, flush = [], False
+        arrived, senders, flushed = [np.empty(0, dtype=_WAITING)], [np.empty(0, dtype=np.int32)], set()
         for batch in rows:
-            ends = batch["is_flush"].to_numpy(dtype=bool)
-            flush |= bool(ends.any())
+            ends, taxis = batch["is_flush"].to_numpy(dtype=bool), batch["taxi_id"].to_numpy()
+            flushed.update(taxis[ends].tolist())
             arrived.append(pack(batch[~ends]))
-        fixes = np.concatenate([np.empty(0, dtype=_WAITING), *arrived])
-        fixes = fixes[np.argsort(fixes["seq"], kind="stable")]
-        progress, newest, released, heard, due, waiting = self._load()
+            senders.append(taxis[~ends])
+        fixes, taxis = np.concatenate(arrived), np.concatenate(senders)
+        order = np.lexsort((fixes["seq"], taxis))
+        fixes = fixes[order]
+        taxis, first = np.unique(taxis[order], return_index=True)
+        own = dict(zip(taxis.tolist(), np.split(fixes, first[1:])))
+        own |= {taxi: fixes[:0] for taxi in flushed - own.keys()}
+        now = self._now(timerValues)
+
+        def turns(bucket: Bucket):
+            for taxi, come in own.items():
+                yield taxi, *self._arrive(bucket.standing(taxi), come, taxi in flushed, now)
+
+        yield from self._handled(self._load(now), turns, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+
+        def turns(bucket: Bucket):
+            for taxi in bucket.due(now):
+                yield taxi, *self._expire(bucket.standing(taxi), now)
+
+        yield from self._handled(self._load(now), turns, now)
+
+    def _arrive(
+        self, before: Standing, fixes: np.ndarray, flush: bool, now: int | None
+    ) -> tuple[np.ndarray, np.ndarray, Standing]:
+        """A vehicle's fixes whose turn has come, which of them are late, and
+        its standing but for its progress."""
+        progress, newest, released, heard, due, waiting = before
         turn, late, newest = in_turn(fixes, newest, self._lateness, released)
         fixes = np.concatenate([waiting, fixes])
         turn = np.r_[waiting["us"], turn]
@@ -179,16 +313,15 @@ class VehicleProcessor(StatefulProcessor):
             )
         )
         ready = late | flush | (turn < newest - self._lateness)
-        now = order[ready[order]]
+        ripe = order[ready[order]]
         kept = fixes[order[~ready[order]]]
         if self._silence is not None:
-            heard = timerValues.getCurrentProcessingTimeInMs()
-            due = self._timer(heard, heard, due, kept)
-        yield from self._handled(key, fixes[now], late[now], progress, (newest, released, heard, due), kept)
+            heard, due = now, self._due(now, now, due, kept)
+        return fixes[ripe], late[ripe], Standing(progress, newest, released, heard, due, kept)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        progress, newest, released, heard, _, waiting = self._load()
-        now = timerValues.getCurrentProcessingTimeInMs()
+    def _expire(self, before: Standing, now: int) -> tuple[np.ndarray, np.ndarray, Standing]:
+        """The same when a vehicle is due."""
+        progress, newest, released, heard, _, waiting = before
         ready = np.ones(len(waiting), dtype=bool)
         if heard is None or now < heard + self._silence:
             ends = waiting["us"][waiting["is_trip_end"]]
@@ -196,42 +329,72 @@ class VehicleProcessor(StatefulProcessor):
         kept = waiting[~ready]
         if ready.any():
             released = max(released, int(waiting["us"][ready].max()))
-        due = self._timer(now, heard, None, kept)
+        due = self._due(now, heard, None, kept)
         late = np.zeros(int(ready.sum()), dtype=bool)
-        yield from self._handled(key, waiting[ready], late, progress, (newest, released, heard, due), kept)
+        return waiting[ready], late, Standing(progress, newest, released, heard, due, kept)
 
-    def _timer(self, now: int, heard: int | None, due: int | None, waiting: np.ndarray) -> int | None:
-        """When the vehicle's timer fires, set if it must be earlier than it is."""
+    def _due(self, now: int, heard: int | None, due: int | None, waiting: np.ndarray) -> int | None:
+        """When a vehicle's waiting fixes must be looked at."""
         if not len(waiting):
-            return due
+            return None
         wanted = now + self._trip_end_wait if waiting["is_trip_end"].any() else (heard or now) + self._silence
         wanted = max(wanted, now + 1)
-        if due is not None and now < due <= wanted:
-            return due
-        self._handle.registerTimer(wanted)
-        return wanted
-
-    def _handled(self, key, fixes, late, progress, marks, kept) -> Iterator[pd.DataFrame]:
-        columns = None
-        if len(fixes):
-            columns, progress = advance(fixes, progress, self._zone, self._limits, self._trip_end)
-        self._state.update((*progress, *marks, kept.tobytes()))
-        if columns is not None:
-            columns["taxi_id"] = np.full(len(fixes), key[0], dtype=np.int32)
-            columns["is_late"] = late
-            yield pd.DataFrame(columns, columns=RAW_SCHEMA.fieldNames(), copy=False)
-
-    def _load(self) -> tuple:
-        stored = self._state.get()
-        if stored is None:
-            return START, NEVER, NEVER, None, None, np.empty(0, dtype=_WAITING)
-        size = len(PROGRESS)
-        return tuple(stored[:size]), *stored[size:-1], np.frombuffer(bytes(stored[-1]), dtype=_WAITING)
+        return due if due is not None and now < due <= wanted else wanted
+
+    def _handled(self, bucket: Bucket, turns, now: int | None) -> Iterator[pd.DataFrame]:
+        """Rows of the vehicles whose turns these are, and their state after."""
+        standings, found, size = {}, [], 0
+        for taxi, fixes, late, standing in turns(bucket):
+            if len(fixes):
+                columns, progress = advance(fixes, standing.progress, self._zone, self._limits, self._trip_end)
+                columns["taxi_id"] = np.full(len(fixes), taxi, dtype=np.int32)
+                columns["is_late"] = late
+                standing = standing._replace(progress=progress)
+                found.append(columns)
+                size += len(fixes)
+            standings[taxi] = standing
+            if size >= _ROWS_AT_ONCE:
+                yield _frame(found)
+                found, size = [], 0
+        if found:
+            yield _frame(found)
+        self._store(bucket.changed(standings, now) if standings else bucket, now)
+
+    def _now(self, timerValues) -> int | None:
+        timed = self._silence is not None or self._forget_after is not None
+        return timerValues.getCurrentProcessingTimeInMs() if timed else None
+
+    def _load(self, now: int | None) -> Bucket:
+        bucket = Bucket.unpack(self._state.get())
+        if self._forget_after is not None:
+            old = bucket.vehicles["changed_ms"] + self._forget_after <= now
+            if old.any():
+                bucket = bucket.without(bucket.vehicles["taxi_id"][old].tolist())
+        return bucket
+
+    def _store(self, bucket: Bucket, now: int | None) -> None:
+        first, set_to = bucket.first_due(), bucket.timer
+        if set_to is not None and set_to <= now:
+            set_to = None
+        if first is not None and (set_to is None or first < set_to):
+            set_to = max(first, now + 1)
+            self._handle.registerTimer(set_to)
+        bucket.timer = set_to
+        self._state.update(bucket.pack())
 
     def close(self) -> None:
         pass
 
 
+def bucket_of(taxi_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(taxi_id), F.lit(buckets)).cast("int")
+
+
+def _frame(found: list[dict]) -> pd.DataFrame:
+    columns = {name: np.concatenate([x[name] for x in found]) for name in RAW_SCHEMA.fieldNames()}
+    return pd.DataFrame(columns, copy=False)
+
+
 def pack(batch: pd.DataFrame) -> np.ndarray:
     fixes = np.empty(len(batch), dtype=_WAITING)
     for name in ("us", "longitude", "latitude", "seq", "is_trip_end"):
