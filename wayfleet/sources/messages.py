@@ -76,8 +76,7 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def _fixes(read: DataFrame) -> DataFrame:
     return (
-        read
-        .select(
+        read.select(
             F.col("_r.taxi_id").alias("taxi_id"),
             parse_timestamp(F.col("_r.timestamp")).alias("ts"),
             F.col("_r.longitude").alias("longitude"),
