@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 
@@ -18,7 +19,17 @@ def batch(spark, number, taxis, ended=()):
     return spark.createDataFrame(batch_rows(number, taxis, ended), OUTPUT_SCHEMA)
 
 
+def one_after_another(folder):
+    """Files that were written within one tick of the clock, apart in time: the
+    stream reads files in the order of their times."""
+    before = 0
+    for file in sorted(folder.glob("*.json"), key=lambda f: (f.stat().st_mtime_ns, f.name)):
+        before = max(file.stat().st_mtime_ns, before + 1_000_000)
+        os.utime(file, ns=(before, before))
+
+
 def route(spark, base, files=1):
+    one_after_another(base / "topics")
     tables = TopicTables(str(base / "routed"))
     job = start_router(
         messages.file_topics(spark, str(base / "topics"), files),

@@ -260,7 +260,8 @@ def publish_files(messages: DataFrame, folder: str) -> None:
 
 
 def file_topics(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Numbered messages from a folder of JSON files."""
+    """Numbered messages from a folder of JSON files, read in the order of the
+    files' times: files of a later send need later ones."""
     return (
         spark.readStream.schema(NUMBERED_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(folder)
     )

@@ -17,22 +17,34 @@ UNROUTED = "unrouted"
 MARKS = "marks"
 _NONE = -1  # stands for a number that a message does not have
 _NUMBER = ("batch", "nth")
+_TASKS_A_CORE = 2
+#: Columns of the topics' rows, each with the topics that have it.
+_COLUMNS: dict[tuple[str, T.DataType], list[str]] = {}
+for _topic in OUTPUT_TOPICS:
+    for _column in TOPIC_TABLES[_topic].schema:
+        _COLUMNS.setdefault((_column.name, _column.dataType), []).append(_topic)
 
 
-def once(messages: DataFrame, marks: DataFrame) -> DataFrame:
+def once(messages: DataFrame, marks: DataFrame | None) -> DataFrame:
     """Numbered messages that have not been seen: each number of a topic's key
     once, and above its mark; messages that have no number pass as they are.
 
     Under a key numbers rise, but for a send that broke off and begins again
     from where its batch began.  So whatever is not above the highest number
     seen (``marks``: a row per topic and key) has been seen itself, and one
-    number per key is all that is kept, however long the stream."""
+    number per key is all that is kept, however long the stream.  Without
+    marks nothing has been seen."""
     numbers = {c: F.coalesce(c, F.lit(_NONE).cast("long")) for c in _NUMBER}
     free = (F.col("batch") == _NONE) | (F.col("nth") == _NONE)
     # A message without a number is like no other.
     apart = messages.withColumns(numbers).withColumn("_free", F.when(free, F.monotonically_increasing_id()))
-    same = Window.partitionBy("topic", "key", *_NUMBER, "_free").orderBy(F.lit(0))
-    first = apart.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    # Sorted by the number first: names of topics begin alike, numbers differ.
+    same = Window.partitionBy("nth", "batch", "key", "topic", "_free").orderBy(F.lit(0))
+    # Not by row number: Spark would sort the messages before the shuffle as well,
+    # where copies hardly ever meet.
+    first = apart.withColumn("_copy", F.lag(F.lit(1)).over(same)).filter("_copy IS NULL")
+    if marks is None:
+        return first.select(*NUMBERED_SCHEMA.names)
     seen = marks.select(F.col("topic").alias("_topic"), F.col("key").alias("_key"), F.struct(*_NUMBER).alias("_mark"))
     at = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("key").eqNullSafe(F.col("_key"))
     above = F.col("_mark").isNull() | (F.struct(*_NUMBER) > F.col("_mark"))
@@ -44,21 +56,29 @@ def _field(name: str, kind: T.DataType) -> Column:
 
 
 def routed(messages: DataFrame) -> DataFrame:
-    """Messages with their values parsed once (``body``), and whether they are
-    rows of one of the topics."""
+    """Messages with the columns of all topics' rows, those of other topics
+    NULL, and whether they are rows of one of the topics.  Each value is parsed
+    once and each field taken from it once; only messages that are no rows keep
+    their value."""
     read = messages.withColumn("body", F.try_parse_json("value"))
-    known = F.col("topic").isin(*OUTPUT_TOPICS) & F.col("body").isNotNull()
-    at = TOPIC_TABLES[METRICS].schema
-    complete = known
+    columns = [F.when(F.col("topic").isin(*topics), _field(name, kind)).alias(name) for (name, kind), topics in _COLUMNS.items()]
+    read = read.select("topic", "key", "value", *_NUMBER, *columns)
+    complete = F.lit(True)
     for name in AT:
-        complete = complete & _field(name, at[name].dataType).isNotNull()
-    return read.withColumn("is_routed", F.coalesce(complete, F.lit(False)))
+        complete = complete & F.col(name).isNotNull()
+    return read.withColumn("is_routed", complete).withColumn("value", F.when(~F.col("is_routed"), F.col("value")))
 
 
 def rows_of(routed_messages: DataFrame, topic: str) -> DataFrame:
     """Rows of a topic, by the columns of its table."""
-    columns = [_field(f.name, f.dataType).alias(f.name) for f in TOPIC_TABLES[topic].schema]
-    return routed_messages.filter(F.col("is_routed") & (F.col("topic") == topic)).select(*columns)
+    mine = F.col("is_routed") & (F.col("topic") == topic)
+    return routed_messages.filter(mine).select(*TOPIC_TABLES[topic].schema.names)
+
+
+def marks_of(numbered: DataFrame) -> DataFrame:
+    """The highest number of each topic's key in each of the numbers' batches:
+    plain numbers, which are summed up without sorting the messages."""
+    return numbered.groupBy("topic", "key", "batch").agg(F.max("nth").alias("nth"))
 
 
 class TopicTables(ServedTables):
@@ -78,30 +98,33 @@ class TopicTables(ServedTables):
         are taken from the stored rows."""
         spark = batch.sparkSession
         before = self.log.before(spark, batch_id)
-        batch = routed(once(batch, self._newest(spark, MARKS, before))).persist()
+        marks = self._newest(spark, MARKS, before) if before.layers(MARKS) else None
+        stored = routed(once(batch, marks)).persist()
+        # The plan of a stream keeps all its shuffle partitions; each table would
+        # be summed up from as many parts, each in as many pieces.
+        batch = stored.coalesce(_TASKS_A_CORE * spark.sparkContext.defaultParallelism)
         marked = F.struct(*_NUMBER) > F.struct(*[F.lit(_NONE).cast("long")] * 2)
         try:
-            km = _field("total_distance", T.DoubleType())
             here = {topic: F.col("is_routed") & (F.col("topic") == topic) for topic in OUTPUT_TOPICS}
             found = batch.agg(
                 *[F.count_if(condition).alias(topic) for topic, condition in here.items()],
                 F.count_if(~F.col("is_routed")).alias(UNROUTED),
                 F.count_if(marked).alias(MARKS),
-                F.coalesce(F.max(F.when(here[METRICS], km)), F.lit(0.0)).alias("km"),
+                F.coalesce(F.max(F.when(here[METRICS], F.col("total_distance"))), F.lit(0.0)).alias("km"),
             ).first()
             sizes = found.asDict()
             if not any(sizes[table] for table in (*OUTPUT_TOPICS, UNROUTED)):
                 return
             rows = {topic: rows_of(batch, topic) for topic in OUTPUT_TOPICS}
             rows[UNROUTED] = batch.filter("NOT is_routed").select("topic", "key", "value")
-            rows[MARKS] = batch.filter(marked)
+            rows[MARKS] = marks_of(batch.filter(marked))
             self._with_served(rows, sizes)
             new = {table: x for table, x in rows.items() if sizes[table]}
             # The fleet's distance only grows, so the greatest is the newest.
             total = max(before.total, found["km"])
             self._commit(spark, new, sizes, batch_id, before, total, before.past)
         finally:
-            batch.unpersist()
+            stored.unpersist()
 
 
 def start_router(
