@@ -609,6 +609,8 @@ def stream_topic_served(spark, folder):
 # Times that a damaged clock might send, from the first to the last year.
 _STRAY_TIMES = ("0001-01-01 00:00:00", "1600-02-29 12:00:00", "9999-12-31 23:59:59")
 _STRAY, _SILENCE = 1_000_000, "2 seconds"
+# All messages are one batch, which takes as long as there are messages.
+_AT_MOST = 24 * 3600.0
 
 
 def write_silent_messages(spark: SparkSession, folder: str) -> str:
@@ -638,7 +640,7 @@ def run_silent(spark: SparkSession, base: str) -> LiveTables:
         source, tables, f"{base}/checkpoint", partitions=spark.sparkContext.defaultParallelism, silence=_SILENCE
     )
     try:
-        wait_until_silent(job, _SILENCE)
+        wait_until_silent(job, _SILENCE, _AT_MOST)
     finally:
         job.stop()
     return tables
