@@ -10,7 +10,9 @@ import pandas as pd
 
 from tests.test_router import average, line, route, rows
 from wayfleet.config import LIMITS, ZONE
+from wayfleet.functions.points import fold, fold_many
 from wayfleet.sources import messages
+from wayfleet.streaming import processor as processing
 from wayfleet.streaming.processor import _WAITING, START, Bucket, Standing, VehicleProcessor, advance
 
 SECOND = 1_000_000
@@ -76,6 +78,44 @@ def test_a_bucket_costs_two_calls_whatever_its_vehicles():
             assert np.allclose(mine[name].to_numpy(), want[name], equal_nan=True)
 
 
+def test_a_buckets_vehicles_are_handled_at_once(monkeypatch):
+    """Calls per batch do not grow with the vehicles."""
+    calls = []
+
+    def counted(*places):
+        calls.append(len(places[0]))
+        return distances(*places)
+
+    distances = processing.distances_km
+    monkeypatch.setattr(processing, "distances_km", counted)
+    needed = []
+    for count in (3, 60):
+        calls.clear()
+        processor = VehicleProcessor()
+        processor.init(Handle())
+        assert sum(len(x) for x in processor.handleInputRows((0,), iter([fixes(range(count), [0, 30, 60, 90])]), None)) == 3 * count
+        needed.append(len(calls))
+    assert needed[0] == needed[1]
+
+
+def test_many_vehicles_are_folded_as_each_alone():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        own = rng.integers(0, 9, 12)
+        whose = np.repeat(np.arange(12), own)
+        size = len(whose)
+        us = np.concatenate([np.sort(rng.integers(0, 60, n)) for n in own]) * 10 * SECOND
+        lat, lon = 39.9 + rng.normal(0, 0.02, size), 116.4 + rng.choice([0.0, 0.0, 2.0], size)
+        marker, has_last = rng.random(size) < 0.1, rng.random(12) < 0.6
+        last = (39.9 + rng.normal(0, 0.02, 12), 116.4 + rng.choice([0.0, 2.0], 12), -rng.integers(0, 30, 12) * 10 * SECOND)
+        got = fold_many(lat, lon, us, marker, whose, last, has_last, 300.0)
+        for i in range(12):
+            mine = whose == i
+            start = tuple(x[i].item() for x in last) if has_last[i] else None
+            want, _ = fold(lat[mine], lon[mine], us[mine], marker[mine], start, 300.0)
+            assert got[mine].tolist() == want.tolist()
+
+
 def test_a_bucket_keeps_its_vehicles_apart():
     def waiting(*us):
         return np.array([(u, 116.4, 39.9, u, False) for u in us], dtype=_WAITING)

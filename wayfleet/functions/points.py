@@ -83,3 +83,48 @@ def fold(latitude, longitude, micros, is_marker, last, max_speed_kmh):
             return codes, point(size - 1)
         at = int(suspects[place])
         last = point(at - 1)
+
+
+def fold_many(latitude, longitude, micros, is_marker, whose, last, has_last, max_speed_kmh):
+    """Verdicts of ordered fixes of many vehicles.  ``whose`` has the vehicle of
+    each fix, ascending, as an index of ``has_last`` and of the columns of
+    ``last``, the last accepted fixes.
+
+    As in ``fold``, only rows that fail against the row before, and those after
+    them up to the next accepted one, are looked at one by one, and with them
+    the first row of each vehicle that is compared with any.
+    """
+    size = len(micros)
+    codes = np.zeros(size, dtype=np.int8)
+    if not size:
+        return codes
+
+    def point(i: int):
+        return float(latitude[i]), float(longitude[i]), int(micros[i])
+
+    first = np.diff(whose, prepend=-1) != 0
+    passed = np.diff(micros)
+    km = distances_km(latitude[:-1], longitude[:-1], latitude[1:], longitude[1:])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        too_fast = (passed > 0) & (km / (passed / 1e6) * 3600 > max_speed_kmh)
+    begins = first & ~has_last[whose]
+    suspects = np.r_[False, too_fast | ((passed == 0) & ~is_marker[1:]) | begins[:-1]]
+    done = 0
+    for at in np.flatnonzero(np.where(first, ~begins, suspects)).tolist():
+        if at < done:
+            continue
+        vehicle = whose[at]
+        end = int(np.searchsorted(whose, vehicle, "right"))
+        if first[at]:
+            lat, lon, us = (column[vehicle] for column in last)
+            against = float(lat), float(lon), int(us)
+        else:
+            against = point(at - 1)
+        while at < end:
+            code = verdict(against, *point(at), bool(is_marker[at]), max_speed_kmh)
+            if code == ACCEPTED:
+                break
+            codes[at] = code
+            at += 1
+        done = min(at + 1, end)
+    return codes

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfleet.config import LIMITS, ZONE, Limits, Zone
-from wayfleet.functions.points import ACCEPTED, REASONS, distances_km, fold
+from wayfleet.functions.points import ACCEPTED, REASONS, distances_km, fold_many
 
 OUTPUT_SCHEMA = T.StructType(
     [
@@ -86,6 +86,7 @@ _VEHICLE = np.dtype(
 )
 PROGRESS = _VEHICLE.names[1:12]
 START = (None,) * 6 + (0.0, 0.0, 0.0, 0, 0)
+_NEW = np.array((0, *(np.nan, np.nan, NEVER) * 2, *START[6:], *(NEVER,) * 5, 0), dtype=_VEHICLE)
 
 # The vehicles of a bucket, packed, their waiting fixes one after another, and
 # when the bucket's timer fires.
@@ -155,14 +156,34 @@ class Bucket:
         due = due[due != NEVER]
         return int(due.min()) if len(due) else None
 
-    def without(self, taxis: Iterable[int]) -> Bucket:
-        stay = ~np.isin(self.vehicles["taxi_id"], np.fromiter(taxis, dtype=np.int32))
+    def of(self, taxis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """These vehicles (ascending), new ones as they begin, and their waiting fixes."""
+        vehicles = np.full(len(taxis), _NEW)
+        vehicles["taxi_id"] = taxis
+        mine = np.isin(self.vehicles["taxi_id"], taxis)
+        vehicles[np.searchsorted(taxis, self.vehicles["taxi_id"][mine])] = self.vehicles[mine]
+        return vehicles, self.waiting[np.repeat(mine, self.vehicles["waiting"])]
+
+    def without(self, taxis: Sequence[int]) -> Bucket:
+        stay = ~np.isin(self.vehicles["taxi_id"], taxis)
         waiting = self.waiting[np.repeat(stay, self.vehicles["waiting"])]
         return Bucket(self.vehicles[stay], waiting, self.timer)
 
+    def replaced(self, vehicles: np.ndarray, waiting: np.ndarray) -> Bucket:
+        """The bucket with these vehicles and their waiting fixes, new or instead
+        of what it had."""
+        rest = self.without(vehicles["taxi_id"])
+        vehicles = np.concatenate([rest.vehicles, vehicles])
+        waiting = np.concatenate([rest.waiting, waiting])
+        order = np.argsort(vehicles["taxi_id"], kind="stable")
+        # Waiting fixes follow their vehicles.
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        moved = np.argsort(np.repeat(place, vehicles["waiting"]), kind="stable")
+        return Bucket(vehicles[order], waiting[moved], self.timer)
+
     def changed(self, standings: dict[int, Standing], now: int | None) -> Bucket:
         """The bucket with new standings of some of its vehicles, or more of them."""
-        rest = self.without(standings)
         new = [
             (
                 taxi,
@@ -174,14 +195,8 @@ class Bucket:
             )
             for taxi, s in standings.items()
         ]
-        vehicles = np.concatenate([rest.vehicles, np.array(new, dtype=_VEHICLE)])
-        waiting = np.concatenate([rest.waiting, *(s.waiting for s in standings.values())])
-        order = np.argsort(vehicles["taxi_id"], kind="stable")
-        # Waiting fixes follow their vehicles.
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        moved = np.argsort(np.repeat(place, vehicles["waiting"]), kind="stable")
-        return Bucket(vehicles[order], waiting[moved], self.timer)
+        waiting = np.concatenate([np.empty(0, dtype=_WAITING), *(s.waiting for s in standings.values())])
+        return self.replaced(np.array(new, dtype=_VEHICLE), waiting)
 
 
 def in_turn(
@@ -194,10 +209,26 @@ def in_turn(
     its time has passed already, or was ``released`` by a timer, is late: its
     turn is what had passed by then.  Without timers, turns depend on the
     arrivals alone, not on how they fall into batches."""
-    ahead = np.maximum.accumulate(np.r_[newest, fixes["us"]])
-    passed = np.maximum(ahead[:-1] - lateness, released + 1)
+    whose = np.zeros(len(fixes), dtype=np.int64)
+    turn, late, newest = in_turns(fixes, whose, np.array([newest]), lateness, np.array([released]))
+    return turn, late, int(newest[0])
+
+
+def in_turns(
+    fixes: np.ndarray, whose: np.ndarray, newest: np.ndarray, lateness: int, released: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for many vehicles at once; ``whose`` has the vehicle of each
+    fix, ascending, as an index of ``newest`` and ``released``."""
+    vehicles = np.arange(len(newest))
+    first, after = (np.searchsorted(whose, vehicles, side) for side in ("left", "right"))
+    # Running greatest times, begun anew by each vehicle's newest: ranks of
+    # times, each vehicle's above those of the one before.
+    times, rank = np.unique(np.insert(fixes["us"], first, newest), return_inverse=True)
+    lowest = np.insert(whose, first, vehicles) * len(times)
+    ahead = times[np.maximum.accumulate(lowest + rank) - lowest]
+    passed = np.maximum(ahead[np.arange(len(fixes)) + whose] - lateness, released[whose] + 1)
     late = fixes["us"] < passed
-    return np.where(late, passed, fixes["us"]), late, int(ahead[-1])
+    return np.where(late, passed, fixes["us"]), late, ahead[after + vehicles]
 
 
 def milliseconds(duration: str | None) -> int | None:
@@ -262,43 +293,43 @@ class VehicleProcessor(StatefulProcessor):
         self._store(self._load(now).changed(standings, now), now)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived, senders, flushed = [np.empty(0, dtype=_WAITING)], [np.empty(0, dtype=np.int32)], set()
+        arrived, senders, flushed = [np.empty(0, dtype=_WAITING)], [], []
         for batch in rows:
-            ends, taxis = batch["is_flush"].to_numpy(dtype=bool), batch["taxi_id"].to_numpy()
-            flushed.update(taxis[ends].tolist())
-            arrived.append(pack(batch[~ends]))
+            ends, taxis = batch["is_flush"].to_numpy(dtype=bool), batch["taxi_id"].to_numpy(dtype=np.int32)
+            flushed.append(taxis[ends])
+            arrived.append(pack(batch[~ends] if ends.any() else batch))
             senders.append(taxis[~ends])
-        fixes, taxis = np.concatenate(arrived), np.concatenate(senders)
+        fixes, taxis, flushed = np.concatenate(arrived), np.concatenate(senders), np.concatenate(flushed)
         order = np.lexsort((fixes["seq"], taxis))
-        fixes = fixes[order]
-        taxis, first = np.unique(taxis[order], return_index=True)
-        own = dict(zip(taxis.tolist(), np.split(fixes, first[1:])))
-        own |= {taxi: fixes[:0] for taxi in flushed - own.keys()}
+        own = np.union1d(taxis, flushed)
         now = self._now(timerValues)
-
-        def turns(bucket: Bucket):
-            for taxi, come in own.items():
-                yield taxi, *self._arrive(bucket.standing(taxi), come, taxi in flushed, now)
-
-        yield from self._handled(self._load(now), turns, now)
+        bucket = self._load(now)
+        vehicles, waiting = bucket.of(own)
+        whose = np.searchsorted(own, taxis[order])
+        ready = self._arrive(vehicles, waiting, fixes[order], whose, np.isin(own, flushed), now)
+        yield from self._handled(bucket, vehicles, *ready, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-
-        def turns(bucket: Bucket):
-            for taxi in bucket.due(now):
-                yield taxi, *self._expire(bucket.standing(taxi), now)
-
-        yield from self._handled(self._load(now), turns, now)
+        bucket = self._load(now)
+        vehicles, waiting = bucket.of(np.array(bucket.due(now), dtype=np.int32))
+        yield from self._handled(bucket, vehicles, *self._expire(vehicles, waiting, now), now)
 
     def _arrive(
-        self, before: Standing, fixes: np.ndarray, flush: bool, now: int | None
-    ) -> tuple[np.ndarray, np.ndarray, Standing]:
-        """A vehicle's fixes whose turn has come, which of them are late, and
-        its standing but for its progress."""
-        progress, newest, released, heard, due, waiting = before
-        turn, late, newest = in_turn(fixes, newest, self._lateness, released)
+        self,
+        vehicles: np.ndarray,
+        waiting: np.ndarray,
+        fixes: np.ndarray,
+        whose: np.ndarray,
+        flush: np.ndarray,
+        now: int | None,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Fixes whose turn has come, whose they are, which of them are late, and
+        those that wait.  ``vehicles`` get their standing after, but for their
+        progress."""
+        turn, late, newest = in_turns(fixes, whose, vehicles["newest"], self._lateness, vehicles["released"])
         fixes = np.concatenate([waiting, fixes])
+        whose = np.r_[np.repeat(np.arange(len(vehicles)), vehicles["waiting"]), whose]
         turn = np.r_[waiting["us"], turn]
         late = np.r_[np.zeros(len(waiting), dtype=bool), late]
         arrival = np.arange(len(fixes))
@@ -310,55 +341,68 @@ class VehicleProcessor(StatefulProcessor):
                 np.where(late, False, fixes["is_trip_end"]),
                 ~late,
                 turn,
+                whose,
             )
         )
-        ready = late | flush | (turn < newest - self._lateness)
-        ripe = order[ready[order]]
-        kept = fixes[order[~ready[order]]]
+        fixes, whose, turn, late = fixes[order], whose[order], turn[order], late[order]
+        ready = late | flush[whose] | (turn < newest[whose] - self._lateness)
+        kept = fixes[~ready]
+        vehicles["newest"] = newest
         if self._silence is not None:
-            heard, due = now, self._due(now, now, due, kept)
-        return fixes[ripe], late[ripe], Standing(progress, newest, released, heard, due, kept)
-
-    def _expire(self, before: Standing, now: int) -> tuple[np.ndarray, np.ndarray, Standing]:
-        """The same when a vehicle is due."""
-        progress, newest, released, heard, _, waiting = before
-        ready = np.ones(len(waiting), dtype=bool)
-        if heard is None or now < heard + self._silence:
-            ends = waiting["us"][waiting["is_trip_end"]]
-            ready = waiting["us"] <= (ends.max() if len(ends) else NEVER)
-        kept = waiting[~ready]
-        if ready.any():
-            released = max(released, int(waiting["us"][ready].max()))
-        due = self._due(now, heard, None, kept)
-        late = np.zeros(int(ready.sum()), dtype=bool)
-        return waiting[ready], late, Standing(progress, newest, released, heard, due, kept)
-
-    def _due(self, now: int, heard: int | None, due: int | None, waiting: np.ndarray) -> int | None:
-        """When a vehicle's waiting fixes must be looked at."""
-        if not len(waiting):
-            return None
-        wanted = now + self._trip_end_wait if waiting["is_trip_end"].any() else (heard or now) + self._silence
-        wanted = max(wanted, now + 1)
-        return due if due is not None and now < due <= wanted else wanted
-
-    def _handled(self, bucket: Bucket, turns, now: int | None) -> Iterator[pd.DataFrame]:
-        """Rows of the vehicles whose turns these are, and their state after."""
-        standings, found, size = {}, [], 0
-        for taxi, fixes, late, standing in turns(bucket):
-            if len(fixes):
-                columns, progress = advance(fixes, standing.progress, self._zone, self._limits, self._trip_end)
-                columns["taxi_id"] = np.full(len(fixes), taxi, dtype=np.int32)
-                columns["is_late"] = late
-                standing = standing._replace(progress=progress)
-                found.append(columns)
-                size += len(fixes)
-            standings[taxi] = standing
-            if size >= _ROWS_AT_ONCE:
-                yield _frame(found)
-                found, size = [], 0
-        if found:
-            yield _frame(found)
-        self._store(bucket.changed(standings, now) if standings else bucket, now)
+            vehicles["heard_ms"] = now
+            self._wait(vehicles, kept, whose[~ready], now)
+        vehicles["waiting"] = np.bincount(whose[~ready], minlength=len(vehicles))
+        return fixes[ready], whose[ready], late[ready], kept
+
+    def _expire(
+        self, vehicles: np.ndarray, waiting: np.ndarray, now: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same when vehicles are due."""
+        whose = np.repeat(np.arange(len(vehicles)), vehicles["waiting"])
+        heard = vehicles["heard_ms"]
+        silent = (heard != NEVER) & (now >= heard + self._silence)
+        ends = waiting["is_trip_end"]
+        until = np.full(len(vehicles), NEVER)
+        np.maximum.at(until, whose[ends], waiting["us"][ends])
+        ready = silent[whose] | (waiting["us"] <= until[whose])
+        released = vehicles["released"].copy()
+        np.maximum.at(released, whose[ready], waiting["us"][ready])
+        vehicles["released"], vehicles["due_ms"] = released, NEVER
+        self._wait(vehicles, waiting[~ready], whose[~ready], now)
+        vehicles["waiting"] = np.bincount(whose[~ready], minlength=len(vehicles))
+        return waiting[ready], whose[ready], np.zeros(int(ready.sum()), dtype=bool), waiting[~ready]
+
+    def _wait(self, vehicles: np.ndarray, kept: np.ndarray, whose: np.ndarray, now: int) -> None:
+        """Set when the vehicles' waiting fixes must be looked at."""
+        size = len(vehicles)
+        ended = np.bincount(whose[kept["is_trip_end"]], minlength=size) > 0
+        heard, due = vehicles["heard_ms"], vehicles["due_ms"]
+        wanted = np.where(ended, now + self._trip_end_wait, np.where(heard == NEVER, now, heard) + self._silence)
+        wanted = np.maximum(wanted, now + 1)
+        due = np.where((now < due) & (due <= wanted), due, wanted)
+        vehicles["due_ms"] = np.where(np.bincount(whose, minlength=size) > 0, due, NEVER)
+
+    def _handled(
+        self,
+        bucket: Bucket,
+        vehicles: np.ndarray,
+        fixes: np.ndarray,
+        whose: np.ndarray,
+        late: np.ndarray,
+        kept: np.ndarray,
+        now: int | None,
+    ) -> Iterator[pd.DataFrame]:
+        """Rows of the fixes whose turn has come, and the vehicles' state after."""
+        if len(fixes):
+            columns = advance_all(fixes, whose, vehicles, self._zone, self._limits, self._trip_end)
+            columns |= {"taxi_id": vehicles["taxi_id"][whose], "is_late": late}
+            rows = pd.DataFrame({name: columns[name] for name in RAW_SCHEMA.fieldNames()}, copy=False)
+            for at in range(0, len(rows), _ROWS_AT_ONCE):
+                yield rows.iloc[at : at + _ROWS_AT_ONCE]
+        if len(vehicles):
+            vehicles["changed_ms"] = NEVER if now is None else now
+            bucket = bucket.replaced(vehicles, kept)
+        self._store(bucket, now)
 
     def _now(self, timerValues) -> int | None:
         timed = self._silence is not None or self._forget_after is not None
@@ -390,11 +434,6 @@ def bucket_of(taxi_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(taxi_id), F.lit(buckets)).cast("int")
 
 
-def _frame(found: list[dict]) -> pd.DataFrame:
-    columns = {name: np.concatenate([x[name] for x in found]) for name in RAW_SCHEMA.fieldNames()}
-    return pd.DataFrame(columns, copy=False)
-
-
 def pack(batch: pd.DataFrame) -> np.ndarray:
     fixes = np.empty(len(batch), dtype=_WAITING)
     for name in ("us", "longitude", "latitude", "seq", "is_trip_end"):
@@ -405,12 +444,21 @@ def pack(batch: pd.DataFrame) -> np.ndarray:
 def advance(
     fixes: np.ndarray, state: tuple, zone: Zone, limits: Limits, trip_end: str
 ) -> tuple[dict, tuple]:
-    """Handle ordered fixes of one vehicle: output columns and the state after.
+    """Handle ordered fixes of one vehicle: output columns and the state after."""
+    vehicles = Bucket.unpack(None).changed({0: Standing(state)}, None).vehicles
+    columns = advance_all(fixes, np.zeros(len(fixes), dtype=np.int64), vehicles, zone, limits, trip_end)
+    return columns, Bucket(vehicles, fixes[:0]).standing(0).progress
+
+
+def advance_all(
+    fixes: np.ndarray, whose: np.ndarray, vehicles: np.ndarray, zone: Zone, limits: Limits, trip_end: str
+) -> dict:
+    """Handle fixes of many vehicles: output columns.  ``whose`` has the vehicle
+    of each fix, ascending, as an index of ``vehicles``, which get their
+    progress after; each vehicle's fixes are in order.
 
     Works on whole columns; NaN stands for NULL in the output.
     """
-    (*accepted, in_lat, in_lon, in_us, km, seconds, speed_sum, speed_n, ended) = state
-    last = tuple(accepted) if accepted[2] is not None else None
     lat, lon, us = fixes["latitude"], fixes["longitude"], fixes["us"]
     marker = fixes["is_trip_end"]
     size = len(fixes)
@@ -418,18 +466,20 @@ def advance(
     # Markers pass untouched, or are compared like any other fix.
     compared = np.flatnonzero(~marker) if trip_end == "intent" else np.arange(size)
     codes = np.zeros(size, dtype=np.int8)
-    codes[compared], last = fold(
+    codes[compared] = fold_many(
         lat[compared],
         lon[compared],
         us[compared],
         marker[compared],
-        last,
+        whose[compared],
+        (vehicles["ok_lat"], vehicles["ok_lon"], vehicles["ok_us"]),
+        vehicles["ok_us"] != NEVER,
         limits.max_speed_kmh,
     )
 
     to_centre = distances_km(lat, lon, zone.latitude, zone.longitude)
     inside = (codes == ACCEPTED) & (to_centre <= zone.radius_km)
-    at = np.flatnonzero(inside)
+    at, own = np.flatnonzero(inside), whose[inside]
 
     def blank() -> np.ndarray:
         return np.full(size, np.nan)
@@ -457,31 +507,57 @@ def advance(
         },
     }
     if len(at):
+        first = np.diff(own, prepend=-1) != 0
+        before = {name: np.r_[column[at[:1]], column[at[:-1]]] for name, column in (("lat", lat), ("lon", lon), ("us", us))}
+        for name, column in before.items():
+            column[first] = vehicles[f"in_{name}"][own[first]]
+        has_previous = before["us"] != NEVER
         out["is_violated"][at] = to_centre[at] > zone.warn_km
-        has_previous = np.ones(len(at), dtype=bool)
-        has_previous[0] = in_us is not None
-        from_lat = np.r_[in_lat if has_previous[0] else np.nan, lat[at[:-1]]]
-        from_lon = np.r_[in_lon if has_previous[0] else np.nan, lon[at[:-1]]]
-        from_us = np.r_[in_us if has_previous[0] else us[at[0]], us[at[:-1]]]
-        step = distances_km(from_lat, from_lon, lat[at], lon[at])
-        passed = (us[at] - from_us) / 1e6
+        step = np.where(has_previous, distances_km(before["lat"], before["lon"], lat[at], lon[at]), np.nan)
+        passed = (us[at] - np.where(has_previous, before["us"], us[at])) / 1e6
         speed = np.divide(step, passed, out=np.zeros(len(at)), where=passed > 0) * 3600
         out["segment_km"][at] = step
         out["speed"][at] = np.where(has_previous, speed, np.nan)
         out["is_speeding"][at] = np.where(has_previous, speed > limits.speeding_kmh, np.nan)
-        run_km = km + np.cumsum(np.where(has_previous, step, 0.0))
-        run_seconds = seconds + np.cumsum(passed)
-        run_sum, run_n = speed_sum + np.cumsum(speed), speed_n + np.cumsum(has_previous)
+
+        begin = np.flatnonzero(first)
+        run_km = _running(np.where(has_previous, step, 0.0), begin, vehicles["km"][own])
+        run_seconds = _running(passed, begin, vehicles["seconds"][own])
+        run_sum = _running(speed, begin, vehicles["speed_sum"][own])
+        run_n = _running(has_previous.astype(np.int64), begin, vehicles["speed_n"][own])
         out["taxi_distance"][at] = run_km
         out["elapsed_seconds"][at] = run_seconds
         out["average_speed"][at] = run_sum / np.maximum(run_n, 1)
-        in_lat, in_lon, in_us = float(lat[at[-1]]), float(lon[at[-1]]), int(us[at[-1]])
-        km, seconds = float(run_km[-1]), float(run_seconds[-1])
-        speed_sum, speed_n = float(run_sum[-1]), int(run_n[-1])
+        last = _lasts(own)
+        after = {"in_lat": lat[at], "in_lon": lon[at], "in_us": us[at]}
+        after |= {"km": run_km, "seconds": run_seconds, "speed_sum": run_sum, "speed_n": run_n}
+        for name, column in after.items():
+            vehicles[name][own[last]] = column[last]
     # As wired, only markers inside the zone would count, and none can be.
     counted = np.flatnonzero(marker if trip_end == "intent" else marker & inside)
-    out["ended_trip_count"][counted] = ended + 1 + np.arange(len(counted))
-    ended += len(counted)
-
-    after = last if last is not None else (None, None, None)
-    return out, (*after, in_lat, in_lon, in_us, km, seconds, speed_sum, speed_n, ended)
+    own = whose[counted]
+    begin = np.flatnonzero(np.diff(own, prepend=-1))
+    ended = _running(np.ones(len(own), dtype=np.int64), begin, vehicles["ended"][own])
+    out["ended_trip_count"][counted] = ended
+    last = _lasts(own)
+    vehicles["ended"][own[last]] = ended[last]
+
+    accepted = compared[codes[compared] == ACCEPTED]
+    accepted = accepted[_lasts(whose[accepted])]
+    for name, column in (("ok_lat", lat), ("ok_lon", lon), ("ok_us", us)):
+        vehicles[name][whose[accepted]] = column[accepted]
+    return out
+
+
+def _lasts(whose: np.ndarray) -> np.ndarray:
+    """Where each vehicle's last row is."""
+    return np.flatnonzero(np.diff(whose, append=-1))
+
+
+def _running(values: np.ndarray, begin: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Running sums of each vehicle's values, which begin at ``begin``, after
+    what it had.  Summed by vehicle: a sum over all would round otherwise."""
+    sums = np.empty_like(values)
+    for one, other in zip(begin.tolist(), [*begin[1:].tolist(), len(values)]):
+        np.add.accumulate(values[one:other], out=sums[one:other])
+    return sums + before
