@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from tests.test_router import average, line
 from wayfleet.catalog import queries
 from wayfleet.sources import messages
@@ -86,3 +88,24 @@ def test_a_long_batch_is_waited_for(spark, tmp_path, monkeypatch):
     (tmp_path / "messages").mkdir()
     queries.run_silent(spark, str(tmp_path))
     assert waits[0] > 3600
+
+
+class Seen(Exception):
+    """What a patched step was given."""
+
+
+def test_a_resumed_job_reads_stored_trips(spark, tmp_path, monkeypatch):
+    """Markers are found once, not anew by everything that reads the halves."""
+    events = spark.range(4000).selectExpr("id AS event_id", "id % 5 AS user_id")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+
+    def seen(first):
+        raise Seen(first)
+
+    monkeypatch.setattr(queries, "LiveAnalysis", seen)
+    with pytest.raises(Seen) as found:
+        queries._resumed_tables(spark, str(tmp_path))
+    first = found.value.args[0]
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Union" not in plan
+    assert first.filter("is_trip_end").count() > 0

@@ -680,7 +680,9 @@ def _resumed_tables(spark: SparkSession, folder: str) -> LiveTables:
     known = ("resumed", *_state(spark, folder))
     if known not in _streams:
         base = _new_folder(spark, "resumed")
-        rows = _trips(spark, folder).drop("source_file")
+        # Both halves are read several times each; the markers are found once.
+        _trips(spark, folder).drop("source_file").write.parquet(f"{base}/trips")
+        rows = spark.read.parquet(f"{base}/trips")
         cut = rows.agg(F.floor(F.max("seq") / 16) * 8).first()[0] or 0
         first, second = rows.filter(F.col("seq") < cut), rows.filter(F.col("seq") >= cut)
         past = LiveAnalysis(first)
