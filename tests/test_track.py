@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tests import model
 from wayfleet.config import ROW_ORDER, Sizing
+from wayfleet.operators import track as tracks
 from wayfleet.operators.track import SLICE, Track
 
 ORDERS = [
@@ -67,6 +70,25 @@ def test_number_of_slices_is_bounded(spark, rows):
     assert sum(n for _, n in track.slices) <= 16
 
 
+@pytest.mark.parametrize("keys", [(), ("taxi_id",)])
+@pytest.mark.parametrize("size", [1, 2, 7])
+def test_rows_carry_pages_of_cuts(spark, rows, monkeypatch, keys, size):
+    """However many cuts a key has, a row is compared with a page of them at a time."""
+    monkeypatch.setattr(tracks, "_PAGE", 4)
+    order = ("ts", "is_trip_end", "seq")
+    some = rows.withColumn("taxi_id", F.when(F.col("seq") % 5 > 0, F.col("taxi_id")))
+    track = Track.of(some, keys, order, Sizing(slice_rows=size, max_slices=10_000))
+    cuts = {tuple(r[k] for k in keys): [tuple(x) for x in r["_cuts"]] for r in track.cuts.collect()}
+    assert max(map(len, cuts.values())) == track.longest > 4**2
+    carried = [F.max(F.size("_cuts"))]
+    assert track._pages(0).agg(*carried).first()[0] <= 3 and track._pages(1).agg(*carried).first()[0] <= 3
+    marked = track.mark(some.withColumn("us", F.unix_micros("ts"))).collect()
+    assert len(marked) == some.count()
+    for r in marked:
+        of_key = cuts.get(tuple(r[k] for k in keys)) if not keys or r.taxi_id is not None else None
+        assert r[SLICE] == (None if of_key is None else bisect_right(of_key, (r.us, r.is_trip_end, r.seq)))
+
+
 def test_cuts_of_one_table_serve_another(spark, rows):
     track = Track.of(rows, sizing=Sizing(slice_rows=9, max_slices=1000))
     other = model.frame(spark, model.random_fixes(12, 25, 40))

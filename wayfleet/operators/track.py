@@ -33,6 +33,8 @@ SLICE = "_slice"
 _SAMPLES_PER_SLICE = 64
 #: Cut points up to this number pass through the driver; more stay in Spark.
 _FEW_CUTS = 2_000
+#: A row is compared with the cuts of a page, which travels with it, on each level.
+_PAGE = 64
 
 
 @dataclass(frozen=True)
@@ -40,14 +42,14 @@ class Track:
     """Rows grouped by ``keys`` and ordered by ``order`` within each key.
 
     ``cuts`` is None when nothing needs slicing; otherwise it has one row per
-    sliced key with the ascending cut points of that key.  ``depth`` is the
-    number of steps of a binary search in the longest of them.
+    sliced key with the ascending cut points of that key.  ``longest`` is the
+    number of cut points in the longest of them.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: DataFrame | None = None
-    depth: int = 0
+    longest: int = 0
 
     # -- planning ---------------------------------------------------------
 
@@ -105,7 +107,7 @@ class Track:
         longest = cuts.agg(F.max(F.size("_cuts"))).first()[0]
         if longest is None:  # only rows without a key are that many
             return cls(keys, order)
-        return cls(keys, order, cuts, longest.bit_length())
+        return cls(keys, order, cuts, longest)
 
     @property
     def slices(self) -> tuple[tuple[tuple, int], ...]:
@@ -133,27 +135,52 @@ class Track:
         return _window(self.group, self.order)
 
     def mark(self, rows: DataFrame) -> DataFrame:
-        """Add the slice number: NULL for keys that are not sliced."""
+        """Add the slice number: NULL for keys that are not sliced.
+
+        The number is found by pages: among every 64th, every 64 * 64th, ... of a
+        key's cuts first, then among the cuts between two of those.  A row carries
+        one page at a time, however many cuts its key has."""
         if not self.sliced or SLICE in rows.columns:
             return rows
-        point = F.struct(*_order_fields(rows, self.order))
+        top = 0
+        while _PAGE ** (top + 1) <= self.longest:
+            top += 1
+        first = self._thinned(top)
+        # Of the cuts' own type, so that no comparison converts it.
+        point = F.struct(*_order_fields(rows, self.order)).cast(first.schema["_cuts"].dataType.elementType)
+        marked = rows.withColumn("_point", point)
         if self.keys:
-            rows = rows.join(F.broadcast(self.cuts), list(self.keys), "left")
+            marked = marked.join(F.broadcast(first), list(self.keys), "left")
         else:
-            rows = rows.withColumn("_cuts", self.cuts.scalar())
-        cuts = F.col("_cuts")
-        # Binary search: the number of cuts that are not after the row.
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(self.depth))])
-        found = F.aggregate(
-            steps,
-            F.lit(0),
-            lambda low, step: F.when(
-                (low + step <= F.size(cuts)) & (F.get(cuts, low + step - 1) <= point),
-                low + step,
-            ).otherwise(low),
-        )
-        marked = rows.withColumn(SLICE, F.when(cuts.isNotNull(), found))
-        return marked.drop("_cuts")
+            marked = marked.withColumn("_cuts", first.scalar())
+        marked = _searched(marked, self.longest // _PAGE**top)
+        marked = marked.withColumn(SLICE, F.when(F.col("_cuts").isNotNull(), F.col("_found"))).drop("_cuts")
+        for level in reversed(range(top)):
+            pages = F.broadcast(self._pages(level))
+            marked = _searched(marked.join(pages, [*self.keys, SLICE], "left"), _PAGE - 1)
+            marked = marked.withColumn(SLICE, F.col(SLICE) * _PAGE + F.col("_found")).drop("_cuts")
+        return marked.select(*rows.columns, SLICE)
+
+    def _thinned(self, level: int) -> DataFrame:
+        """Every ``_PAGE ** level``-th cut of each sliced key."""
+        if not level:
+            return self.cuts
+        step = _PAGE**level
+        places = F.filter(F.sequence(F.lit(0), F.floor(F.size("_cuts") / step).cast("int")), lambda i: i > 0)
+        return self.cuts.select(*self.keys, F.transform(places, lambda i: F.get("_cuts", i * step - 1)).alias("_cuts"))
+
+    def _pages(self, level: int) -> DataFrame:
+        """The cuts of a level between two of the level above, numbered by how many
+        of those come before them."""
+        numbers = F.sequence(F.lit(0), F.floor(F.size("_cuts") / _PAGE).cast("int"))
+        places = F.sequence(F.lit(0), F.lit(_PAGE - 2))
+
+        def page(nth: Column) -> Column:
+            cuts = F.transform(places, lambda i: F.get("_cuts", nth * _PAGE + i))
+            return F.struct(nth.alias(SLICE), F.filter(cuts, F.isnotnull).alias("_cuts"))
+
+        pages = self._thinned(level).select(*self.keys, F.transform(numbers, page).alias("_pages"))
+        return pages.select(*self.keys, F.inline("_pages"))
 
     def unmark(self, rows: DataFrame) -> DataFrame:
         return rows.drop(SLICE)
@@ -228,6 +255,19 @@ def _kept(cuts: DataFrame, about: int) -> DataFrame:
     return spark.read.schema(cuts.schema).parquet(path)
 
 
+def _searched(rows: DataFrame, most: int) -> DataFrame:
+    """Add how many of ``_cuts``, at most ``most``, are not after ``_point``
+    (``_found``).  A column for each step of the binary search: the functions that
+    take a lambda are not compiled."""
+    found = F.lit(0)
+    for step in reversed([1 << b for b in range(most.bit_length())]):
+        # Past the end there is no cut, and nothing is not after the point.
+        here = F.get("_cuts", found + (step - 1)) <= F.col("_point")
+        rows = rows.withColumn("_found", found + F.when(here, step).otherwise(0))
+        found = F.col("_found")
+    return rows
+
+
 def _window(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
