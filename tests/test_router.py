@@ -157,3 +157,47 @@ def test_no_messages(spark, tmp_path):
     tables, _ = route(spark, tmp_path)
     assert tables.history(spark, "active_taxi").count() == 0
     assert tables.served(spark, "ended_taxi").first().ended_trip_count == 0
+
+
+def many_messages(spark, folder, compression="none"):
+    sent = spark.range(4000).selectExpr(
+        "'active_taxi' AS topic",
+        "CAST(id % 40 AS string) AS key",
+        "to_json(struct(CAST(id % 40 AS int) AS taxi_id, timestamp_seconds(id) AS ts, id AS seq, 116.4 AS longitude)) AS value",
+        "0L AS batch",
+        "id AS nth",
+    )
+    for _ in range(2):
+        messages.publish_files(sent.repartition(4), str(folder), compression)
+    return sum(f.stat().st_size for f in folder.glob("part-*"))
+
+
+def test_compressed_topics_are_read_alike(spark, tmp_path):
+    plain = many_messages(spark, tmp_path / "plain" / "topics")
+    assert many_messages(spark, tmp_path / "small" / "topics", "lz4") < plain / 3
+    found = [rows(route(spark, tmp_path / x, 1000)[0], spark, "active_taxi") for x in ("plain", "small")]
+    assert found[0] == found[1] == sorted((i % 40, i) for i in range(4000))
+
+
+def test_batches_of_the_router_are_bounded_by_bytes(spark, tmp_path):
+    """And shuffles of earlier batches are let go of before each."""
+    size = many_messages(spark, tmp_path / "topics", "lz4")
+    dropped = []
+
+    class Watched(TopicTables):
+        @staticmethod
+        def _drop_shuffles(session):
+            dropped.append(1)
+            TopicTables._drop_shuffles(session)
+
+    tables = Watched(str(tmp_path / "routed"))
+    job = start_router(
+        messages.file_topics(spark, str(tmp_path / "topics"), bytes_per_trigger=size // 4),
+        tables,
+        str(tmp_path / "checkpoint"),
+        available_now=True,
+    )
+    job.awaitTermination()
+    batches = [p.batchId for p in job.recentProgress if p.numInputRows]
+    assert len(batches) >= 2 and len(dropped) == len(batches)
+    assert rows(tables, spark, "active_taxi") == sorted((i % 40, i) for i in range(4000))

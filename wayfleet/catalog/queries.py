@@ -575,7 +575,7 @@ def _topic_tables(spark: SparkSession, folder: str) -> TopicTables:
 
         def twice(sent: DataFrame) -> None:
             for _ in range(2):
-                messages.publish_files(sent, f"{base}/topics")
+                messages.publish_files(sent, f"{base}/topics", "lz4")
 
         run_stream(spark, base, twice)
         tables = TopicTables(f"{base}/routed")

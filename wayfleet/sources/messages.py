@@ -254,17 +254,20 @@ def kafka_topics(
     )
 
 
-def publish_files(messages: DataFrame, folder: str) -> None:
-    """Add numbered messages to a folder of JSON files."""
-    in_order(messages).write.mode("append").json(folder)
+def publish_files(messages: DataFrame, folder: str, compression: str = "none") -> None:
+    """Add numbered messages to a folder of JSON files, compressed where wanted,
+    as a broker keeps them: their texts are much alike."""
+    in_order(messages).write.mode("append").option("compression", compression).json(folder)
 
 
-def file_topics(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
+def file_topics(
+    spark: SparkSession, folder: str, files_per_trigger: int | None = None, bytes_per_trigger: int = 1 << 30
+) -> DataFrame:
     """Numbered messages from a folder of JSON files, read in the order of the
-    files' times: files of a later send need later ones."""
-    return (
-        spark.readStream.schema(NUMBERED_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(folder)
-    )
+    files' times: files of a later send need later ones.  A batch is bounded by
+    its bytes, or by its number of files where that is given."""
+    most = ("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else ("maxBytesPerTrigger", bytes_per_trigger)
+    return spark.readStream.schema(NUMBERED_SCHEMA).option(*most).json(folder)
 
 
 def file_stream(
