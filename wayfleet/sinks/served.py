@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -55,6 +56,13 @@ class ServedTables:
 
     # -- writing ----------------------------------------------------------
 
+    @staticmethod
+    def _drop_shuffles(spark: SparkSession) -> None:
+        """Let go of the shuffle files of earlier batches, which else stay on the
+        executors' disks until the driver happens to collect its garbage."""
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
     @staticmethod
     def _moves(active: DataFrame, ended: DataFrame) -> DataFrame:
         """Active documents and the markers that delete them."""

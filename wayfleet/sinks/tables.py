@@ -96,6 +96,7 @@ class LiveTables(ServedTables):
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of one micro-batch (``foreachBatch``)."""
+        self._drop_shuffles(batch.sparkSession)
         batch = batch.persist()
         inside, ended = F.col("is_violated").isNotNull(), F.col("ended_trip_count").isNotNull()
         moved, rejected = inside & F.col("segment_km").isNotNull(), F.col("reject_reason").isNotNull()

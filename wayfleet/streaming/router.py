@@ -97,6 +97,7 @@ class TopicTables(ServedTables):
         """Sink of one micro-batch: it is read and parsed once, all topics
         are taken from the stored rows."""
         spark = batch.sparkSession
+        self._drop_shuffles(spark)
         before = self.log.before(spark, batch_id)
         marks = self._newest(spark, MARKS, before) if before.layers(MARKS) else None
         stored = routed(once(batch, marks)).persist()
